@@ -47,9 +47,12 @@ def balance_changes(
         first = first.unionByName(earlier).groupBy("address").agg(
             F.min("first_block").alias("first_block")
         )
-    account = hex_text(F.col("address"))
-    balance = word_to_text(bytes_to_word(F.col("new_value")))
-    return join_group_stats(balances, first, ["address"], limit=limit).select(
+    account = F.col("__account")
+    balance = word_to_text(F.col("__word"))
+    joined = join_group_stats(balances, first, ["address"], limit=limit).withColumns(
+        {"__account": hex_text(F.col("address")), "__word": bytes_to_word(F.col("new_value"))}
+    )
+    return joined.select(
         "block_num",
         F.col("end_ordinal").alias("ordinal"),
         "pos",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainloom.contracts import CREATE, DELETE, UNSET, UPDATE, Contract
+from chainloom.functions.binding import bind
 from chainloom.functions.typed import coerce_typed_value, has_alternative
 
 # Text that is hashed into a row key (fixed value).
@@ -129,6 +130,30 @@ def reject_invalid(changes: DataFrame, operations: Sequence[int] = (CREATE,)) ->
     return with_reason(changes, reason)
 
 
+def last_field(name: str) -> Column:
+    """The last field of this name; NULL if there is none."""
+    return F.try_element_at(F.filter("fields", lambda f: f["name"] == name), F.lit(-1))
+
+
+def type_fields(changes: DataFrame, contract: Contract, overflow: str = "reject") -> DataFrame:
+    """Add `_given` and `_typed`: per contract column the value of the last field of its name, as it
+    came and as the column's type. Nothing is added twice.
+    """
+    if "_typed" in changes.columns:
+        if changes.schema["_typed"].dataType.fieldNames() != contract.names:
+            raise ValueError(f"records were typed for another table than {contract.table}")
+        return changes
+    given = F.struct(*[last_field(c.name)["new_value"].alias(c.name) for c in contract.columns])
+    picked = bind(changes, _given=given)
+    typed = F.struct(
+        *[
+            coerce_typed_value(F.col("_given")[c.name], c, overflow).alias(c.name)
+            for c in contract.columns
+        ]
+    )
+    return bind(picked, _typed=typed)
+
+
 def conform_to_contract(changes: DataFrame, contract: Contract, overflow: str = "reject") -> DataFrame:
     """Tag records with a field that the table does not have, or a value its column cannot hold."""
     names = F.transform(F.col("fields"), lambda f: f["name"])
@@ -137,15 +162,11 @@ def conform_to_contract(changes: DataFrame, contract: Contract, overflow: str =
         F.size(unknown) > 0, F.concat(F.lit("unknown_column:"), F.array_join(unknown, ","))
     )
     for column in contract.columns:
-        given = last_field(column.name)["new_value"]
-        bad = has_alternative(given) & coerce_typed_value(given, column, overflow).isNull()
-        reason = reason.when(bad, F.lit(f"bad_value:{column.name}"))
-    return with_reason(changes, reason)
-
-
-def last_field(name: str) -> Column:
-    """The last field of this name; NULL if there is none."""
-    return F.try_element_at(F.filter("fields", lambda f: f["name"] == name), F.lit(-1))
+        given, typed = F.col("_given")[column.name], F.col("_typed")[column.name]
+        reason = reason.when(
+            has_alternative(given) & typed.isNull(), F.lit(f"bad_value:{column.name}")
+        )
+    return with_reason(type_fields(changes, contract, overflow), reason)
 
 
 def fields_to_columns(
@@ -170,10 +191,10 @@ def fields_to_columns(
         own_key = F.col("id")
     else:
         raise ValueError("key is 'derived' or 'id'")
-    source = changes.withColumn("__key", own_key)
+    source = type_fields(changes, contract, overflow).withColumn("__key", own_key)
     columns = []
     for column in contract.columns:
-        typed = coerce_typed_value(last_field(column.name)["new_value"], column, overflow)
+        typed = F.col("_typed")[column.name]
         if column.name == contract.keys[0]:
             typed = F.coalesce(typed, F.col("__key").try_cast(column.spark_type))
         columns.append(typed.alias(column.name))

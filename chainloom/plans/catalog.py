@@ -603,12 +603,17 @@ def q_update_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "delete_by_key",
     f"""with {STORED_SQL}
-select id, value::varchar as value, props from stored
-where id not in (select id from change where op = 3)""",
+select c_custkey::varchar as id, c_acctbal::decimal(38,2)::varchar as value, c_name as props from customer
+where c_custkey::varchar not in (select id from change where op = 3)""",
 )
 def q_delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     deletes = _sparse_rows(spark, sf_dir).filter(F.col("_operation") == DELETE)
-    return _plain(keyed.delete_by_key(shapes.accounts(spark, sf_dir), deletes, STORED.keys))
+    customers = shapes.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.col("c_acctbal").cast("decimal(38,2)").alias("value"),
+        F.col("c_name").alias("props"),
+    )
+    return _plain(keyed.delete_by_key(customers, deletes, STORED.keys))
 
 
 FOLD_SQL = f"""{STORED_SQL},
