@@ -24,21 +24,21 @@ INT64_END = 2**63
 UINT64_SPAN = 2**64
 
 
+MEMBER_TYPES = {f.name: f.dataType.simpleString() for f in VALUE.fields}
+
+
 def value(**member: Column) -> Column:
     """A value struct with the given alternative set, e.g. `value(string=F.col("name"))`."""
     unknown = set(member) - set(VALUE.fieldNames())
     if unknown:
         raise ContractError(f"no such value alternative: {sorted(unknown)}")
     return F.struct(
-        *[
-            member.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in VALUE.fields
-        ]
+        *[member.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in MEMBER_TYPES.items()]
     )
 
 
 def no_value() -> Column:
-    return F.lit(None).cast(VALUE)
+    return F.lit(None).cast(VALUE.simpleString())
 
 
 def has_alternative(typed: Column) -> Column:
@@ -52,7 +52,7 @@ def offchain_request(uri: Column, handler: str, max_retries: int, wait_before_re
         F.lit(handler).alias("handler"),
         F.lit(max_retries).alias("max_retries"),
         F.lit(wait_before_retry).alias("wait_before_retry"),
-    ).cast(OFFCHAIN_REQUEST)
+    ).cast(OFFCHAIN_REQUEST.simpleString())
 
 
 def field(name: str, new_value: Column, old_value: Column | None = None) -> Column:

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainloom.contracts import CREATE, DELETE, ETH_BLOCKHEADERS, UPDATE, Contract, contract
+from chainloom.contracts import CREATE, DELETE, ETH_BLOCKHEADERS, LENS_POSTS, UPDATE, contract
 from chainloom.contracts import Column as ContractColumn
 from chainloom.functions.posts_json import RECORDS
-from chainloom.functions.typed import coerce_typed_value, field, parse_text_value, value
+from chainloom.functions.skew import ensure_checkpoint_dir
+from chainloom.functions.typed import (
+    coerce_typed_value,
+    field,
+    offchain_request,
+    parse_text_value,
+    value,
+)
 from chainloom.operators import balances, blocks, changes, keyed, links, logs, progress
+from chainloom.plans.ingest import Enrichment, IngestJob, current_tasks, run_batch
 from chainloom.sources import shapes
-from chainloom.sources.blocks import block_range_scan, final_blocks
+from chainloom.sources.blocks import block_range_scan, final_blocks, stream_blocks
+from chainloom.streaming.runs import run_stream
+from chainloom.streaming.store import BatchStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -899,3 +910,124 @@ def q_parsed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     attached = links.attach_content(shapes.page_tasks(spark, sf_dir), shapes.page_content(spark, sf_dir))
     resolved = links.resolve_tasks(attached, PAGE_HANDLERS, NOW, limit=PAGE_SIZE_LIMIT)
     return links.parsed_rows(resolved, PAGE_TITLES).select(*PAGE_TITLES.names)
+
+
+# Streams and runs. They write to a new folder under the checkpoint folder of the session.
+
+
+def _run_dir(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/runs/{uuid.uuid4().hex}"
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # A stream wants a folder; a pattern also takes a table that is one file.
+    schema = shapes.table(spark, sf_dir, name).schema
+    return stream_blocks(spark, f"{sf_dir}/{name}.parquet*", schema)
+
+
+@query("stream_ingest", ORACLE["block_headers"])
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block headers as a stream: the same rows as in batch."""
+    folder = _run_dir(spark)
+    store = BatchStore(spark, f"{folder}/store")
+    job = IngestJob("headers", "block_meta", [ETH_BLOCKHEADERS], algo="sha256")
+    run_stream(
+        job, store, shapes.blocks_of(_stream(spark, sf_dir, "orders")), f"{folder}/checkpoint"
+    )
+    return store.rows(ETH_BLOCKHEADERS)
+
+
+@query(
+    "flush_batch",
+    """select (case when event_type = 'error' then 1 else 0 end)::bigint as batch, event_id as ordinal, c.cursor
+from events cross join (select 'c' || max(event_id // 100) as cursor from events) c""",
+)
+def q_flush_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two committed batches and a third that was written but not marked: it stays invisible."""
+    store = BatchStore(spark, f"{_run_dir(spark)}/store")
+    records = shapes.changes(spark, sf_dir)
+    rows = records.select("block_num", "ordinal", "operation")
+    reached = progress.batch_progress(records, "flush")
+    store.commit({"rows": rows.filter(F.col("operation") != DELETE)}, reached, "flush", 0)
+    store.commit({"rows": rows.filter(F.col("operation") == DELETE)}, reached, "flush", 1)
+    store.write({"rows": rows}, reached)
+    cursor = store.progress().select("cursor").scalar()
+    return store.read("rows", rows.schema).select("batch", "ordinal", cursor.alias("cursor"))
+
+
+def _page_changes(pages: DataFrame) -> DataFrame:
+    """One record per page: its link is to be fetched."""
+    request = offchain_request(F.col("url"), "parse_page", 3, 5)
+    record = blocks.change(
+        PAGES.table,
+        F.col("page_id").cast("string"),
+        F.lit(0),
+        [field("link", value(offchaindata=request))],
+    )
+    return pages.select("block_num", F.lit(0).alias("pos"), record.alias("change")).select(
+        "block_num", "pos", "change.*"
+    )
+
+
+PAGES = contract("linked_pages", "id text, link text", "id")
+
+
+def _enrich_job(spark: SparkSession, sf_dir: str) -> IngestJob:
+    enrichment = Enrichment(
+        manifest="demo",
+        handlers=PAGE_HANDLERS["demo"],
+        contracts=[PAGE_TITLES],
+        content=lambda: shapes.page_content(spark, sf_dir),
+        size_limit=PAGE_SIZE_LIMIT,
+    )
+    return IngestJob("pages", _page_changes, [PAGES], algo="sha256", enrichment=enrichment)
+
+
+@query(
+    "enrich_stream",
+    f"""with done as (
+  select url, page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title,
+    case when not starts_with(url, 'https://') then 1 when page_id % 7 = 0 then 0
+         when strlen(url) + strlen('demo') + strlen(html) > {PAGE_SIZE_LIMIT} then 5
+         when regexp_extract(html, '<title>([^<]*)</title>', 1) = ''
+              or contains(regexp_extract(html, '<title>([^<]*)</title>', 1), '%') then 4
+         else 6 end as state
+  from pages)
+select url as uri, state::int as state,
+  (case when state = 0 then 1 else 0 end)::int as num_retries,
+  case when state = 6 then title end as title
+from done""",
+)
+def q_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a stream: their links queued, attempted once, parsed and stored."""
+    folder = _run_dir(spark)
+    store = BatchStore(spark, f"{folder}/store")
+    pages = _stream(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("block_num"),
+        shapes.number_hash(F.col("page_id")).alias("block_id"),
+        F.concat(F.lit("c"), F.col("page_id").cast("string")).alias("cursor"),
+        "page_id",
+        "url",
+    )
+    run_stream(_enrich_job(spark, sf_dir), store, pages, f"{folder}/checkpoint", now=NOW)
+    titles = store.rows(PAGE_TITLES)
+    return current_tasks(store).join(titles, "uri", "left").select(
+        "uri", "state", "num_retries", "title"
+    )
+
+
+@query(
+    "ingest_run",
+    f"""with p as ({ORACLE['posts']})
+select sha256('{changes.ROW_KEY_LABEL}<' || id || '_' || ordinal || '>') as id, profile_id,
+  content_uri, timestamp from p""",
+)
+def q_ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run by module name: posts from event logs, in batch."""
+    store = BatchStore(spark, f"{_run_dir(spark)}/store")
+    run_batch(
+        IngestJob("posts", "map_posts", [LENS_POSTS], algo="sha256"),
+        store,
+        shapes.post_logs(spark, sf_dir),
+    )
+    return store.rows(LENS_POSTS)

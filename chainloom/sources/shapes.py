@@ -34,9 +34,13 @@ def number_hash(number: Column) -> Column:
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One block per order."""
+    return blocks_of(table(spark, sf_dir, "orders"))
+
+
+def blocks_of(orders: DataFrame) -> DataFrame:
+    """One block per order; works on a stream as well."""
     number = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         number.alias("block_num"),
         number_hash(number).alias("block_id"),
         F.concat(F.lit("c"), number.cast("string")).alias("cursor"),
