@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.functions.hexes import WORD, word_at, word_to_bigint, word_to_decimal
+from chainloom.functions.binding import bind
+from chainloom.functions.hexes import hex_text, word_to_bigint, word_to_decimal
+
+WORD_BYTES = 32
 
 # Event types and their parameters (fixed values); an asterisk marks a parameter kept in the topics.
 EVENT_TYPES = {
@@ -55,6 +59,10 @@ class Parameter:
     type: str
     indexed: bool
 
+    @property
+    def dynamic(self) -> bool:
+        return self.type in ("string", "bytes") or self.type.endswith("[]")
+
 
 def parameters(event: str) -> list[Parameter]:
     out = []
@@ -64,70 +72,100 @@ def parameters(event: str) -> list[Parameter]:
     return out
 
 
-def _byte_offset(hex_data: Column, word: Column) -> Column:
-    """The number in a word as a count of bytes, NULL when it points past the data."""
-    number = word_to_bigint(word)
-    return F.when(number <= F.length(hex_data) / 2, number)
+ZERO_BYTES = b"\x00" * WORD_BYTES
+
+
+def _word(data: Column, at: Column | int) -> Column:
+    """The 32 bytes that start at byte `at`; fewer past the end of the data."""
+    start = F.lit(at + 1) if isinstance(at, int) else (at + 1).cast("int")
+    return F.substring(data, start, F.lit(WORD_BYTES))
 
 
-def _dynamic(hex_data: Column, at: Column) -> Column:
-    """The hex text of the length-prefixed bytes that start at byte `at`; NULL when cut off."""
-    size = _byte_offset(hex_data, F.substring(hex_data, (at * 2 + 1).cast("int"), F.lit(WORD)))
-    content = F.substring(hex_data, (at * 2 + 1 + WORD).cast("int"), (size * 2).cast("int"))
-    return F.when(F.length(content) == size * 2, content)
+def _byte_count(data: Column, word: Column) -> Column:
+    """The number in a word as a count of bytes, NULL when it points past the data."""
+    small = F.substring(word, 1, WORD_BYTES - 4) == F.lit(ZERO_BYTES[:-4])
+    number = F.conv(F.hex(F.substring(word, WORD_BYTES - 3, 4)), 16, 10).cast("bigint")
+    return F.when(small & (number <= F.octet_length(data)), number)
 
 
 def _static(word: Column, kind: str, numbers: str) -> Column:
-    whole = F.length(word) == WORD
+    whole = F.octet_length(word) == WORD_BYTES
     if kind == "address":
-        return F.when(whole, F.substring(word, 25, 40))
+        return F.when(whole, hex_text(F.substring(word, 13, 20)))
     if kind == "bool":
-        return F.when(whole, F.ltrim(word, F.lit("0")) != "")
+        return F.when(whole, word != F.lit(ZERO_BYTES))
     if kind in ("uint8", "uint16"):
-        return word_to_bigint(word).try_cast("int")
+        return word_to_bigint(hex_text(word)).try_cast("int")
     if numbers == "bigint":
-        return word_to_bigint(word)
+        return word_to_bigint(hex_text(word))
     if numbers == "decimal":
-        return word_to_decimal(word)
-    return F.when(whole, word)
-
-
-def read_parameter(hex_data: Column, slot: int, kind: str, numbers: str = "hex") -> Column:
-    """The parameter in head word `slot` of the data."""
-    head = word_at(hex_data, slot)
-    if kind.endswith("[]"):
-        item = kind[:-2]
-        start = _byte_offset(hex_data, head)
-        count = _byte_offset(hex_data, F.substring(hex_data, (start * 2 + 1).cast("int"), F.lit(WORD)))
-        body = start + 32
-
-        def element(index: Column) -> Column:
-            word = F.substring(hex_data, ((body + index * 32) * 2 + 1).cast("int"), F.lit(WORD))
-            if item in ("string", "bytes"):
-                return _text(_dynamic(hex_data, body + _byte_offset(hex_data, word)), item)
-            return _static(word, item, numbers)
-
-        inside = (body + count * 32) * 2 <= F.length(hex_data)
-        indexes = F.filter(
-            F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i < count
-        )
-        return F.when(inside, F.transform(indexes, element))
-    if kind in ("string", "bytes"):
-        return _text(_dynamic(hex_data, _byte_offset(hex_data, head)), kind)
-    return _static(head, kind, numbers)
-
-
-def _text(hex_content: Column, kind: str) -> Column:
-    if kind == "bytes":
-        return hex_content
-    # Bytes that are no UTF-8 do not decode to text.
-    return F.try_validate_utf8(F.unhex(hex_content).cast("string"))
+        return word_to_decimal(hex_text(word))
+    return F.when(whole, hex_text(word))
 
 
-def read_topic(topics: Column, index: int, kind: str, numbers: str = "hex") -> Column:
-    """The indexed parameter number `index` (the topic after the event's own); dynamic ones are only
-    there as a hash."""
-    word = F.lower(F.hex(F.get(topics, F.lit(index + 1))))
-    if kind in ("string", "bytes") or kind.endswith("[]"):
-        return word
-    return _static(word, kind, numbers)
+def _content(data: Column, at: Column, size: Column, kind: str) -> Column:
+    """The length-prefixed bytes at byte `at`; NULL when they are cut off."""
+    content = F.substring(data, (at + WORD_BYTES + 1).cast("int"), size.cast("int"))
+    whole = F.when(F.octet_length(content) == size, content)
+    if kind == "bytes":
+        return hex_text(whole)
+    # Bytes that are no UTF-8 do not decode to text.
+    return F.try_validate_utf8(whole.cast("string"))
+
+
+def _elements(data: Column, at: Column, count: Column, kind: str, numbers: str) -> Column:
+    body = at + WORD_BYTES
+
+    def element(index: Column) -> Column:
+        word = _word(data, body + index * WORD_BYTES)
+        if kind in ("string", "bytes"):
+            start = body + _byte_count(data, word)
+            return _content(data, start, _byte_count(data, _word(data, start)), kind)
+        return _static(word, kind, numbers)
+
+    inside = body + count * WORD_BYTES <= F.octet_length(data)
+    indexes = F.filter(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i < count)
+    return F.when(inside, F.transform(indexes, element))
+
+
+def read_parameters(
+    logs: DataFrame, wanted: Sequence[Parameter], all_parameters: Sequence[Parameter], numbers: str
+) -> DataFrame:
+    """Add the wanted parameters as columns.
+
+    Parameters of variable size are found in two steps, their place and then their size. Each step is
+    bound, so that no expression contains another one whole.
+    """
+    data, topics = F.col("data"), F.col("topics")
+    heads: dict[str, int] = {}
+    topic_of: dict[str, int] = {}
+    for p in all_parameters:
+        if p.indexed:
+            topic_of[p.name] = len(topic_of) + 1
+        else:
+            heads[p.name] = len(heads) * WORD_BYTES
+    moving = [p for p in wanted if not p.indexed and p.dynamic]
+    located = logs
+    if moving:
+        places = {f"__at_{p.name}": _byte_count(data, _word(data, heads[p.name])) for p in moving}
+        located = bind(located, **places)
+        sizes = {
+            f"__size_{p.name}": _byte_count(data, _word(data, F.col(f"__at_{p.name}"))) for p in moving
+        }
+        located = bind(located, **sizes)
+    columns = []
+    for p in wanted:
+        if p.indexed:
+            # A topic holds only the hash of a parameter of variable size.
+            topic = F.get(topics, F.lit(topic_of[p.name]))
+            column = hex_text(topic) if p.dynamic else _static(topic, p.type, numbers)
+        elif not p.dynamic:
+            column = _static(_word(data, heads[p.name]), p.type, numbers)
+        else:
+            at, size = F.col(f"__at_{p.name}"), F.col(f"__size_{p.name}")
+            if p.type.endswith("[]"):
+                column = _elements(data, at, size, p.type[:-2], numbers)
+            else:
+                column = _content(data, at, size, p.type)
+        columns.append(column.alias(p.name))
+    return located.select(*logs.columns, *columns)

@@ -112,27 +112,81 @@ def parse_text_value(text: Column, kind: str, scale: int = 18) -> Column:
     return F.lit(None).cast(T.StringType())
 
 
+def _check_overflow(overflow: str) -> None:
+    if overflow not in ("reject", "wrap"):
+        raise ValueError("overflow is 'reject' or 'wrap'")
+
+
 def narrow_uint32(number: Column, overflow: str = "reject") -> Column:
-    """An unsigned 32-bit number as INT: NULL above 2^31 - 1, or wrapped to a negative number."""
-    return _narrow(number, INT32_END, UINT32_SPAN, "int", overflow)
+    """An unsigned 32-bit number that must fit 31 bits: NULL above, or wrapped to a negative number."""
+    _check_overflow(overflow)
+    fits = F.when((number >= 0) & (number < INT32_END), number)
+    if overflow == "reject":
+        return fits
+    return fits.when((number >= INT32_END) & (number < UINT32_SPAN), number - UINT32_SPAN)
 
 
 def narrow_uint64(number: Column, overflow: str = "reject") -> Column:
-    """An unsigned 64-bit number as BIGINT: NULL above 2^63 - 1, or wrapped to a negative number."""
-    return _narrow(number, INT64_END, UINT64_SPAN, "bigint", overflow)
+    """An unsigned 64-bit number that must fit 63 bits: NULL above, or wrapped to a negative number."""
+    _check_overflow(overflow)
+    end, span = F.lit(Decimal(INT64_END)), F.lit(Decimal(UINT64_SPAN))
+    fits = F.when((number >= 0) & (number < end), number.try_cast("bigint"))
+    if overflow == "reject":
+        return fits
+    return fits.when((number >= end) & (number < span), (number - span).try_cast("bigint"))
 
 
-def _narrow(number: Column, end: int, span: int, kind: str, overflow: str) -> Column:
-    wide = number.cast("decimal(21,0)")
-    inside = (wide >= 0) & (wide < F.lit(Decimal(end)))
-    if overflow == "reject":
-        return F.when(inside, number.try_cast(kind))
-    if overflow != "wrap":
-        raise ValueError("overflow is 'reject' or 'wrap'")
-    return F.when(inside, number.try_cast(kind)).when(
-        (wide >= 0) & (wide < F.lit(Decimal(span))),
-        (wide - F.lit(Decimal(span))).try_cast(kind),
+def canonical(typed: Column, overflow: str = "reject") -> Column:
+    """A value as (kind, text, bytes), whatever its alternative.
+
+    kind is number, text, bool, bytes, array, or NULL for no value. Numbers and booleans stand as
+    their text, a link as its uri; text is NULL for a number out of range or no number at all.
+    """
+    numbers = [
+        typed["int32"].cast("string"),
+        narrow_uint32(typed["uint32"], overflow).cast("string"),
+        typed["int64"].cast("string"),
+        narrow_uint64(typed["uint64"], overflow).cast("string"),
+        F.when(typed["bigdecimal"].rlike(NUMBER_TEXT), typed["bigdecimal"]),
+        _guarded(typed["bigint"], INTEGER_TEXT, "bigint").cast("string"),
+    ]
+    is_text = typed["string"].isNotNull() | typed["offchaindata"].isNotNull()
+    is_number = F.lit(False)
+    for name in ("int32", "uint32", "int64", "uint64", "bigdecimal", "bigint"):
+        is_number = is_number | typed[name].isNotNull()
+    kind = (
+        F.when(typed.isNull(), None)
+        .when(is_text, "text")
+        .when(is_number, "number")
+        .when(typed["bool"].isNotNull(), "bool")
+        .when(typed["bytes"].isNotNull(), "bytes")
+        .when(typed["array"].isNotNull(), "array")
     )
+    text = F.coalesce(
+        typed["string"], typed["offchaindata"]["uri"], *numbers, typed["bool"].cast("string")
+    )
+    return F.struct(kind.alias("kind"), text.alias("text"), typed["bytes"].alias("bytes"))
+
+
+def coerce_canonical(plain: Column, target: ContractColumn) -> Column:
+    """A value in canonical form as a column of the contract's type; NULL when it cannot be one."""
+    kind, text = plain["kind"], plain["text"]
+    name = type_name(target.type)
+    spark_type = target.spark_type
+    if name in ("interval", "time"):
+        return parse_text_value(text, name)
+    if isinstance(spark_type, T.StringType):
+        return text
+    if isinstance(spark_type, T.BinaryType):
+        return F.coalesce(plain["bytes"], F.when(kind == "text", parse_text_value(text, name)))
+    if isinstance(spark_type, T.DecimalType):
+        return parse_text_value(text, name, spark_type.scale)
+    if isinstance(spark_type, (T.ShortType, T.IntegerType, T.LongType)):
+        target_name = spark_type.simpleString()
+        return F.when(text.rlike(INTEGER_TEXT), text.try_cast(target_name)).when(
+            kind == "number", _decimal_text(text, 0).try_cast(target_name)
+        )
+    return parse_text_value(text, name)
 
 
 def coerce_typed_value(typed: Column, target: ContractColumn, overflow: str = "reject") -> Column:
@@ -141,46 +195,4 @@ def coerce_typed_value(typed: Column, target: ContractColumn, overflow: str = "r
     Unsigned numbers follow `overflow`, texts of another type than the column's are parsed strictly,
     a link stands as its uri, an array never fits.
     """
-    member = {f.name: typed[f.name] for f in VALUE.fields}
-    uint32 = narrow_uint32(member["uint32"], overflow)
-    uint64 = narrow_uint64(member["uint64"], overflow)
-    bigint = _guarded(member["bigint"], INTEGER_TEXT, "bigint")
-    text = F.coalesce(member["string"], member["offchaindata"]["uri"])
-    kind = type_name(target.type)
-    spark_type = target.spark_type
-    integers = [member["int32"], uint32, member["int64"], uint64, bigint]
-
-    if kind == "interval":
-        return F.lit(None).cast(spark_type)
-    if kind == "time":
-        return parse_text_value(text, kind)
-    if isinstance(spark_type, T.StringType):
-        decimal = F.when(member["bigdecimal"].rlike(NUMBER_TEXT), member["bigdecimal"])
-        return F.coalesce(
-            text, decimal, *[n.cast("string") for n in integers], member["bool"].cast("string")
-        )
-    if isinstance(spark_type, T.BinaryType):
-        return F.coalesce(member["bytes"], parse_text_value(text, kind))
-    if isinstance(spark_type, T.BooleanType):
-        return F.coalesce(member["bool"], parse_text_value(text, kind))
-    if isinstance(spark_type, (T.DateType, T.TimestampNTZType)):
-        return parse_text_value(text, kind)
-    if isinstance(spark_type, T.DecimalType):
-        scale = spark_type.scale
-        return F.coalesce(
-            *[n.try_cast(spark_type) for n in integers],
-            _decimal_text(member["bigdecimal"], scale),
-            parse_text_value(text, kind, scale),
-        )
-    if isinstance(spark_type, (T.FloatType, T.DoubleType)):
-        return F.coalesce(
-            *[n.try_cast(spark_type) for n in integers],
-            parse_text_value(member["bigdecimal"], kind),
-            parse_text_value(text, kind),
-        )
-    whole = _decimal_text(member["bigdecimal"], 0)
-    return F.coalesce(
-        *[n.try_cast(spark_type) for n in integers],
-        whole.try_cast(spark_type),
-        parse_text_value(text, kind),
-    )
+    return coerce_canonical(canonical(typed, overflow), target)

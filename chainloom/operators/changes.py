@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from chainloom.contracts import CREATE, DELETE, UNSET, UPDATE, Contract
 from chainloom.functions.binding import bind
-from chainloom.functions.typed import coerce_typed_value, has_alternative
+from chainloom.functions.typed import canonical, coerce_canonical, has_alternative
 
 # Text that is hashed into a row key (fixed value).
 ROW_KEY_LABEL = "bin.node.cli.PRIMARY_KEY_INSERT_INTO"
@@ -107,27 +107,31 @@ def reject_invalid(changes: DataFrame, operations: Sequence[int] = (CREATE,)) ->
     old value, a field without a new value, a field with an array. A value with no alternative set
     stands for NULL, which an update may give and a create may not.
     """
-    fields = F.col("fields")
     operation = F.col("operation")
     known = F.coalesce(operation.isin(UNSET, CREATE, UPDATE, DELETE), F.lit(False))
     accepted = operation.isin(list(operations))
 
-    def some(test) -> Column:
-        return F.coalesce(F.exists(fields, test), F.lit(False))
+    def flaw(f: Column) -> Column:
+        new = f["new_value"]
+        return (
+            F.when(f["old_value"].isNotNull(), "old")
+            .when(new.isNull() | ((operation == CREATE) & ~has_alternative(new)), "missing")
+            .when(new["array"].isNotNull(), "array")
+        )
+
+    def some(name: str) -> Column:
+        return F.coalesce(F.array_contains("__flaws", F.lit(name)), F.lit(False))
 
+    flaws = F.coalesce(F.transform("fields", flaw), F.array().cast("array<string>"))
     reason = (
         F.when(~known, F.lit("invalid_operation"))
         .when(~accepted, F.lit("unsupported_operation"))
-        .when(some(lambda f: f["old_value"].isNotNull()), F.lit("old_value_given"))
-        .when(some(lambda f: f["new_value"].isNull()), F.lit("new_value_missing"))
-        .when(
-            (operation == CREATE) & some(lambda f: ~has_alternative(f["new_value"])),
-            F.lit("new_value_missing"),
-        )
-        .when(some(lambda f: f["new_value"]["array"].isNotNull()), F.lit("array_value"))
+        .when(some("old"), F.lit("old_value_given"))
+        .when(some("missing"), F.lit("new_value_missing"))
+        .when(some("array"), F.lit("array_value"))
         .when(F.col("ordinal") < 0, F.lit("ordinal_out_of_range"))
     )
-    return with_reason(changes, reason)
+    return with_reason(bind(changes, __flaws=flaws), reason).drop("__flaws")
 
 
 def last_field(name: str) -> Column:
@@ -143,14 +147,25 @@ def type_fields(changes: DataFrame, contract: Contract, overflow: str = "reject"
         if changes.schema["_typed"].dataType.fieldNames() != contract.names:
             raise ValueError(f"records were typed for another table than {contract.table}")
         return changes
-    given = F.struct(*[last_field(c.name)["new_value"].alias(c.name) for c in contract.columns])
-    picked = bind(changes, _given=given)
-    typed = F.struct(
+    plain = F.transform(
+        "fields",
+        lambda f: F.struct(f["name"].alias("name"), canonical(f["new_value"], overflow).alias("value")),
+    )
+    listed = bind(changes, __fields=F.reverse(plain))
+    # Reversed, so that the first field found is the last one given.
+    names = F.col("__fields")["name"]
+    given = F.struct(
         *[
-            coerce_typed_value(F.col("_given")[c.name], c, overflow).alias(c.name)
+            F.get(F.col("__fields")["value"], (F.array_position(names, c.name) - 1).cast("int")).alias(
+                c.name
+            )
             for c in contract.columns
         ]
     )
+    picked = bind(listed, _given=given).drop("__fields")
+    typed = F.struct(
+        *[coerce_canonical(F.col("_given")[c.name], c).alias(c.name) for c in contract.columns]
+    )
     return bind(picked, _typed=typed)
 
 
@@ -164,7 +179,7 @@ def conform_to_contract(changes: DataFrame, contract: Contract, overflow: str =
     for column in contract.columns:
         given, typed = F.col("_given")[column.name], F.col("_typed")[column.name]
         reason = reason.when(
-            has_alternative(given) & typed.isNull(), F.lit(f"bad_value:{column.name}")
+            given["kind"].isNotNull() & typed.isNull(), F.lit(f"bad_value:{column.name}")
         )
     return with_reason(type_fields(changes, contract, overflow), reason)
 

@@ -7,11 +7,13 @@ Log frames have block_num, block_hash, tx_index, tx_hash, log_index, ordinal, ad
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.functions.events import parameters, read_parameter, read_topic
+from chainloom.functions.binding import bind
+from chainloom.functions.events import parameters, read_parameters
 from chainloom.functions.hexes import (
     WORD,
     hex_text,
@@ -53,33 +55,33 @@ def filter_event_logs(logs: DataFrame, signatures: DataFrame) -> DataFrame:
     return first.join(wanted, ["address", "__topic0"]).drop("__topic0")
 
 
-def decode_event_fields(logs: DataFrame, event: str, numbers: str = "hex") -> DataFrame:
-    """Add the parameters of one event type as columns.
+def decode_event_fields(
+    logs: DataFrame, event: str, numbers: str = "hex", only: Sequence[str] | None = None
+) -> DataFrame:
+    """Add the parameters of one event type as columns, or `only` those named.
 
     Numbers of 256 bits are hex words, or BIGINT or DECIMAL(38,0) by `numbers` (NULL if larger).
     Data that ends before a parameter gives NULL.
     """
-    hex_data = F.col("__data")
-    topic, slot, decoded = 0, 0, []
-    for parameter in parameters(event):
-        if parameter.indexed:
-            column = read_topic(F.col("topics"), topic, parameter.type, numbers)
-            topic += 1
-        else:
-            column = read_parameter(hex_data, slot, parameter.type, numbers)
-            slot += 1
-        decoded.append(column.alias(parameter.name))
-    kept = logs.columns
-    return logs.withColumn("__data", hex_text(F.col("data"))).select(*kept, *decoded)
+    known = parameters(event)
+    wanted = known if only is None else [p for p in known if p.name in only]
+    return read_parameters(logs, wanted, known, numbers)
 
 
 def posts(logs: DataFrame, table: str = "lens_posts") -> DataFrame:
     """PostCreated logs as change records; the content link becomes a request."""
-    decoded = decode_event_fields(logs, "PostCreated")
-    profile = little_endian_hex(F.col("profileId"))
+    decoded = decode_event_fields(
+        logs, "PostCreated", only=("profileId", "pubId", "contentURI", "timestamp")
+    )
+    decoded = bind(
+        decoded,
+        __profile=little_endian_hex(F.col("profileId")),
+        __post=little_endian_hex(F.col("pubId")),
+    )
+    profile = F.col("__profile")
     record = change(
         table,
-        F.concat(profile, F.lit("-"), little_endian_hex(F.col("pubId"))),
+        F.concat(profile, F.lit("-"), F.col("__post")),
         F.col("ordinal"),
         [
             field("profile_id", value(string=profile)),

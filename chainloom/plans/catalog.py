@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from chainloom.contracts import CREATE, DELETE, ETH_BLOCKHEADERS, LENS_POSTS, UPDATE, contract
 from chainloom.contracts import Column as ContractColumn
+from chainloom.functions.binding import bind
 from chainloom.functions.posts_json import RECORDS
 from chainloom.functions.skew import ensure_checkpoint_dir
 from chainloom.functions.typed import (
-    coerce_typed_value,
+    canonical,
+    coerce_canonical,
     field,
     offchain_request,
     parse_text_value,
@@ -211,9 +213,10 @@ from n""",
 )
 def q_coerce_typed_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     def as_type(kind: str, scale: int | None = None, overflow: str = "reject") -> Column:
-        return coerce_typed_value(F.col("value"), ContractColumn("c", kind, scale), overflow)
+        return coerce_canonical(F.col(overflow), ContractColumn("c", kind, scale))
 
-    return _typed_values(spark, sf_dir).select(
+    plain = {name: canonical(F.col("value"), name) for name in ("reject", "wrap")}
+    return bind(_typed_values(spark, sf_dir), **plain).select(
         "event_id",
         as_type("text").alias("as_text"),
         as_type("integer").cast("string").alias("as_integer"),
