@@ -70,7 +70,10 @@ def _guarded(text: Column, pattern: str, kind: str) -> Column:
 def _decimal_text(text: Column, scale: int) -> Column:
     """DECIMAL(38, scale), NULL when the number needs more digits on either side."""
     fraction = F.rtrim(F.regexp_extract(text, r"\.([0-9]*)", 1), F.lit("0"))
-    exponent = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    # A cast that fails is slow, so texts without an exponent do not try one.
+    exponent = F.when(
+        text.rlike("[eE]"), F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")
+    ).otherwise(0)
     fits = F.length(fraction) - exponent <= scale
     return F.when(text.rlike(NUMBER_TEXT) & fits, text.try_cast(f"decimal(38,{scale})"))
 

@@ -147,22 +147,19 @@ def type_fields(changes: DataFrame, contract: Contract, overflow: str = "reject"
         if changes.schema["_typed"].dataType.fieldNames() != contract.names:
             raise ValueError(f"records were typed for another table than {contract.table}")
         return changes
-    plain = F.transform(
-        "fields",
-        lambda f: F.struct(f["name"].alias("name"), canonical(f["new_value"], overflow).alias("value")),
-    )
-    listed = bind(changes, __fields=F.reverse(plain))
     # Reversed, so that the first field found is the last one given.
-    names = F.col("__fields")["name"]
+    listed = bind(
+        changes,
+        __names=F.reverse(F.transform("fields", lambda f: f["name"])),
+        __values=F.reverse(F.transform("fields", lambda f: canonical(f["new_value"], overflow))),
+    )
     given = F.struct(
         *[
-            F.get(F.col("__fields")["value"], (F.array_position(names, c.name) - 1).cast("int")).alias(
-                c.name
-            )
+            F.get("__values", (F.array_position("__names", c.name) - 1).cast("int")).alias(c.name)
             for c in contract.columns
         ]
     )
-    picked = bind(listed, _given=given).drop("__fields")
+    picked = bind(listed, _given=given).drop("__names", "__values")
     typed = F.struct(
         *[coerce_canonical(F.col("_given")[c.name], c).alias(c.name) for c in contract.columns]
     )
