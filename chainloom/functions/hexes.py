@@ -27,12 +27,6 @@ def right_padded_word(data: Column) -> Column:
     return F.rpad(hex_text(data), WORD, "0")
 
 
-def word_at(hex_data: Column, index: Column | int) -> Column:
-    """The word with this 0-based index in hex text; shorter or empty past the end."""
-    position = F.lit(index) * WORD + 1 if isinstance(index, int) else index * WORD + 1
-    return F.substring(hex_data, position.cast("int"), F.lit(WORD))
-
-
 def _u64(digits: Column) -> Column:
     return F.conv(digits, 16, 10).cast("decimal(20,0)")
 
@@ -101,9 +95,6 @@ def bytes_to_word(data: Column) -> Column:
 def little_endian_hex(word: Column) -> Column:
     """The number in a word as signed little-endian bytes in hex: shortest form, with a zero byte
     appended when the top bit is set."""
-    bare = F.ltrim(word, F.lit("0"))
-    even = F.when(F.length(bare) == 0, F.lit("00")).otherwise(
-        F.when(F.length(bare) % 2 == 1, F.concat(F.lit("0"), bare)).otherwise(bare)
-    )
-    swapped = F.array_join(F.reverse(F.regexp_extract_all(even, F.lit("(..)"), F.lit(1))), "")
+    even = F.regexp_extract(word, "^(?:00)*((?:..)+)$", 1)
+    swapped = F.regexp_replace(F.reverse(even), "(.)(.)", "$2$1")
     return F.concat(swapped, F.when(F.substring(even, 1, 1) >= "8", F.lit("00")).otherwise(F.lit("")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.contracts import CREATE, FIELD
+from chainloom.contracts import CREATE
 from chainloom.functions.hexes import hex_text
 from chainloom.functions.typed import field, value
 
@@ -19,7 +19,7 @@ def change(record: str, id_column, ordinal, fields, operation=None):
         id_column.alias("id"),
         ordinal.cast("bigint").alias("ordinal"),
         (F.lit(CREATE) if operation is None else operation).cast("int").alias("operation"),
-        F.array(*fields).cast(f"array<{FIELD.simpleString()}>").alias("fields"),
+        F.array(*fields).alias("fields"),
     )
 
 

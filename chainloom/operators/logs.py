@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainloom.functions.binding import bind
-from chainloom.functions.events import parameters, read_parameters
+from chainloom.functions.events import WORD_BYTES, parameters, read_parameters
 from chainloom.functions.hexes import (
-    WORD,
     hex_text,
     little_endian_hex,
     right_padded_word,
@@ -107,15 +106,14 @@ def data_words(data: Column, legacy_windows: bool = False) -> Column:
     `legacy_windows` gives the overlapping windows of an older form instead: bytes i to i+32 for i
     from 1 to one less than the number of words.
     """
-    text = hex_text(data)
-    words = F.floor(F.length(text) / WORD).cast("int")
+    words = F.floor(F.octet_length(data) / WORD_BYTES).cast("int")
     if not legacy_windows:
-        return F.substring(text, F.lit(1), words * WORD)
+        return hex_text(F.substring(data, F.lit(1), words * WORD_BYTES))
     windows = F.transform(
         F.sequence(F.lit(1), F.greatest(words - 1, F.lit(1))),
-        lambda i: F.substring(text, i * 2 + 1, F.lit(WORD)),
+        lambda i: hex_text(F.substring(data, i + 1, F.lit(WORD_BYTES))),
     )
-    return F.when(text.isNull(), None).when(words < 2, "").otherwise(F.array_join(windows, ""))
+    return F.when(data.isNull(), None).when(words < 2, "").otherwise(F.array_join(windows, ""))
 
 
 def event_rows(

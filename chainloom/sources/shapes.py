@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainloom.contracts import CHANGE, CREATE, DELETE, UPDATE, contract
+from chainloom.functions.binding import bind
 from chainloom.functions.hexes import WORD, word_from_number
 from chainloom.functions.typed import field, no_value, offchain_request, value
 from chainloom.operators.logs import POST_HANDLER, POST_RETRIES, POST_WAIT, POSTS_CONTRACT
@@ -190,7 +191,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     offset of its bytes, another module, its bytes, the time) and then the link and empty bytes.
     """
     key, number = F.col("event_id"), event_block()
-    link = F.lower(F.hex(F.encode(F.concat(F.lit("https://example.org/"), F.col("props")), "UTF-8")))
+    link = F.col("__link")
     link_words = F.ceil(F.length(link) / WORD) + 1
     after_link = F.lit(6 * 32) + link_words * 32
     data = F.concat(
@@ -204,7 +205,11 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unhex(word_from_number(key)),
     )
     first_only = F.col("event_type") == "view"
-    return table(spark, sf_dir, "events").select(
+    link_text = F.concat(F.lit("https://example.org/"), F.col("props"))
+    events = bind(
+        table(spark, sf_dir, "events"), __link=F.lower(F.hex(F.encode(link_text, "UTF-8")))
+    )
+    return events.select(
         number.alias("block_num"),
         number_hash(number).alias("block_id"),
         F.concat(F.lit("c"), number.cast("string")).alias("cursor"),
@@ -234,7 +239,7 @@ def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def post_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The logs that have the topics of a post, all from the posts contract."""
-    full = logs(spark, sf_dir).filter(F.size("topics") == 3)
+    full = logs(spark, sf_dir).filter(F.col("event_type") != "view")
     return full.withColumn("address", F.unhex(F.lit(POSTS_CONTRACT)))
 
 
