@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 from chainloom.contracts import OFFCHAIN_REQUEST, VALUE, ContractError, type_name
 from chainloom.contracts import Column as ContractColumn
 
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
-NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-SPECIAL_FLOAT_TEXT = r"^[+-]?(?i)(inf|infinity|nan)$"
-DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
-TIME_TEXT = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]{1,9})?$"
+# \z is the end of the text; $ would also match before a last line break.
+INTEGER_TEXT = r"^[+-]?[0-9]+\z"
+NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+SPECIAL_FLOAT_TEXT = r"^[+-]?(?i)(inf|infinity|nan)\z"
+DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+TIMESTAMP_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+TIME_TEXT = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]{1,9})?\z"
 
 INT32_END = 2**31
 UINT32_SPAN = 2**32
@@ -96,7 +97,7 @@ def parse_text_value(text: Column, kind: str, scale: int = 18) -> Column:
     if kind in ("float", "float4", "double", "float8"):
         target = "float" if kind in ("float", "float4") else "double"
         # A sign before "nan" means nothing, and Spark does not read it.
-        unsigned = F.when(text.rlike(r"^[+-](?i)nan$"), F.lit("NaN")).otherwise(text)
+        unsigned = F.when(text.rlike(r"^[+-](?i)nan\z"), F.lit("NaN")).otherwise(text)
         return F.when(
             text.rlike(NUMBER_TEXT) | text.rlike(SPECIAL_FLOAT_TEXT), unsigned.try_cast(target)
         )
