@@ -117,13 +117,17 @@ def process_batch(
 ) -> None:
     """Take one batch of blocks to committed rows, tasks and progress.
 
-    Blocks outside the range or at or before the run's cursor are passed over, and a batch of a
-    stream that was committed before is not done again, so no block is written twice.
+    A batch of a source that was committed before is not done again. Blocks outside the range are
+    passed over, and so are those up to the cursor that the run had reached before this source began:
+    a new source, such as a stream that lost its checkpoint, starts where the last one ended. Inside
+    a source blocks may come in any order.
     """
     if store.has(source, epoch):
         return
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    cursor, done, _ = progress.get_cursor(store.progress(), job.run_id, job.start)
+    cursor, done, _ = progress.get_cursor(
+        store.progress(before=source), job.run_id, job.start
+    )
     todo = block_range_scan(source_blocks, job.start, job.stop)
     if cursor:
         todo = todo.filter(F.col("block_num") > done)
@@ -244,7 +248,7 @@ def run_batch(
 ) -> None:
     """All blocks as one batch, then one attempt for the links."""
     epoch = store.last_batch() + 1
-    process_batch(job, store, source_blocks, f"batch:{job.run_id}", epoch, now)
+    process_batch(job, store, source_blocks, f"batch:{job.run_id}:{epoch}", epoch, now)
     if job.enrichment is not None:
         resolve_batch(job.enrichment, store, f"links:{job.run_id}", epoch, now, at_once=True)
 

@@ -24,7 +24,8 @@ def stream_ingest(
     """Start the run. With `available_now` it stops when the blocks at hand are done.
 
     The checkpoint remembers which files were read, the store which batches were committed and up to
-    which block. Losing the checkpoint re-reads the files and writes nothing twice.
+    which block. Losing the checkpoint re-reads the files and writes nothing twice; for that case
+    blocks must have arrived in order, since a cursor stands for all blocks before it.
     """
 
     def each_batch(frame: DataFrame, epoch: int) -> None:

@@ -74,9 +74,15 @@ class BatchStore:
         """The committed rows of a keyed table."""
         return self.read(contract.table, contract.schema).select(*contract.names)
 
-    def progress(self) -> DataFrame:
-        """The furthest cursor per run."""
-        return cursor_upsert(None, self.read(CURSORS.table, CURSORS.schema))
+    def progress(self, before: str | None = None) -> DataFrame:
+        """The furthest cursor per run; with `before`, as it was ahead of the first batch of a source."""
+        cursors = self.read(CURSORS.table, CURSORS.schema)
+        if before is not None:
+            own = self.read("commits", COMMITS).filter(F.col("source") == before)
+            first = own.agg(F.min("batch").alias("first")).first()["first"]
+            if first is not None:
+                cursors = cursors.filter(F.col("batch") < first)
+        return cursor_upsert(None, cursors)
 
     def folded(self, contract: Contract) -> DataFrame:
         """A keyed table kept as a list of changes, with all of them applied."""
