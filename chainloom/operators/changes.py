@@ -190,12 +190,13 @@ def fields_to_columns(
     overflow: str = "reject",
     keep: Sequence[str] = (*ORDER, "operation"),
     present: bool = False,
+    requests: bool = False,
 ) -> DataFrame:
     """One row of the table per record, without a shuffle.
 
     The last field of a name wins, also over the key. The first key column holds the derived key, or
     with `key="id"` the id of the record. `present` adds the list of columns the record gives, so
-    that an update to NULL differs from no update.
+    that an update to NULL differs from no update; `requests` the list of links to be fetched.
     """
     if key == "derived":
         own_key = derive_row_key(F.col("id"), F.col("ordinal"), algo)
@@ -213,17 +214,31 @@ def fields_to_columns(
     extra = [F.col(k).alias(f"_{k}") for k in keep]
     if present:
         extra.append(F.transform("fields", lambda f: f["name"]).alias("_present"))
+    if requests:
+        extra.append(link_requests().alias("_requests"))
     return source.select(*extra, *columns)
 
 
+def link_requests() -> Column:
+    """The links among the fields of a record."""
+    return F.filter(
+        F.transform("fields", lambda f: f["new_value"]["offchaindata"]), lambda r: r.isNotNull()
+    )
+
+
 def extract_offchain_requests(changes: DataFrame, manifest: str) -> DataFrame:
     """One task per link-valued field, with no retries yet."""
-    requests = changes.select(
-        *[c for c in ORDER if c in changes.columns],
-        F.explode(F.transform("fields", lambda f: f["new_value"]["offchaindata"])).alias("request"),
-    ).filter(F.col("request").isNotNull())
-    return requests.select(
-        *[c for c in ORDER if c in changes.columns],
+    return request_tasks(changes.withColumn("_requests", link_requests()), manifest, ORDER)
+
+
+def request_tasks(rows: DataFrame, manifest: str, order: Sequence[str]) -> DataFrame:
+    """The tasks in `_requests`, with the place of their record."""
+    placed = rows.select(
+        *[F.col(c).alias(name) for c, name in zip(order, ORDER)],
+        F.explode("_requests").alias("request"),
+    )
+    return placed.select(
+        *ORDER,
         F.col("request.uri").alias("uri"),
         F.lit(manifest).alias("manifest"),
         F.col("request.handler").alias("handler"),

@@ -10,10 +10,14 @@ from chainloom.functions.skew import broadcast_if_small
 
 
 def batch_progress(blocks: DataFrame, run_id: str) -> DataFrame:
-    """The cursor row of a batch: its last block, whether or not the block had changes."""
+    """The cursor row of a batch: its last block, whether or not the block had changes. Always one
+    row; without any block it is empty."""
     last = blocks.agg(F.max_by(F.struct("cursor", "block_num", "block_id"), "block_num").alias("last"))
-    return last.filter(F.col("last").isNotNull()).select(
-        F.lit(run_id).alias("id"), "last.cursor", "last.block_num", "last.block_id"
+    return last.select(
+        F.when(F.col("last").isNotNull(), F.lit(run_id)).alias("id"),
+        "last.cursor",
+        "last.block_num",
+        "last.block_id",
     )
 
 

@@ -953,7 +953,7 @@ def q_flush_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     reached = progress.batch_progress(records, "flush")
     store.commit({"rows": rows.filter(F.col("operation") != DELETE)}, reached, "flush", 0)
     store.commit({"rows": rows.filter(F.col("operation") == DELETE)}, reached, "flush", 1)
-    store.write({"rows": rows}, reached)
+    store.write({"rows": rows})
     cursor = store.progress().select("cursor").scalar()
     return store.read("rows", rows.schema).select("batch", "ordinal", cursor.alias("cursor"))
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
@@ -88,22 +89,36 @@ class IngestJob:
 
 
 def change_records(job: IngestJob, todo: DataFrame) -> DataFrame:
-    """The change records of the blocks, tagged where they cannot be written."""
+    """The change records of the blocks, one row each."""
     records = job.transform(todo)
     if "record_changes" in records.columns:
         records = changes.explode_changes(records).filter(F.col("record").isNotNull())
+    return records
+
+
+def checked_rows(job: IngestJob, records: DataFrame, contract: Contract) -> DataFrame:
+    """All records of one table as typed and keyed rows, `_reject_reason` set where a rule is broken."""
     operations = (CREATE,) if job.mode == "append" else (CREATE, UPDATE, DELETE)
-    return changes.reject_invalid(changes.route_by_table(records, job.contracts), operations)
+    tagged = changes.reject_invalid(changes.rows_for(records, contract), operations)
+    return changes.fields_to_columns(
+        changes.conform_to_contract(tagged, contract, job.overflow),
+        contract,
+        key="derived" if job.mode == "append" else "id",
+        algo=job.algo,
+        overflow=job.overflow,
+        keep=(*changes.ORDER, "operation", "reject_reason"),
+        present=job.mode == "changes",
+        requests=job.enrichment is not None,
+    )
 
 
-def _rejects(frame: DataFrame, record: str | None = None) -> DataFrame:
-    prefix = "" if record is None else "_"
+def _rejects(frame: DataFrame, record: Column, reason: str, prefix: str = "_") -> DataFrame:
     return frame.select(
         F.col(f"{prefix}block_num").alias("block_num"),
         F.col(f"{prefix}ordinal").alias("ordinal"),
         F.col(f"{prefix}pos").alias("pos"),
-        (F.col("record") if record is None else F.lit(record)).alias("record"),
-        "reject_reason",
+        record.alias("record"),
+        F.col(reason).alias("reject_reason"),
     )
 
 
@@ -121,64 +136,64 @@ def process_batch(
     passed over, and so are those up to the cursor that the run had reached before this source began:
     a new source, such as a stream that lost its checkpoint, starts where the last one ended. Inside
     a source blocks may come in any order.
+
+    The rows of each table are worked out once and kept for the checks and the write.
     """
     if store.has(source, epoch):
         return
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    cursor, done, _ = progress.get_cursor(
-        store.progress(before=source), job.run_id, job.start
-    )
     todo = block_range_scan(source_blocks, job.start, job.stop)
-    if cursor:
-        todo = todo.filter(F.col("block_num") > done)
-
-    tagged = change_records(job, todo).persist(StorageLevel.MEMORY_AND_DISK)
-    held = [tagged]
+    if store.last_batch() >= 0:
+        cursor, done, _ = progress.get_cursor(
+            store.progress(before=source), job.run_id, job.start
+        )
+        if cursor:
+            todo = todo.filter(F.col("block_num") > done)
+
+    records = change_records(job, todo)
+    unknown = changes.route_by_table(records, job.contracts).filter("reject_reason is not null")
+    rejects = [_rejects(unknown, F.col("record"), "reject_reason", prefix="")]
+    tables: dict[str, DataFrame] = {}
+    tasks: list[DataFrame] = []
+    held: list[DataFrame] = []
     try:
-        valid, refused = changes.split_rejects(tagged)
-        rejects = [_rejects(refused)]
-        tables: dict[str, DataFrame] = {}
         for contract in job.contracts:
-            conformed = changes.conform_to_contract(
-                changes.rows_for(valid, contract), contract, job.overflow
-            )
-            fitting, misfits = changes.split_rejects(conformed)
-            rejects.append(_rejects(misfits))
-            rows = changes.fields_to_columns(
-                fitting,
-                contract,
-                key="derived" if job.mode == "append" else "id",
-                algo=job.algo,
-                overflow=job.overflow,
-                present=job.mode == "changes",
+            rows = checked_rows(job, records, contract).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(rows)
+            name = F.lit(contract.table)
+            rejects.append(
+                _rejects(rows.filter("_reject_reason is not null"), name, "_reject_reason")
             )
+            valid = rows.filter("_reject_reason is null").drop("_reject_reason")
+            if job.enrichment is not None:
+                tasks.append(
+                    changes.request_tasks(
+                        valid, job.enrichment.manifest, [f"_{c}" for c in changes.ORDER]
+                    )
+                )
+                valid = valid.drop("_requests")
             if job.mode == "changes":
-                tables[f"{contract.table}_changes"] = rows
+                tables[f"{contract.table}_changes"] = valid
                 continue
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(rows)
             fresh, repeated = keyed.insert_append(
-                store.rows(contract),
-                rows,
+                store.rows(contract) if store.has_rows(contract.table) else None,
+                valid,
                 contract.keys,
                 on_duplicate=job.on_duplicate,
                 on_conflict=job.on_conflict,
             )
             tables[contract.table] = fresh.select(*contract.names)
-            rejects.append(_rejects(repeated, contract.table))
-        all_rejects = rejects[0]
-        for more in rejects[1:]:
-            all_rejects = all_rejects.unionByName(more)
+            rejects.append(_rejects(repeated, name, "reject_reason"))
+        all_rejects = reduce(DataFrame.unionByName, rejects)
         if job.strict:
             first = all_rejects.head(1)
             if first:
                 raise changes.RejectedRecords(f"{job.run_id}: {first[0].asDict()}")
         else:
             tables["rejects"] = all_rejects
-        if job.enrichment is not None:
-            requests = changes.extract_offchain_requests(valid, job.enrichment.manifest)
+        if tasks:
             known = store.read(RESOLVER_TASKS.table, RESOLVER_TASKS.schema)
-            new = links.enqueue_tasks(known, requests, now)
+            new = links.enqueue_tasks(known, reduce(DataFrame.unionByName, tasks), now)
             tables[RESOLVER_TASKS.table] = new.select(*RESOLVER_TASKS.names)
         store.commit(tables, progress.batch_progress(todo, job.run_id), source, epoch)
     finally:
@@ -231,7 +246,7 @@ def resolve_batch(
         for contract in enrichment.contracts:
             rows = links.parsed_rows(resolved, contract)
             fresh, _ = keyed.insert_append(
-                store.rows(contract),
+                store.rows(contract) if store.has_rows(contract.table) else None,
                 rows,
                 contract.keys,
                 on_duplicate="reject",

@@ -1,14 +1,15 @@
 """Batches of rows that appear together with their progress, or not at all.
 
 A table is a folder with one subfolder per batch, `batch=<n>`, read by Spark as a partitioned Parquet
-table. A batch is written in three steps: the rows of every table, the cursor, and last a one-row
-marker. Readers keep the batches that have a marker, so a half-written batch is never seen, and doing
-it again overwrites it. One writer per store.
+table. A batch is written in two steps: the rows of every table, and last one progress row with the
+cursor. Readers keep the batches that have a progress row, so a half-written batch is never seen, and
+doing it again overwrites it. One writer per store.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,13 @@ from chainloom.contracts import CURSORS, Contract
 from chainloom.operators.keyed import apply_changes
 from chainloom.operators.progress import cursor_upsert
 
-COMMITS = T.StructType(
-    [T.StructField("source", T.StringType()), T.StructField("epoch", T.LongType())]
+# One row per batch: who wrote it, and the cursor it reached, if it read blocks.
+PROGRESS = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("epoch", T.LongType()),
+        *CURSORS.schema.fields,
+    ]
 )
 CHANGE_COLUMNS = T.StructType(
     [
@@ -33,42 +39,70 @@ CHANGE_COLUMNS = T.StructType(
 )
 
 
+@dataclass
+class Source:
+    """What a store knows about one writer of batches."""
+
+    first_batch: int | None
+    last_epoch: int
+
+
 class BatchStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self._last: int | None = None
+        self._sources: dict[str, Source] = {}
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _all(self, table: str, schema: T.StructType) -> DataFrame:
-        """All batches of a table, marked or not, with their number."""
+    def _all(self, table: str, schema: T.StructType) -> DataFrame | None:
+        """All batches of a table, with or without progress, with their number; None without any."""
         with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         try:
             return self.spark.read.schema(with_batch).parquet(self._path(table))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], with_batch)
+            return None
 
     def last_batch(self) -> int:
-        """Number of the last marked batch, -1 without any; read once, then known to the writer."""
+        """Number of the last committed batch, -1 without any; read once, then known to the writer."""
         if self._last is None:
-            row = self._all("commits", COMMITS).agg(F.max("batch").alias("last")).first()
-            self._last = -1 if row["last"] is None else int(row["last"])
+            batches = self._all(CURSORS.table, PROGRESS)
+            row = None if batches is None else batches.agg(F.max("batch").alias("last")).first()
+            self._last = -1 if row is None or row["last"] is None else int(row["last"])
         return self._last
 
+    def source(self, name: str) -> Source:
+        """The first batch and the last epoch of a source; read once per source."""
+        if name not in self._sources:
+            known = Source(None, -1)
+            if self.last_batch() >= 0:
+                own = self.read(CURSORS.table, PROGRESS).filter(F.col("source") == name)
+                row = own.agg(F.min("batch").alias("first"), F.max("epoch").alias("epoch")).first()
+                if row["first"] is not None:
+                    known = Source(int(row["first"]), int(row["epoch"]))
+            self._sources[name] = known
+        return self._sources[name]
+
     def has(self, source: str, epoch: int) -> bool:
-        """Whether this batch of a stream has been committed before."""
-        done = self._all("commits", COMMITS).filter(
-            (F.col("source") == source) & (F.col("epoch") == epoch)
-        )
-        return bool(done.head(1))
+        """Whether this batch of a source has been committed before; epochs of a source only grow."""
+        return epoch <= self.source(source).last_epoch
 
     def read(self, table: str, schema: T.StructType) -> DataFrame:
         """The committed rows, with the number of their batch."""
-        return self._all(table, schema).filter(F.col("batch") <= self.last_batch())
+        batches = self._all(table, schema) if self.last_batch() >= 0 else None
+        if batches is None:
+            return self.spark.createDataFrame(
+                [], T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+            )
+        return batches.filter(F.col("batch") <= self.last_batch())
+
+    def has_rows(self, table: str) -> bool:
+        """Whether any batch of this table may be committed."""
+        return self.last_batch() >= 0 and self._all(table, T.StructType([])) is not None
 
     def rows(self, contract: Contract) -> DataFrame:
         """The committed rows of a keyed table."""
@@ -76,12 +110,9 @@ class BatchStore:
 
     def progress(self, before: str | None = None) -> DataFrame:
         """The furthest cursor per run; with `before`, as it was ahead of the first batch of a source."""
-        cursors = self.read(CURSORS.table, CURSORS.schema)
-        if before is not None:
-            own = self.read("commits", COMMITS).filter(F.col("source") == before)
-            first = own.agg(F.min("batch").alias("first")).first()["first"]
-            if first is not None:
-                cursors = cursors.filter(F.col("batch") < first)
+        cursors = self.read(CURSORS.table, PROGRESS).filter(F.col("id").isNotNull())
+        if before is not None and self.source(before).first_batch is not None:
+            cursors = cursors.filter(F.col("batch") < self.source(before).first_batch)
         return cursor_upsert(None, cursors)
 
     def folded(self, contract: Contract) -> DataFrame:
@@ -95,26 +126,35 @@ class BatchStore:
             order=("batch", "_block_num", "_ordinal", "_pos"),
         )
 
-    def write(self, tables: Mapping[str, DataFrame], cursors: DataFrame | None) -> int:
-        """Write the rows and the cursor of the next batch; not yet visible."""
+    def write(self, tables: Mapping[str, DataFrame]) -> int:
+        """Write the rows of the next batch; not yet visible."""
         batch = self.last_batch() + 1
         for table, rows in tables.items():
             rows.write.mode("overwrite").parquet(f"{self._path(table)}/batch={batch}")
-        if cursors is not None:
-            cursors.coalesce(1).write.mode("overwrite").parquet(
-                f"{self._path(CURSORS.table)}/batch={batch}"
-            )
         return batch
 
-    def mark(self, batch: int, source: str, epoch: int) -> None:
-        """Make a written batch visible: one file with one row."""
-        marker = self.spark.createDataFrame([(source, epoch)], COMMITS).coalesce(1)
-        marker.write.mode("overwrite").parquet(f"{self._path('commits')}/batch={batch}")
+    def mark(self, batch: int, source: str, epoch: int, cursors: DataFrame | None) -> None:
+        """Make a written batch visible: one file with one progress row."""
+        if cursors is None:
+            row = self.spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in CURSORS.schema])
+        else:
+            row = cursors.select(*CURSORS.names)
+        stamped = row.select(
+            F.lit(source).alias("source"), F.lit(epoch).cast("bigint").alias("epoch"), *CURSORS.names
+        )
+        stamped.coalesce(1).write.mode("overwrite").parquet(
+            f"{self._path(CURSORS.table)}/batch={batch}"
+        )
+        known = self.source(source)
+        first = batch if known.first_batch is None else known.first_batch
+        self._sources[source] = Source(first, epoch)
         self._last = batch
 
     def commit(
         self, tables: Mapping[str, DataFrame], cursors: DataFrame | None, source: str, epoch: int
     ) -> int:
-        batch = self.write(tables, cursors)
-        self.mark(batch, source, epoch)
+        """Write a batch and make it visible. `cursors` has one row, empty when no block was read."""
+        self.source(source)
+        batch = self.write(tables)
+        self.mark(batch, source, epoch, cursors)
         return batch

@@ -137,11 +137,11 @@ class DyingStore(BatchStore):
 
     deaths = 1
 
-    def mark(self, batch, source, epoch):
+    def mark(self, batch, source, epoch, cursors):
         if batch == 1 and DyingStore.deaths:
             DyingStore.deaths -= 1
             raise Killed("between rows and marker")
-        super().mark(batch, source, epoch)
+        super().mark(batch, source, epoch, cursors)
 
 
 def test_killed_between_rows_and_marker(spark, tmp_path):
