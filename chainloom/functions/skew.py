@@ -50,11 +50,6 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint when it is small enough; otherwise Spark shuffles it."""
-    return F.broadcast(df) if has_at_most(df, rows) else df
-
-
 def join_group_stats(
     rows: DataFrame,
     stats: DataFrame,
@@ -85,6 +80,22 @@ def join_group_stats(
     return hot_rows.join(F.broadcast(hot_stats), keys, how).unionByName(cold_rows.join(stats, keys, how))
 
 
+def join_lookup(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    *,
+    how: str = "inner",
+    bound: int = BROADCAST_ROWS,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """Join rows with a table of one row per key: broadcast up to `bound` rows, beyond it a shuffle
+    join that keeps the rows of hot keys where they are."""
+    if has_at_most(lookup, bound):
+        return rows.join(F.broadcast(lookup), list(keys), how)
+    return join_group_stats(rows, lookup, keys, how=how, limit=limit)
+
+
 def _no_nulls(keys: Sequence[str]) -> Column:
     out = F.lit(True)
     for key in keys:

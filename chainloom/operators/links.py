@@ -17,6 +17,7 @@ from chainloom.contracts import Contract
 from chainloom.functions.posts_json import RECORDS, parse_post
 from chainloom.functions.typed import narrow_uint32, narrow_uint64
 from chainloom.operators.changes import conform_to_contract, fields_to_columns
+from chainloom.operators.keyed import existing_keys
 
 # Task states (fixed values).
 QUEUED = 0
@@ -73,7 +74,8 @@ def enqueue_tasks(
         .select(*TASK_KEY, "first.*")
     )
     if tasks is not None:
-        new = new.join(tasks.select(*TASK_KEY), list(TASK_KEY), "left_anti")
+        known = existing_keys(new, tasks, TASK_KEY)
+        new = new.join(known, list(TASK_KEY), "left_anti")
     return new.select(
         *TASK_KEY, *others, F.lit(QUEUED).alias("state"), _instant(now).alias("due_at")
     )
@@ -254,6 +256,35 @@ def _buildable(fields: Column) -> Column:
     return F.forall(fields, lambda f: F.coalesce(fits(f), F.lit(False)))
 
 
+def attempt_tasks(
+    tasks: DataFrame,
+    content: DataFrame | None,
+    registry: Registry,
+    now: dt.datetime | str,
+    *,
+    fetcher: Callable | None = None,
+    ipfs_gateways: Sequence[str] = (),
+    limit: int = MAX_CONTENT_SIZE,
+) -> DataFrame:
+    """`resolve_tasks` with the content attached. Only tasks that can be resolved are looked up or
+    fetched, so a link has no more rows in the join than there are manifests."""
+    ended = classify(
+        F.col("uri"), F.col("manifest"), known_schemes(ipfs_gateways), list(registry)
+    )
+    marked = tasks.withColumn("__doomed", ended.isNotNull())
+    live = attach_content(
+        marked.filter(~F.col("__doomed")), content, fetcher=fetcher, ipfs_gateways=ipfs_gateways
+    )
+    doomed = marked.filter("__doomed").withColumn("content", F.lit(None).cast(live.schema["content"].dataType))
+    return resolve_tasks(
+        live.unionByName(doomed).drop("__doomed"),
+        registry,
+        now,
+        ipfs_gateways=ipfs_gateways,
+        limit=limit,
+    )
+
+
 def task_outcomes(
     tasks: DataFrame,
     content: DataFrame,
@@ -262,8 +293,7 @@ def task_outcomes(
     **options,
 ) -> DataFrame:
     """The new state of every task after one attempt."""
-    resolved = resolve_tasks(attach_content(tasks, content), registry, now, **options)
-    return resolved.select(*TASK_COLUMNS)
+    return attempt_tasks(tasks, content, registry, now, **options).select(*TASK_COLUMNS)
 
 
 def parsed_rows(resolved: DataFrame, contract: Contract) -> DataFrame:

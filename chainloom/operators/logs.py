@@ -21,9 +21,10 @@ from chainloom.functions.hexes import (
     word_to_decimal,
 )
 from chainloom.functions.skew import (
+    BROADCAST_ROWS,
     GROUP_LIMIT,
-    broadcast_if_small,
     join_group_stats,
+    join_lookup,
     row_position,
 )
 from chainloom.functions.typed import field, offchain_request, value
@@ -39,19 +40,18 @@ TOPIC_COLUMNS = 5
 LOG_ORDER = ("tx_index", "log_index")
 
 
-def filter_event_logs(logs: DataFrame, signatures: DataFrame) -> DataFrame:
+def filter_event_logs(
+    logs: DataFrame, signatures: DataFrame, *, bound: int = BROADCAST_ROWS, limit: int = GROUP_LIMIT
+) -> DataFrame:
     """Logs of a listed contract and event type, with the name of the event.
 
-    `signatures` has address, topic0 (binary) and event, one row per pair. Its size is checked before
-    it is broadcast; a larger table takes the shuffle join.
+    `signatures` has address, topic0 (binary) and event, one row per pair. Up to `bound` rows it is
+    broadcast.
     """
-    wanted = broadcast_if_small(
-        signatures.select(
-            F.col("address"), F.col("topic0").alias("__topic0"), F.col("event")
-        )
-    )
+    wanted = signatures.select("address", F.col("topic0").alias("__topic0"), "event")
     first = logs.withColumn("__topic0", F.get("topics", F.lit(0)))
-    return first.join(wanted, ["address", "__topic0"]).drop("__topic0")
+    found = join_lookup(first, wanted, ["address", "__topic0"], bound=bound, limit=limit)
+    return found.select(*logs.columns, "event")
 
 
 def decode_event_fields(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainloom.contracts import CURSORS
-from chainloom.functions.skew import broadcast_if_small
+from chainloom.functions.skew import BROADCAST_ROWS, GROUP_LIMIT, join_lookup
 
 
 def batch_progress(blocks: DataFrame, run_id: str) -> DataFrame:
@@ -45,19 +45,22 @@ def get_cursor(progress: DataFrame | None, run_id: str, start: int) -> tuple[str
 
 
 def resume_filter(
-    blocks: DataFrame, progress: DataFrame, start: int, *, run: str = "run_id"
+    blocks: DataFrame,
+    progress: DataFrame,
+    start: int,
+    *,
+    run: str = "run_id",
+    bound: int = BROADCAST_ROWS,
+    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """The blocks each run has still to do: after its cursor, or from `start` if it has none.
 
-    `progress` has one row per run and is broadcast while it is small.
+    `progress` has one row per run; up to `bound` rows it is broadcast.
     """
     if start < 0:
         raise ValueError(f"start block {start} is negative")
-    done = broadcast_if_small(
-        progress.select(F.col("id").alias(run), F.col("block_num").alias("__done"))
-    )
-    return (
-        blocks.join(done, run, "left")
-        .filter(F.col("block_num") > F.coalesce(F.col("__done"), F.lit(start - 1)))
-        .drop("__done")
-    )
+    done = progress.select(F.col("id").alias(run), F.col("block_num").alias("__done"))
+    reached = join_lookup(blocks, done, [run], how="left", bound=bound, limit=limit)
+    return reached.filter(
+        F.col("block_num") > F.coalesce(F.col("__done"), F.lit(start - 1))
+    ).select(*blocks.columns)

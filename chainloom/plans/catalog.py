@@ -23,10 +23,16 @@ from chainloom.functions.typed import (
     value,
 )
 from chainloom.operators import balances, blocks, changes, keyed, links, logs, progress
-from chainloom.plans.ingest import Enrichment, IngestJob, current_tasks, run_batch
+from chainloom.plans.ingest import (
+    BALANCE_CHANGES,
+    Enrichment,
+    IngestJob,
+    current_tasks,
+    run_batch,
+)
 from chainloom.sources import shapes
 from chainloom.sources.blocks import block_range_scan, final_blocks, stream_blocks
-from chainloom.streaming.runs import run_stream
+from chainloom.streaming.runs import run_stream, stream_balances
 from chainloom.streaming.store import BatchStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -910,8 +916,13 @@ def q_task_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"with {OUTCOMES_SQL} select url as uri, title from outcome where state = 6",
 )
 def q_parsed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    attached = links.attach_content(shapes.page_tasks(spark, sf_dir), shapes.page_content(spark, sf_dir))
-    resolved = links.resolve_tasks(attached, PAGE_HANDLERS, NOW, limit=PAGE_SIZE_LIMIT)
+    resolved = links.attempt_tasks(
+        shapes.page_tasks(spark, sf_dir),
+        shapes.page_content(spark, sf_dir),
+        PAGE_HANDLERS,
+        NOW,
+        limit=PAGE_SIZE_LIMIT,
+    )
     return links.parsed_rows(resolved, PAGE_TITLES).select(*PAGE_TITLES.names)
 
 
@@ -940,6 +951,16 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.rows(ETH_BLOCKHEADERS)
 
 
+@query("balance_changes_stream", ORACLE["balance_changes"])
+def q_balance_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balance changes as a stream: the same rows as in batch."""
+    folder = _run_dir(spark)
+    store = BatchStore(spark, f"{folder}/store")
+    changed = shapes.balances_of(_stream(spark, sf_dir, "events"))
+    stream_balances(store, changed, f"{folder}/checkpoint").awaitTermination()
+    return store.read("balance_changes", BALANCE_CHANGES).drop("batch")
+
+
 @query(
     "flush_batch",
     """select (case when event_type = 'error' then 1 else 0 end)::bigint as batch, event_id as ordinal, c.cursor

@@ -42,6 +42,24 @@ REJECTS = T.StructType(
 )
 
 
+BALANCE_KNOWN = T.StructType(
+    [T.StructField("address", T.BinaryType()), T.StructField("first_block", T.LongType())]
+)
+BALANCE_LATEST = T.StructType(
+    [T.StructField("key", T.StringType()), T.StructField("balance", T.StringType())]
+)
+BALANCE_CHANGES = T.StructType(
+    [
+        T.StructField("block_num", T.LongType()),
+        T.StructField("ordinal", T.LongType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("value", T.StringType()),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Enrichment:
     """Where the links of a run go: content by uri, handlers by name, and the tables of their records."""
@@ -231,13 +249,12 @@ def resolve_batch(
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     due = links.queued_tasks(current_tasks(store), None if at_once else now)
     content = enrichment.content() if enrichment.content else None
-    attached = links.attach_content(
-        due, content, fetcher=enrichment.fetcher, ipfs_gateways=enrichment.ipfs_gateways
-    )
-    resolved = links.resolve_tasks(
-        attached,
+    resolved = links.attempt_tasks(
+        due,
+        content,
         {enrichment.manifest: enrichment.handlers},
         now,
+        fetcher=enrichment.fetcher,
         ipfs_gateways=enrichment.ipfs_gateways,
         limit=enrichment.size_limit,
     ).persist(StorageLevel.MEMORY_AND_DISK)
@@ -268,9 +285,26 @@ def run_batch(
         resolve_batch(job.enrichment, store, f"links:{job.run_id}", epoch, now, at_once=True)
 
 
-# The store module of balances: first block and last balance per address, and the change per row.
-BALANCE_MODULES = {
-    "store_balance": balances.balance_latest,
-    "first_blocks": balances.first_blocks,
-    "ingest": balances.balance_changes,
-}
+def balance_batch(store: BatchStore, frame: DataFrame, source: str, epoch: int) -> None:
+    """One batch of balance changes. Tables: `balance_changes`, and per batch the addresses it saw
+    first (`balance_known`) and the last balance of each of its addresses (`balance_latest`)."""
+    if store.has(source, epoch):
+        return
+    known = store.read("balance_known", BALANCE_KNOWN).drop("batch")
+    first = balances.first_blocks(frame)
+    seen = keyed.existing_keys(first, known, ["address"])
+    tables = {
+        "balance_changes": balances.balance_changes(frame, known),
+        "balance_known": first.join(seen, "address", "left_anti"),
+        "balance_latest": balances.balance_latest(frame),
+    }
+    store.commit(tables, None, source, epoch)
+
+
+def current_balances(store: BatchStore) -> DataFrame:
+    """The last balance per address over all batches, which come in block order."""
+    return (
+        store.read("balance_latest", BALANCE_LATEST)
+        .groupBy("key")
+        .agg(F.max_by("balance", "batch").alias("balance"))
+    )

@@ -244,9 +244,13 @@ def post_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balances_of(table(spark, sf_dir, "events"))
+
+
+def balances_of(events: DataFrame) -> DataFrame:
     """One balance change per event, in cents as big-endian bytes; errors have none."""
     cents = (F.col("value").cast("decimal(18,2)") * 100).cast("bigint")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         event_block().alias("block_num"),
         F.col("event_id").alias("end_ordinal"),
         F.lit(0).alias("pos"),

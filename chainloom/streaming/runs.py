@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from chainloom.plans.ingest import IngestJob, process_batch, resolve_batch
+from chainloom.plans.ingest import IngestJob, balance_batch, process_batch, resolve_batch
 from chainloom.streaming.store import BatchStore
 
 
@@ -36,7 +37,34 @@ def stream_ingest(
             resolve_batch(job.enrichment, store, f"links:{checkpoint}", epoch, now, at_once=first)
 
     started = {"done": False}
-    writer = blocks.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+    return _start(blocks, each_batch, checkpoint, available_now, interval)
+
+
+def stream_balances(
+    store: BatchStore,
+    changes: DataFrame,
+    checkpoint: str,
+    *,
+    available_now: bool = True,
+    interval: str = "10 seconds",
+) -> StreamingQuery:
+    """Balance changes as a stream, in block order: the addresses and last balances of earlier
+    batches are the state of the later ones, kept in the store."""
+
+    def each_batch(frame: DataFrame, epoch: int) -> None:
+        balance_batch(store, frame, checkpoint, epoch)
+
+    return _start(changes, each_batch, checkpoint, available_now, interval)
+
+
+def _start(
+    frame: DataFrame,
+    each_batch: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    available_now: bool,
+    interval: str,
+) -> StreamingQuery:
+    writer = frame.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
     writer = (
         writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     )

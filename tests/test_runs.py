@@ -8,20 +8,22 @@ from pyspark.sql import functions as F
 from chainloom.contracts import CREATE, DELETE, LENS_POSTS_OFFCHAIN, UPDATE, ContractError, contract
 from chainloom.functions.posts_json import RECORDS
 from chainloom.functions.typed import field, offchain_request, value
-from chainloom.operators import links, progress
+from chainloom.operators import balances, links, progress
 from chainloom.operators.blocks import change
 from chainloom.operators.changes import RejectedRecords
 from chainloom.operators.keyed import DuplicateKey
 from chainloom.plans.ingest import (
+    BALANCE_CHANGES,
     Enrichment,
     IngestJob,
+    current_balances,
     current_tasks,
     process_batch,
     resolve_batch,
     run_batch,
 )
 from chainloom.sources.blocks import block_range_scan, check_range, final_blocks, read_blocks, stream_blocks
-from chainloom.streaming.runs import run_stream
+from chainloom.streaming.runs import run_stream, stream_balances
 from chainloom.streaming.store import BatchStore
 
 POINTS = contract("points", "id text, n integer", "id")
@@ -268,3 +270,21 @@ def test_stream_with_links(spark, tmp_path):
     run_stream(job, store, stream(spark, tmp_path / "in"), str(tmp_path / "check"))
     assert states(store) == {f"ar://p{n}": (links.FINISHED, 0) for n in range(3)}
     assert store.rows(LENS_POSTS_OFFCHAIN).count() == 3
+
+
+BALANCES = "block_num long, end_ordinal long, pos int, address binary, new_value binary"
+
+
+def test_balances_in_batches(spark, tmp_path):
+    data = [(b, b * 10, 0, bytearray([b % 4]), bytearray([b])) for b in range(20)]
+    frame = spark.createDataFrame(data, BALANCES)
+    for i, part in enumerate(("block_num < 3", "block_num >= 3 and block_num < 9", "block_num >= 9")):
+        frame.filter(part).coalesce(1).write.parquet(f"{tmp_path}/in/part={i}")
+    store = BatchStore(spark, str(tmp_path / "s"))
+    source = stream_blocks(spark, f"{tmp_path}/in/*", frame.schema, files_per_batch=1)
+    stream_balances(store, source, str(tmp_path / "check")).awaitTermination()
+    assert store.last_batch() == 2
+    got = store.read("balance_changes", BALANCE_CHANGES).drop("batch")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, balances.balance_changes(frame).collect()))
+    latest = sorted(map(tuple, current_balances(store).collect()))
+    assert latest == sorted(map(tuple, balances.balance_latest(frame).collect()))

@@ -59,12 +59,18 @@ def test_group_profile(spark, rows):
     assert skew.group_profile(rows.limit(0), ["key"]) == (0, 0)
 
 
-def test_broadcast_only_below_its_bound(rows):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_lookup_beyond_its_bound(rows, how):
+    lookup = rows.filter("op = 3").select("key").distinct().withColumn("found", F.lit(True))
+
     def hinted(frame):
-        return "broadcast" in frame._jdf.queryExecution().logical().toString().lower()
+        return "strategy=broadcast" in frame._jdf.queryExecution().logical().toString().lower()
 
-    assert hinted(skew.broadcast_if_small(rows, 3000))
-    assert not hinted(skew.broadcast_if_small(rows, 2999))
+    small = skew.join_lookup(rows, lookup, ["key"], how=how)
+    large = skew.join_lookup(rows, lookup, ["key"], how=how, bound=3)
+    split = skew.join_lookup(rows, lookup, ["key"], how=how, bound=3, limit=100)
+    assert hinted(small) and not hinted(large)
+    assert result(small) == result(large) == result(split)
 
 
 def test_checkpoint_dir_is_the_configured_one(spark):
