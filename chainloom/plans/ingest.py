@@ -17,7 +17,7 @@ from pyspark.storagelevel import StorageLevel
 
 from chainloom.contracts import CREATE, DELETE, RESOLVER_TASKS, UPDATE, Contract, ContractError
 from chainloom.operators import balances, blocks, changes, keyed, links, logs, progress
-from chainloom.sources.blocks import block_range_scan, check_range
+from chainloom.sources.blocks import block_range_scan, check_range, spread
 from chainloom.streaming.store import BatchStore
 
 Module = Callable[[DataFrame], DataFrame]
@@ -168,7 +168,7 @@ def process_batch(
         if cursor:
             todo = todo.filter(F.col("block_num") > done)
 
-    records = change_records(job, todo)
+    records = change_records(job, spread(todo))
     unknown = changes.route_by_table(records, job.contracts).filter("reject_reason is not null")
     rejects = [_rejects(unknown, F.col("record"), "reject_reason", prefix="")]
     tables: dict[str, DataFrame] = {}

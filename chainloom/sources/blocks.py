@@ -86,3 +86,13 @@ def stream_blocks(
     for name, setting in (options or {}).items():
         reader = reader.option(name, setting)
     return reader.load(path)
+
+
+def spread(blocks: DataFrame) -> DataFrame:
+    """Blocks over all cores when they sit in fewer partitions than there are cores.
+
+    A micro-batch is often a few files, and the work per block is far more than moving it. Input with
+    enough partitions, as any large batch has, is left as it is.
+    """
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(cores) if blocks.rdd.getNumPartitions() < cores else blocks
