@@ -26,9 +26,9 @@ def change(record: str, id_column, ordinal, fields, operation=None):
 def block_headers(blocks: DataFrame, table: str = "eth_blockheaders") -> DataFrame:
     """One CREATE per block: number, hash, parent hash and time, named by the block hash.
 
-    `blocks` has block_num, hash, parent_hash (binary) and timestamp; other columns are kept.
+    `blocks` has block_num, hash, parent_hash (binary) and timestamp; block_id and cursor are kept.
     """
-    kept = [c for c in blocks.columns if c not in ("hash", "parent_hash", "timestamp")]
+    kept = [c for c in ("block_num", "block_id", "cursor") if c in blocks.columns]
     block_hash = hex_text(F.col("hash"))
     header = change(
         table,

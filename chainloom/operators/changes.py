@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainloom.contracts import CREATE, DELETE, UNSET, UPDATE, Contract
+from chainloom.contracts import Column as ContractColumn
 from chainloom.functions.binding import bind
 from chainloom.functions.typed import canonical, coerce_canonical, has_alternative
 
@@ -139,19 +140,14 @@ def last_field(name: str) -> Column:
     return F.try_element_at(F.filter("fields", lambda f: f["name"] == name), F.lit(-1))
 
 
-def type_fields(changes: DataFrame, contract: Contract, overflow: str = "reject") -> DataFrame:
-    """Add `_given` and `_typed`: per contract column the value of the last field of its name, as it
-    came and as the column's type. Nothing is added twice.
-    """
-    if "_typed" in changes.columns:
-        if changes.schema["_typed"].dataType.fieldNames() != contract.names:
-            raise ValueError(f"records were typed for another table than {contract.table}")
-        return changes
+def given_fields(changes: DataFrame, contract: Contract, overflow: str = "reject") -> DataFrame:
+    """Add `_given`: per contract column the last field of its name, in canonical form."""
     # Reversed, so that the first field found is the last one given.
-    listed = bind(
-        changes,
-        __names=F.reverse(F.transform("fields", lambda f: f["name"])),
-        __values=F.reverse(F.transform("fields", lambda f: canonical(f["new_value"], overflow))),
+    listed = changes.withColumns(
+        {
+            "__names": F.reverse(F.transform("fields", lambda f: f["name"])),
+            "__values": F.reverse(F.transform("fields", lambda f: canonical(f["new_value"], overflow))),
+        }
     )
     given = F.struct(
         *[
@@ -159,11 +155,18 @@ def type_fields(changes: DataFrame, contract: Contract, overflow: str = "reject"
             for c in contract.columns
         ]
     )
-    picked = bind(listed, _given=given).drop("__names", "__values")
-    typed = F.struct(
-        *[coerce_canonical(F.col("_given")[c.name], c).alias(c.name) for c in contract.columns]
-    )
-    return bind(picked, _typed=typed)
+    return listed.withColumn("_given", given).drop("__names", "__values")
+
+
+def _typed_column(column: ContractColumn) -> Column:
+    return coerce_canonical(F.col("_given")[column.name], column)
+
+
+def type_fields(changes: DataFrame, contract: Contract, overflow: str = "reject") -> DataFrame:
+    """Add `_given` and `_typed`: the fields as they came and as the columns' types. The typed values
+    are bound, since a check and the row itself both use them."""
+    typed = F.struct(*[_typed_column(c).alias(c.name) for c in contract.columns])
+    return bind(given_fields(changes, contract, overflow), _typed=typed)
 
 
 def conform_to_contract(changes: DataFrame, contract: Contract, overflow: str = "reject") -> DataFrame:
@@ -204,10 +207,15 @@ def fields_to_columns(
         own_key = F.col("id")
     else:
         raise ValueError("key is 'derived' or 'id'")
-    source = type_fields(changes, contract, overflow).withColumn("__key", own_key)
+    checked = "_typed" in changes.columns
+    if checked and changes.schema["_typed"].dataType.fieldNames() != contract.names:
+        raise ValueError(f"records were typed for another table than {contract.table}")
+    source = changes if checked else given_fields(changes, contract, overflow)
+    source = source.withColumn("__key", own_key)
     columns = []
     for column in contract.columns:
-        typed = F.col("_typed")[column.name]
+        # Without a check before, each column is typed on its own and can be pruned.
+        typed = F.col("_typed")[column.name] if checked else _typed_column(column)
         if column.name == contract.keys[0]:
             typed = F.coalesce(typed, F.col("__key").try_cast(column.spark_type))
         columns.append(typed.alias(column.name))

@@ -259,6 +259,8 @@ def resolve_batch(
         limit=enrichment.size_limit,
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if resolved.isEmpty():
+            return
         tables = {RESOLVER_TASKS.table: resolved.select(*RESOLVER_TASKS.names)}
         for contract in enrichment.contracts:
             rows = links.parsed_rows(resolved, contract)
@@ -291,14 +293,18 @@ def balance_batch(store: BatchStore, frame: DataFrame, source: str, epoch: int)
     if store.has(source, epoch):
         return
     known = store.read("balance_known", BALANCE_KNOWN).drop("batch")
-    first = balances.first_blocks(frame)
-    seen = keyed.existing_keys(first, known, ["address"])
-    tables = {
-        "balance_changes": balances.balance_changes(frame, known),
-        "balance_known": first.join(seen, "address", "left_anti"),
-        "balance_latest": balances.balance_latest(frame),
-    }
-    store.commit(tables, None, source, epoch)
+    changed = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        first = balances.first_blocks(changed)
+        seen = keyed.existing_keys(first, known, ["address"])
+        tables = {
+            "balance_changes": balances.balance_changes(changed, known),
+            "balance_known": first.join(seen, "address", "left_anti"),
+            "balance_latest": balances.balance_latest(changed),
+        }
+        store.commit(tables, None, source, epoch)
+    finally:
+        changed.unpersist()
 
 
 def current_balances(store: BatchStore) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainloom.contracts import CHANGE, CREATE, DELETE, UPDATE, contract
-from chainloom.functions.binding import bind
 from chainloom.functions.hexes import WORD, word_from_number
 from chainloom.functions.typed import field, no_value, offchain_request, value
 from chainloom.operators.logs import POST_HANDLER, POST_RETRIES, POST_WAIT, POSTS_CONTRACT
@@ -206,10 +205,8 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     first_only = F.col("event_type") == "view"
     link_text = F.concat(F.lit("https://example.org/"), F.col("props"))
-    events = bind(
-        table(spark, sf_dir, "events"), __link=F.lower(F.hex(F.encode(link_text, "UTF-8")))
-    )
-    return events.select(
+    events = table(spark, sf_dir, "events")
+    return events.withColumn("__link", F.lower(F.hex(F.encode(link_text, "UTF-8")))).select(
         number.alias("block_num"),
         number_hash(number).alias("block_id"),
         F.concat(F.lit("c"), number.cast("string")).alias("cursor"),

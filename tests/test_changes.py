@@ -96,9 +96,9 @@ def test_conform(spark):
 
 
 def test_typing_for_two_tables_is_refused(spark):
-    typed = changes.type_fields(record(spark), TABLE)
+    typed = changes.conform_to_contract(record(spark), TABLE)
     with pytest.raises(ValueError):
-        changes.type_fields(typed, LENS_POSTS)
+        changes.fields_to_columns(typed, LENS_POSTS)
 
 
 def test_route(spark):
@@ -120,3 +120,10 @@ def test_empty_block_keeps_its_cursor(spark):
         ("c0", None),
         ("c1", None),
     ]
+
+
+def test_unused_columns_are_not_typed(spark, tmp_path):
+    record(spark, text("name", "a")).write.parquet(str(tmp_path / "r"))
+    rows = changes.fields_to_columns(spark.read.parquet(str(tmp_path / "r")), TABLE, algo="sha256")
+    plan = rows.select("_ordinal")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ordinal:bigint>" in plan

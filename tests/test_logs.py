@@ -78,6 +78,20 @@ def test_event_types():
         assert sum(p.indexed for p in parameters(event)) <= 3
 
 
+@pytest.mark.parametrize("event", EVENT_TYPES)
+def test_every_event_type_has_its_columns(spark, event):
+    frame = log_frame(spark, ([word(1)], b""))
+    decoded = logs.decode_event_fields(frame, event)
+    assert decoded.columns[3:] == [p.name for p in parameters(event)]
+
+
+def test_decode_only_some(spark):
+    frame = log_frame(spark, ([word(1), word(2), word(3)], encode(("uint256", 32), ("uint256", 7))))
+    row = logs.decode_event_fields(frame, "PostCreated", "bigint", only=("pubId", "collectModule")).first()
+    assert row.asDict().keys() == {"n", "topics", "data", "pubId", "collectModule"}
+    assert row["pubId"] == 3 and row["collectModule"] == word(7)[12:].hex()
+
+
 def test_decode_lists(spark):
     data = encode(("words", [5, 2**200]), ("list", [b"", b"abc" * 20]), ("uint256", 9))
     address = b"\0" * 12 + b"\x11" * 20

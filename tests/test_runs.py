@@ -1,11 +1,23 @@
 """Stores, ingest runs and streams: what is committed, and what a second try does."""
 
 import datetime as dt
+import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from chainloom.contracts import CREATE, DELETE, LENS_POSTS_OFFCHAIN, UPDATE, ContractError, contract
+from chainloom.contracts import (
+    CHANGE,
+    CREATE,
+    DELETE,
+    ETH_BLOCKHEADERS,
+    ETH_EVENTS,
+    LENS_POSTS_OFFCHAIN,
+    UPDATE,
+    ContractError,
+    contract,
+)
 from chainloom.functions.posts_json import RECORDS
 from chainloom.functions.typed import field, offchain_request, value
 from chainloom.operators import balances, links, progress
@@ -288,3 +300,51 @@ def test_balances_in_batches(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, balances.balance_changes(frame).collect()))
     latest = sorted(map(tuple, current_balances(store).collect()))
     assert latest == sorted(map(tuple, balances.balance_latest(frame).collect()))
+
+
+def test_json_blocks_with_nested_changes(spark, tmp_path):
+    one = {"record": "points", "id": "a", "ordinal": 1, "operation": 1}
+    fields = [{"name": "n", "new_value": {"int64": 4}}, {"name": "n", "new_value": {"uint32": 5}}]
+    lines = [
+        {"block_num": 1, "block_id": "h1", "cursor": "c1", "record_changes": [{**one, "fields": fields}]},
+        {"block_num": 2, "block_id": "h2", "cursor": "c2", "record_changes": []},
+        {"block_num": 3, "block_id": "h3", "cursor": "c3"},
+    ]
+    (tmp_path / "blocks.json").write_text("\n".join(map(json.dumps, lines)))
+    shape = "block_num long, block_id string, cursor string, record_changes array<%s>" % CHANGE.simpleString()
+    schema = spark.createDataFrame([], shape).schema
+    blocks = read_blocks(spark, str(tmp_path / "blocks.json"), 1, fmt="json", schema=schema)
+    store = BatchStore(spark, str(tmp_path / "s"))
+    run_batch(IngestJob("json", lambda b: b, [POINTS]), store, blocks)
+    row = store.rows(POINTS).first()
+    label = "bin.node.cli.PRIMARY_KEY_INSERT_INTO<a_1>"
+    assert tuple(row) == (hashlib.blake2s(label.encode()).hexdigest(), 5)
+    assert cursor(store) == ("json", "c3", 3, "h3")
+
+
+@pytest.mark.parametrize("module, table, count", [("extract_events", ETH_EVENTS, 5), ("block_meta", ETH_BLOCKHEADERS, 2)])
+def test_modules_by_name(spark, tmp_path, module, table, count):
+    shape = (
+        "block_num long, block_id string, cursor string, hash binary, parent_hash binary, timestamp timestamp_ntz,"
+        "block_hash binary, tx_index int, tx_hash binary, log_index int, ordinal long, address binary,"
+        "topics array<binary>, data binary"
+    )
+    when = dt.datetime(2024, 1, 2, 3, 4, 5)
+    data = [
+        (b, f"h{b}", f"c{b}", bytearray([b]), bytearray([b - 1]), when, bytearray([b]), 0, bytearray([9]), i, i, bytearray(20), [bytearray(32)], bytearray(32))
+        for b, n in ((1, 2), (2, 3))
+        for i in range(n)
+    ]
+    frame = spark.createDataFrame(data, shape)
+    if module == "block_meta":
+        frame = frame.filter("log_index = 0")
+    store = BatchStore(spark, str(tmp_path / "s"))
+    run_batch(IngestJob(module, module, [table]), store, frame)
+    rows = store.rows(table).collect()
+    assert len(rows) == count and len({r["id"] for r in rows}) == count
+    if module == "extract_events":
+        assert {(r["blocknumber"], r["num_logs"]) for r in rows} == {(1, 2), (2, 3)}
+        assert len({r["commitment"] for r in rows}) == 2 and {r["topic1"] for r in rows} == {None}
+    else:
+        assert {r["timestamp"] for r in rows} == {"2024-01-02T03:04:05Z"}
+        assert {(r["number"], r["hash"], r["parent_hash"]) for r in rows} == {(1, "01", "00"), (2, "02", "01")}
