@@ -1,8 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from chainloom.contracts import BLOCK_META, CREATE, DELETE, UPDATE
 from chainloom.operators import keyed
 
