@@ -326,3 +326,18 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest(), id_col: str = "d
         whole.alias("component_id"),
         F.coalesce(F.col("id") == whole, F.col("id").isNull()).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, forest: Forest = Forest(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with their columns, with one document of every near-duplicate group: the smallest id.
+
+    Of rows that repeat an id one stays; rows without an id stay.
+    """
+    marks = kept(near_duplicates(docs, forest, id_col, text_col).select("doc_id", "kept"), "marks")
+    gone = marks.where("not kept").select(F.col("doc_id").alias("_id")).distinct()
+    small = gone.limit(forest.broadcast_rows + 1).count() <= forest.broadcast_rows
+    stay = docs.join(F.broadcast(gone) if small else gone, docs[id_col] == F.col("_id"), "left_anti")
+    if marks.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").head(1):
+        named = stay.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+        stay = named.union(stay.where(F.col(id_col).isNull()))
+    return stay

@@ -5,27 +5,84 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chainloom.llm.compression import score_quality
+from chainloom.llm.decontam import contamination
 from chainloom.llm.forest import near_duplicates
+from chainloom.llm.mixture import mixture
 from chainloom.llm.shared import table
+from chainloom.llm.sharding import shard
 
 A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+def op2_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
 
 
+def op5_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_extendible_hashing": op2_extendible_hashing,
     "op4_compression_bands": op4_compression_bands,
+    "op5_sainte_lague": op5_sainte_lague,
     "op6_lsh_forest": op6_lsh_forest,
+    "op7_benchmark_ngrams": op7_benchmark_ngrams,
 }
 
 ORACLE = {
+    "op2_extendible_hashing": """
+with hashed as (
+  select doc_id, octet_length(encode(coalesce(text, ''))) as n_bytes,
+    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')), 1, 15) as bigint) as h
+  from documents
+), levels as (
+  select doc_id, n_bytes, d as depth, h // cast(power(2, 60 - d) as bigint) as prefix from hashed, range(0, 31) t(d)
+), sums as (
+  select depth, prefix, sum(n_bytes) as shard_bytes from levels group by all having sum(n_bytes) <= 1048576
+), leaves as (
+  select doc_id, n_bytes, min(depth) as depth, min_by(prefix, depth) as prefix, min_by(shard_bytes, depth) as shard_bytes
+  from levels join sums using (depth, prefix) group by doc_id, n_bytes
+)
+select doc_id, cast(n_bytes as bigint) as n_bytes, cast(depth as integer) as depth, cast(shard_bytes as bigint) as shard_bytes,
+  case when depth = 0 then '' else lpad(bin(prefix), cast(depth as integer), '0') end as shard
+from leaves
+""",
+    "op7_benchmark_ngrams": rf"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {A_TO_Z}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), b as (
+  select cast(item_id as varchar) as item, regexp_extract_all(translate(coalesce(text, ''), {A_TO_Z}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), bw as (
+  select distinct item, least(len(w), 10) as k,
+    unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) as x
+  from b where len(w) > 0
+), starts as (
+  select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as pos from d, (select distinct k from bw) where len(w) >= k
+), hit as (
+  select doc_id, pos, s.k, item from starts s join bw on bw.k = s.k and bw.x = array_to_string(w[pos:pos + s.k - 1], ' ')
+), covered as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(pos, pos + k)) as p from hit) group by doc_id
+), named as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from hit) group by doc_id
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (doc_id) left join named using (doc_id)
+""",
     "op6_lsh_forest": rf"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), {A_TO_Z}), '[^\x20\x09-\x0D]+') as w from documents

@@ -45,3 +45,13 @@ def n_words(text) -> F.Column:
         (F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1
     ).otherwise(0)
     return (F.size(parts) - empty).cast("long")
+
+
+def bound(value, use):
+    """use(value), with value worked out once for a row however often use names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def fitting(frame: DataFrame, rows: int) -> DataFrame:
+    """The frame marked for broadcast if it has at most so many rows, else as it is."""
+    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
