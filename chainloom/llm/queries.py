@@ -10,6 +10,7 @@ from chainloom.llm.forest import near_duplicates
 from chainloom.llm.mixture import mixture
 from chainloom.llm.shared import table
 from chainloom.llm.sharding import shard
+from chainloom.llm.substrings import remove_repeats
 
 A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -35,12 +36,17 @@ def op7_benchmark_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("text")
+
+
 QUERIES = {
     "op2_extendible_hashing": op2_extendible_hashing,
     "op4_compression_bands": op4_compression_bands,
     "op5_sainte_lague": op5_sainte_lague,
     "op6_lsh_forest": op6_lsh_forest,
     "op7_benchmark_ngrams": op7_benchmark_ngrams,
+    "op8_de_bruijn": op8_de_bruijn,
 }
 
 ORACLE = {
@@ -101,5 +107,19 @@ with recursive words as (
 ), least_id as (select a as doc_id, min(b) as component_id from reach group by a)
 select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
 from sets join least_id using (doc_id)
+""",
+    "op8_de_bruijn": rf"""
+with d as (select doc_id, {SQL_WORDS} as w from documents
+), edges as (
+  select doc_id, pos, array_to_string(w[pos:pos + 12], ' ') as e from (select doc_id, w, unnest(range(1, len(w) - 11)) as pos from d)
+), owners as (select e, min(doc_id) as owner from edges group by e
+), gone as (
+  select distinct doc_id, unnest(range(pos, pos + 13)) as p from edges join owners using (e) where doc_id > owner
+), words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d
+), left_over as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by p) as t from words anti join gone using (doc_id, p) group by doc_id
+)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join left_over using (doc_id)
 """,
 }

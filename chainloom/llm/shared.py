@@ -55,3 +55,12 @@ def bound(value, use):
 def fitting(frame: DataFrame, rows: int) -> DataFrame:
     """The frame marked for broadcast if it has at most so many rows, else as it is."""
     return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+
+
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished parts go: nothing refers to them any more, but Spark only deletes
+    them once the driver's JVM has collected its garbage."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
