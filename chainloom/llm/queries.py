@@ -7,15 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from chainloom.llm.compression import score_quality
 from chainloom.llm.decontam import contamination
 from chainloom.llm.forest import near_duplicates
+from chainloom.llm.licenses import COPYRIGHT_LINE, EQUIVALENT, KNOWN, LICENSE_WORDS, MARKS, known_digests, scan_licenses
 from chainloom.llm.mixture import mixture
 from chainloom.llm.shared import table
 from chainloom.llm.sharding import shard
 from chainloom.llm.substrings import remove_repeats
+from chainloom.llm.warc import round_trip
 
 A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 SQL_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), known_digests(spark))
+
+
 def op2_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
@@ -40,16 +46,53 @@ def op8_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("text")
 
 
+def op9_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def sql_canonical(text: str) -> str:
+    out = f"regexp_replace(translate({text}, {A_TO_Z}), {sql_text(COPYRIGHT_LINE)}, '', 'g')"
+    for pattern, equal in EQUIVALENT:
+        if pattern.startswith("["):
+            out = f"regexp_replace({out}, {sql_text(pattern)}, {sql_text(equal)}, 'g')"
+        else:
+            out = f"replace({out}, {sql_text(pattern)}, {sql_text(equal)})"
+    return f"sha256(trim(regexp_replace({out}, {sql_text(MARKS)}, ' ', 'g')))"
+
+
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_extendible_hashing": op2_extendible_hashing,
     "op4_compression_bands": op4_compression_bands,
     "op5_sainte_lague": op5_sainte_lague,
     "op6_lsh_forest": op6_lsh_forest,
     "op7_benchmark_ngrams": op7_benchmark_ngrams,
     "op8_de_bruijn": op8_de_bruijn,
+    "op9_warc_writer": op9_warc_writer,
 }
 
 ORACLE = {
+    "op1_license_scan": f"""
+with known as (
+  select digest, min(license) as license from (
+    select {sql_canonical('text')} as digest, license
+    from (values {', '.join(f'({sql_text(n)}, {sql_text(t)})' for n, t in KNOWN)}) t(license, text)
+  ) group by digest
+), whole as (select doc_id, {sql_canonical("coalesce(text, '')")} as digest from documents
+), lines as (
+  select doc_id, line from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents)
+  where regexp_matches(translate(line, {A_TO_Z}), {sql_text(LICENSE_WORDS)})
+), notices as (
+  select doc_id, count(*) as n, string_agg(distinct license, ',' order by license) as names
+  from (select doc_id, {sql_canonical('line')} as digest from lines) join known using (digest) group by doc_id
+)
+select doc_id, digest, license, coalesce(n, 0) as n_notices, coalesce(names, '') as notices
+from whole left join known using (digest) left join notices using (doc_id)
+""",
     "op2_extendible_hashing": """
 with hashed as (
   select doc_id, octet_length(encode(coalesce(text, ''))) as n_bytes,
