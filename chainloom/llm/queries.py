@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chainloom.llm.blocks import extract, fit
 from chainloom.llm.compression import score_quality
 from chainloom.llm.decontam import contamination
 from chainloom.llm.forest import near_duplicates
@@ -12,6 +13,7 @@ from chainloom.llm.mixture import mixture
 from chainloom.llm.shared import table
 from chainloom.llm.sharding import shard
 from chainloom.llm.substrings import remove_repeats
+from chainloom.llm.urls import judge
 from chainloom.llm.warc import round_trip
 
 A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -26,6 +28,11 @@ def op2_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op3_recurrent_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, fit(pages))
+
+
 def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"))
 
@@ -50,6 +57,10 @@ def op9_warc_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_host_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
 def sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -67,12 +78,14 @@ def sql_canonical(text: str) -> str:
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_extendible_hashing": op2_extendible_hashing,
+    "op3_recurrent_labeller": op3_recurrent_labeller,
     "op4_compression_bands": op4_compression_bands,
     "op5_sainte_lague": op5_sainte_lague,
     "op6_lsh_forest": op6_lsh_forest,
     "op7_benchmark_ngrams": op7_benchmark_ngrams,
     "op8_de_bruijn": op8_de_bruijn,
     "op9_warc_writer": op9_warc_writer,
+    "op10_host_segmentation": op10_host_segmentation,
 }
 
 ORACLE = {
