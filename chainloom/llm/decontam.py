@@ -96,12 +96,13 @@ def decontaminate(
 ) -> DataFrame:
     """The documents with their columns as they were, without contaminated ones (`remove="documents"`), or with
     the hit words cut out of their texts (`remove="spans"`). Null and empty texts stay as they are."""
-    rows = hits(docs, items, overlap, id_col, text_col)
+    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = hits(row, items, overlap, "id", "text")
     if remove == "documents":
-        return rows.where(F.coalesce(F.size("_hits"), F.lit(0)) <= 0).select(*docs.columns)
+        return rows.where(F.coalesce(F.size("_hits"), F.lit(0)) <= 0).select("row.*")
     if remove != "spans":
         raise ValueError(remove)
-    text = F.col(text_col)
+    text = F.col("text")
 
     def rebuilt(hit: Column) -> Column:
         own = F.array_remove(F.split(text, NO_WORD_ANY_CASE), "")
@@ -112,4 +113,4 @@ def decontaminate(
         )
 
     cut = F.when(F.size("_hits") > 0, bound(_hit_words(), rebuilt)).otherwise(text)
-    return rows.withColumn(text_col, cut).select(*docs.columns)
+    return rows.select(*(cut.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))

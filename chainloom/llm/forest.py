@@ -281,9 +281,9 @@ def confirmed(docs: DataFrame, groups: DataFrame, forest: Forest, id_col: str, t
         meets = everyone.withColumn("column", F.pmod(F.xxhash64("node"), F.col("blocks"))).select(
             "component", "node", "asks", "column", F.explode("rows").alias("row")
         ).where("row >= column or not asks")
-        columns = F.sequence(F.lit(0), F.col("blocks") - 1)
+        columns = F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)
         rows = asked.withColumn("row", F.pmod(F.xxhash64("node"), F.col("blocks"))).select(
-            "component", "node", "asks", F.explode(columns).cast("long").alias("column"), "row"
+            "component", "node", "asks", F.explode(columns).alias("column"), "row"
         )
         tiles = meets.select("component", "node", "asks", "column", "row").union(rows.select("component", "node", "asks", "column", "row")).distinct()
         tiles = kept(tiles.select(F.xxhash64("component", "row", "column").alias("key"), "node", "asks"), "tiles")
@@ -319,7 +319,7 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest(), id_col: str = "d
     member = classes.select("digest", "node").join(final, "node", "left")
     of = member.select("digest", F.coalesce("component", "node").alias("component"))
     out = marks.join(of, "digest", "left")
-    whole = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
+    whole = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.coalesce("component", "id")).otherwise(F.col("id"))
     return out.select(
         F.col("id").alias("doc_id"),
         "n_shingles",
@@ -336,7 +336,7 @@ def one_of_each(docs: DataFrame, forest: Forest = Forest(), id_col: str = "doc_i
     marks = kept(near_duplicates(docs, forest, id_col, text_col).select("doc_id", "kept"), "marks")
     gone = marks.where("not kept").select(F.col("doc_id").alias("_id")).distinct()
     small = gone.limit(forest.broadcast_rows + 1).count() <= forest.broadcast_rows
-    stay = docs.join(F.broadcast(gone) if small else gone, docs[id_col] == F.col("_id"), "left_anti")
+    stay = docs.join(F.broadcast(gone) if small else gone, docs[id_col] == gone["_id"], "left_anti")
     if marks.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").head(1):
         named = stay.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
         stay = named.union(stay.where(F.col(id_col).isNull()))

@@ -19,7 +19,7 @@ class Mix:
     share: float = 1.5
     repeats: int = 2
     block_words: int = 16
-    shard_words: int = 8_000_000
+    shard_words: int = 2_000_000
     seed: int = 17
     broadcast_rows: int = 500_000
 
@@ -122,16 +122,20 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
         F.max(F.struct("epochs", F.col("upto") - F.col("from"), "from", "upto", "from2", "upto2")).alias("p")
     )
     rows = rows.select(F.col("id").alias("_id"), "p.epochs", "p.from", "p.upto", "p.from2", "p.upto2")
-    joined = docs.join(fitting(rows, mix.broadcast_rows), docs[id_col].eqNullSafe(rows["_id"]))
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    joined = packed.join(fitting(rows, mix.broadcast_rows), packed["id"].eqNullSafe(rows["_id"]))
     whole = F.array_repeat(F.lit(-1), F.col("epochs").cast("int"))
     part = F.when(F.col("upto") + F.col("upto2") > F.col("from") + F.col("from2"), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-    copies = joined.withColumn("_copy", F.explode(F.concat(whole, part)))
-    text = F.col(text_col)
-    piece = bound(
-        F.array_remove(F.split(text, SPACES), ""),
-        lambda w: F.concat_ws(" ", F.slice(w, F.col("from").cast("int") + 1, (F.col("upto") - F.col("from")).cast("int")), F.slice(w, F.col("from2").cast("int") + 1, (F.col("upto2") - F.col("from2")).cast("int"))),
-    )
-    out = copies.withColumn(text_col, F.when(F.col("_copy") == 0, piece).otherwise(text))
+    copies = joined.withColumn("copy", F.explode(F.concat(whole, part)))
+    text = F.col("text")
+
+    def words_between(w: Column, low: str, high: str) -> Column:
+        return F.slice(w, F.col(low).cast("int") + 1, (F.col(high) - F.col(low)).cast("int"))
+
+    words = F.array_remove(F.split(text, SPACES), "")
+    piece = bound(words, lambda w: F.concat_ws(" ", words_between(w, "from", "upto"), words_between(w, "from2", "upto2")))
+    cut = F.when(F.col("copy") == 0, piece).otherwise(text)
+    new = {text_col: cut}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length(text_col).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.char_length(cut).cast(docs.schema["n_chars"].dataType)
+    return copies.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

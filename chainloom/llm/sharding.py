@@ -108,7 +108,7 @@ def shard(docs: DataFrame, shards: Shards = Shards(), id_col: str = "doc_id", te
 
 
 def write_shards(docs: DataFrame, path: str, shards: Shards = Shards(), id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write whole documents, a folder for each shard. Copies over the limit share the folder of their prefix."""
+    """Write whole documents (as `row`), a folder for each shard. Copies over the limit share the folder of their prefix."""
     name = _assigned(docs, shards, id_col, text_col).select("hash", F.substring_index("shard", ".", 1).alias("shard")).distinct()
-    rows = docs.withColumn("hash", row_hash(id_col, text_col)).join(name, "hash").drop("hash")
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    rows = docs.select(F.struct("*").alias("row"), row_hash(id_col, text_col).alias("hash")).join(name, "hash")
+    rows.select("row", "shard").repartition("shard").write.partitionBy("shard").parquet(path)

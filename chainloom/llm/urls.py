@@ -1,7 +1,7 @@
 """URL filters: rules by host suffix and path, then naive Bayes over the words of host names and paths.
 
 Concatenated names are split into words by a unigram Viterbi search. The word counts come from the visible
-text of all pages and from the parts of all URLs; the lattice of a name (its substrings that are words) is made
+text of all pages and from the paths of all URLs; the lattice of a name (its substrings that are words) is made
 by a join with the counts, so neither the counts nor the names are collected anywhere.
 """
 
@@ -67,9 +67,9 @@ def visible_words(html: Column) -> Column:
 
 
 def word_counts(pages: DataFrame, words: Words, unwanted: tuple[str, ...]) -> DataFrame:
-    """(word, n) of the words of all pages' texts and all URLs, with at least `least` occurrences, and of the unwanted
-    words, which are words wherever they are met."""
-    parts = F.concat(visible_words(F.coalesce("html", F.lit(""))), F.split(host_of(F.col("url")), LETTERS), F.split(F.translate(path_of(F.col("url")), UPPER, LOWER), LETTERS))
+    """(word, n) of the words of all pages' texts and paths, with at least `least` occurrences, and of the unwanted
+    words, which are words wherever they are met. Host names don't count, else they would be words themselves."""
+    parts = F.concat(visible_words(F.coalesce("html", F.lit(""))), F.split(F.translate(path_of(F.col("url")), UPPER, LOWER), LETTERS))
     flat = pages.select(F.explode(parts).alias("word")).where(F.length("word").between(2, words.longest))
     counts = flat.groupBy("word").agg(F.count("*").alias("n"))
     known = pages.sparkSession.createDataFrame([(w, words.least) for w in unwanted], "word string, n long")
