@@ -417,7 +417,10 @@ def fit(pages: DataFrame, training: Training = Training()) -> Network:
     """Train on generated pages that are filled with words of a bounded sample of the table's pages."""
     text = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
     words = F.slice(F.split(F.trim(text), r"\s+"), 1, training.sample_words)
-    sample = pages.select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", "html").limit(training.sample_pages)
+    order = F.xxhash64(F.col("page_id").cast("string"))
+    last = pages.select(order.alias("order")).orderBy("order").limit(training.sample_pages).agg(F.max("order")).first()[0]
+    near = pages.where(order <= F.lit(last)) if last is not None else pages.limit(0)
+    sample = near.select("page_id", "html").orderBy(order, "html").limit(training.sample_pages)
     found = [html.unescape(w) for row in sample.select(words.alias("w")).collect() for w in row["w"] if w]
     made = [(vectors(b, {}), y) for b, y in made_pages(found, training.pages, training.seed) if len(b)]
     return train(made, training)

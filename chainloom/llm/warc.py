@@ -201,7 +201,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str) -> Data
                 if rows:
                     yield _batch(rows)
 
-    return manifest.select("file").repartition(F.col("file")).mapInArrow(task, COLUMNS)
+    return manifest.select("file").repartition(max(1, manifest.count()), "file").mapInArrow(task, COLUMNS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
