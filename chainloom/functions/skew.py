@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 GROUP_LIMIT = 2_000_000
 # Rows of a side that may be broadcast.
 BROADCAST_ROWS = 1_000_000
-# A key is hot when it holds more than total / HOT_KEYS rows, so there are never more hot keys than this.
+# So many hot keys are broadcast. With more, none of them holds more than 1 / HOT_KEYS of the rows.
 HOT_KEYS = 200_000
 
 
@@ -28,6 +28,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
+    if current is None and not configured and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if current is None:
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="chainloom-"))
         current = context.getCheckpointDir()
@@ -60,20 +62,21 @@ def join_group_stats(
 ) -> DataFrame:
     """Put the one row per key of `stats` on every row of that key.
 
-    There are at most `HOT_KEYS` hot keys, so their part of `stats` is broadcast and their rows stay
-    where they are; the other keys take the ordinary join.
+    Keys with more than `limit` rows are hot: up to `HOT_KEYS` of them, their part of `stats` is broadcast
+    and their rows stay where they are; the other keys take the ordinary join.
     """
     keys = list(keys)
     largest, total = group_profile(rows, keys)
     if largest <= limit:
         return rows.join(stats, keys, how)
-    floor = max(limit, total // HOT_KEYS)
     hot = (
         rows.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .filter((F.col("__n") > floor) & _no_nulls(keys))
+        .filter((F.col("__n") > limit) & _no_nulls(keys))
         .drop("__n")
     )
+    if total // limit > HOT_KEYS and not has_at_most(hot, HOT_KEYS):
+        return rows.join(stats, keys, how)
     hot_rows = rows.join(F.broadcast(hot), keys, "left_semi")
     cold_rows = rows.join(F.broadcast(hot), keys, "left_anti")
     hot_stats = stats.join(F.broadcast(hot), keys, "left_semi")

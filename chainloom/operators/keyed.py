@@ -125,24 +125,27 @@ def insert_append(
     return unique, rejects
 
 
-def update_by_key(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def update_by_key(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER
+) -> DataFrame:
     """The table with the given columns of each matching key replaced; other keys change nothing.
 
-    `updates` has one row per key and `_present`, the names of the columns it sets, so that a column
-    can be set to NULL.
+    `updates` has `_present`, the names of the columns a row sets, so that a column can be set to NULL.
+    Updates of a key run one after the other: of every column the last one that sets it counts. That is
+    an aggregate, so a key with many updates is reduced before the shuffle.
     """
     values = [c for c in target.columns if c not in keys]
-    given = updates.select(
-        *keys, F.col("_present").alias("__present"), *[F.col(c).alias(f"__{c}") for c in values]
-    )
-    joined = target.join(given, list(keys), "left")
+    at = F.struct(*[F.coalesce(F.col(c), F.lit(0)) for c in order if c in updates.columns] or [F.lit(0)])
+    last = [
+        F.max_by(F.struct(F.col(c).alias("v")), F.when(F.array_contains("_present", F.lit(c)), at)).alias(f"__{c}")
+        for c in values
+    ]
+    joined = target.join(updates.groupBy(*keys).agg(*last), list(keys), "left")
     return joined.select(
         *[
             F.col(c)
             if c in keys
-            else F.when(F.array_contains("__present", F.lit(c)), F.col(f"__{c}"))
-            .otherwise(F.col(c))
-            .alias(c)
+            else F.when(F.col(f"__{c}").isNotNull(), F.col(f"__{c}.v")).otherwise(F.col(c)).alias(c)
             for c in target.columns
         ]
     )

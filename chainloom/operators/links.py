@@ -152,14 +152,17 @@ def attach_content(
 
     Either from a content table, by uri, or from a user's fetch function: it takes and gives batches
     of pandas frames (uri, address) → (uri, content) as `mapInPandas` does, and runs on executors, at
-    most one batch per partition at a time.
+    most one batch per partition at a time. Content that is given twice for a uri counts once, the
+    smaller one; content that no task asks for is left out before it is shuffled any further.
     """
     if fetcher is not None:
         addresses = rewrite_links(tasks, ipfs_gateways).select("uri", "address").distinct()
         content = addresses.filter(F.col("address").isNotNull()).mapInPandas(
             fetcher, "uri string, content binary"
         )
-    return tasks.join(content.select("uri", "content"), "uri", "left")
+    asked = content.select("uri", "content").join(tasks.select("uri").distinct(), "uri", "left_semi")
+    once = asked.groupBy("uri").agg(F.min("content").alias("content"))
+    return tasks.join(once, "uri", "left")
 
 
 def retry_columns(now: dt.datetime | str) -> dict[str, Column]:

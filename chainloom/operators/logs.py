@@ -67,10 +67,23 @@ def decode_event_fields(
     return read_parameters(logs, wanted, known, numbers)
 
 
-def posts(logs: DataFrame, table: str = "lens_posts") -> DataFrame:
-    """PostCreated logs as change records; the content link becomes a request."""
+def posts(
+    logs: DataFrame,
+    table: str = "lens_posts",
+    *,
+    address: str = POSTS_CONTRACT,
+    topic0: str | None = None,
+) -> DataFrame:
+    """PostCreated logs as change records; the content link becomes a request.
+
+    Only logs of the contract are read, and, with `topic0` (hex), only those of that event. Both are
+    literals of the plan, so the scan can leave out what has other values.
+    """
+    own = logs.filter(F.col("address") == F.unhex(F.lit(address)))
+    if topic0 is not None:
+        own = own.filter(F.get("topics", F.lit(0)) == F.unhex(F.lit(topic0)))
     decoded = decode_event_fields(
-        logs, "PostCreated", only=("profileId", "pubId", "contentURI", "timestamp")
+        own, "PostCreated", only=("profileId", "pubId", "contentURI", "timestamp")
     )
     decoded = bind(
         decoded,
@@ -101,14 +114,14 @@ def posts(logs: DataFrame, table: str = "lens_posts") -> DataFrame:
 
 
 def data_words(data: Column, legacy_windows: bool = False) -> Column:
-    """The whole 32-byte words of the data as hex text.
+    """The data as hex text, all of its bytes.
 
     `legacy_windows` gives the overlapping windows of an older form instead: bytes i to i+32 for i
     from 1 to one less than the number of words.
     """
-    words = F.floor(F.octet_length(data) / WORD_BYTES).cast("int")
     if not legacy_windows:
-        return hex_text(F.substring(data, F.lit(1), words * WORD_BYTES))
+        return hex_text(data)
+    words = F.floor(F.octet_length(data) / WORD_BYTES).cast("int")
     windows = F.transform(
         F.sequence(F.lit(1), F.greatest(words - 1, F.lit(1))),
         lambda i: hex_text(F.substring(data, i + 1, F.lit(WORD_BYTES))),

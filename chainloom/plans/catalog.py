@@ -393,7 +393,8 @@ def q_filter_event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 from events where event_type <> 'view'""",
 )
 def q_decode_event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = logs.decode_event_fields(shapes.post_logs(spark, sf_dir), "PostCreated")
+    own = F.col("address") == F.unhex(F.lit(logs.POSTS_CONTRACT))
+    decoded = logs.decode_event_fields(shapes.post_logs(spark, sf_dir).filter(own), "PostCreated")
     names = {
         "profileId": "profile_id",
         "pubId": "pub_id",
@@ -607,17 +608,17 @@ def q_insert_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "update_by_key",
     f"""with {STORED_SQL},
-first as (
-  select id, arg_min(struct_pack(gv := gives_value, gp := gives_props, v := value, p := props), o) as c
+last as (
+  select id, arg_max(struct_pack(v := value), o) filter (gives_value) as v,
+    arg_max(struct_pack(p := props), o) filter (gives_props) as p
   from change where op = 2 group by id)
-select s.id, (case when c.gv then c.v else s.value end)::varchar as value,
-  case when c.gp then c.p else s.props end as props
-from stored s left join first f on f.id = s.id""",
+select s.id, (case when l.v is not null then l.v.v else s.value end)::varchar as value,
+  case when l.p is not null then l.p.p else s.props end as props
+from stored s left join last l on l.id = s.id""",
 )
 def q_update_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = _sparse_rows(spark, sf_dir).filter(F.col("_operation") == UPDATE)
-    first = keyed.first_of_key(updates, STORED.keys)
-    return _plain(keyed.update_by_key(shapes.accounts(spark, sf_dir), first, STORED.keys))
+    return _plain(keyed.update_by_key(shapes.accounts(spark, sf_dir), updates, STORED.keys))
 
 
 @query(
@@ -868,13 +869,13 @@ PAGE_TITLES = contract("page_titles", "uri text, title text", "uri")
 
 
 def parse_page(content: Column, uri: Column) -> Column:
-    """A page with a plain title gives one record; other pages give none."""
+    """A page with a title gives one record; other pages give none."""
     title = F.regexp_extract(content, "<title>([^<]*)</title>", 1)
     record = F.struct(
         F.lit(PAGE_TITLES.table).alias("record"),
         F.array(field("uri", value(string=uri)), field("title", value(string=title))).alias("fields"),
     )
-    plain = F.coalesce((title != "") & ~title.contains("%"), F.lit(False))
+    plain = F.coalesce(title != "", F.lit(False))
     return F.when(plain, F.array(record).cast(RECORDS)).otherwise(F.array().cast(RECORDS))
 
 
@@ -885,8 +886,8 @@ OUTCOMES_SQL = f"""outcome as (
     case when not starts_with(url, 'https://') then 1
          when page_id % 11 = 0 then 2
          when page_id % 7 = 0 then case when page_id % 5 < 3 then 0 else 3 end
-         when strlen(url) + strlen('demo') + strlen(html) > {PAGE_SIZE_LIMIT} then 5
-         when page_id % 13 = 0 or title = '' or contains(title, '%') then 4
+         when strlen(url) + strlen('demo') + strlen(html) > {links.MAX_CONTENT_SIZE} then 5
+         when page_id % 13 = 0 or title = '' then 4
          else 6 end as state
   from pages)"""
 
@@ -905,7 +906,6 @@ def q_task_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         shapes.page_content(spark, sf_dir),
         PAGE_HANDLERS,
         NOW,
-        limit=PAGE_SIZE_LIMIT,
     )
     due = F.date_format("due_at", "yyyy-MM-dd HH:mm:ss").alias("due_at")
     return outcomes.select("uri", "manifest", "state", "num_retries", due)
@@ -921,7 +921,6 @@ def q_parsed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         shapes.page_content(spark, sf_dir),
         PAGE_HANDLERS,
         NOW,
-        limit=PAGE_SIZE_LIMIT,
     )
     return links.parsed_rows(resolved, PAGE_TITLES).select(*PAGE_TITLES.names)
 
@@ -1002,7 +1001,6 @@ def _enrich_job(spark: SparkSession, sf_dir: str) -> IngestJob:
         handlers=PAGE_HANDLERS["demo"],
         contracts=[PAGE_TITLES],
         content=lambda: shapes.page_content(spark, sf_dir),
-        size_limit=PAGE_SIZE_LIMIT,
     )
     return IngestJob("pages", _page_changes, [PAGES], algo="sha256", enrichment=enrichment)
 
@@ -1012,9 +1010,8 @@ def _enrich_job(spark: SparkSession, sf_dir: str) -> IngestJob:
     f"""with done as (
   select url, page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title,
     case when not starts_with(url, 'https://') then 1 when page_id % 7 = 0 then 0
-         when strlen(url) + strlen('demo') + strlen(html) > {PAGE_SIZE_LIMIT} then 5
-         when regexp_extract(html, '<title>([^<]*)</title>', 1) = ''
-              or contains(regexp_extract(html, '<title>([^<]*)</title>', 1), '%') then 4
+         when strlen(url) + strlen('demo') + strlen(html) > {links.MAX_CONTENT_SIZE} then 5
+         when regexp_extract(html, '<title>([^<]*)</title>', 1) = '' then 4
          else 6 end as state
   from pages)
 select url as uri, state::int as state,

@@ -235,9 +235,9 @@ def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def post_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The logs that have the topics of a post, all from the posts contract."""
-    full = logs(spark, sf_dir).filter(F.col("event_type") != "view")
-    return full.withColumn("address", F.unhex(F.lit(POSTS_CONTRACT)))
+    """All logs; those that have the topics of a post are from the posts contract, the others are not."""
+    own = F.when(F.col("event_type") != "view", F.unhex(F.lit(POSTS_CONTRACT))).otherwise(F.col("address"))
+    return logs(spark, sf_dir).withColumn("address", own)
 
 
 def balances(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Batches of rows that appear together with their progress, or not at all.
 
-A table is a folder with one subfolder per batch, `batch=<n>`, read by Spark as a partitioned Parquet
-table. A batch is written in two steps: the rows of every table, and last one progress row with the
-cursor. Readers keep the batches that have a progress row, so a half-written batch is never seen, and
-doing it again overwrites it. One writer per store.
+A table is a folder with one subfolder per written batch, `batch=<n>/write=<id>`, read by Spark as a
+partitioned Parquet table. A batch is written in two steps: the rows of every table, and last one
+progress row with the cursor and the id of the write. Readers keep what a progress row names, so a write
+that was never marked is never seen, whatever is committed after it. One writer per store.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -20,11 +21,12 @@ from chainloom.contracts import CURSORS, Contract
 from chainloom.operators.keyed import apply_changes
 from chainloom.operators.progress import cursor_upsert
 
-# One row per batch: who wrote it, and the cursor it reached, if it read blocks.
+# One row per batch: who wrote it, in which write, and the cursor it reached, if it read blocks.
 PROGRESS = T.StructType(
     [
         T.StructField("source", T.StringType()),
         T.StructField("epoch", T.LongType()),
+        T.StructField("write", T.StringType()),
         *CURSORS.schema.fields,
     ]
 )
@@ -52,6 +54,7 @@ class BatchStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._last: int | None = None
+        self._writes: dict[int, str] = {}
         self._sources: dict[str, Source] = {}
 
     def _path(self, table: str) -> str:
@@ -59,7 +62,10 @@ class BatchStore:
 
     def _all(self, table: str, schema: T.StructType) -> DataFrame | None:
         """All batches of a table, with or without progress, with their number; None without any."""
-        with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+        place = [T.StructField("batch", T.LongType())]
+        if table != CURSORS.table:
+            place.append(T.StructField("write", T.StringType()))
+        with_batch = T.StructType([*schema.fields, *place])
         try:
             return self.spark.read.schema(with_batch).parquet(self._path(table))
         except AnalysisException as error:
@@ -98,7 +104,11 @@ class BatchStore:
             return self.spark.createDataFrame(
                 [], T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
             )
-        return batches.filter(F.col("batch") <= self.last_batch())
+        committed = batches.filter(F.col("batch") <= self.last_batch())
+        if table == CURSORS.table:
+            return committed
+        marks = self.read(CURSORS.table, PROGRESS).select("batch", "write")
+        return committed.join(marks, ["batch", "write"], "left_semi").drop("write")
 
     def has_rows(self, table: str) -> bool:
         """Whether any batch of this table may be committed."""
@@ -129,8 +139,9 @@ class BatchStore:
     def write(self, tables: Mapping[str, DataFrame]) -> int:
         """Write the rows of the next batch; not yet visible."""
         batch = self.last_batch() + 1
+        self._writes[batch] = uuid.uuid4().hex
         for table, rows in tables.items():
-            rows.write.mode("overwrite").parquet(f"{self._path(table)}/batch={batch}")
+            rows.write.parquet(f"{self._path(table)}/batch={batch}/write={self._writes[batch]}")
         return batch
 
     def mark(self, batch: int, source: str, epoch: int, cursors: DataFrame | None) -> None:
@@ -140,7 +151,10 @@ class BatchStore:
         else:
             row = cursors.select(*CURSORS.names)
         stamped = row.select(
-            F.lit(source).alias("source"), F.lit(epoch).cast("bigint").alias("epoch"), *CURSORS.names
+            F.lit(source).alias("source"),
+            F.lit(epoch).cast("bigint").alias("epoch"),
+            F.lit(self._writes.pop(batch)).alias("write"),
+            *CURSORS.names,
         )
         stamped.coalesce(1).write.mode("overwrite").parquet(
             f"{self._path(CURSORS.table)}/batch={batch}"

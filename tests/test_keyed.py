@@ -131,3 +131,13 @@ def test_batch_counts(spark):
     rows = spark.createDataFrame([(0, "t", 1)] * 3 + [(1, "t", 2)], "batch_id int, record string, operation int")
     got = {tuple(r) for r in keyed.batch_counts(rows).collect()}
     assert got == {(0, "t", 1, 3), (1, "t", 2, 1)}
+
+
+def test_updates_of_a_key_run_one_after_the_other(spark):
+    target = spark.createDataFrame([("k", 1, "x"), ("l", 2, "y")], TABLE)
+    updates = spark.createDataFrame(
+        [("k", 5, "p", ["a", "b"], 1), ("k", None, None, ["a"], 3), ("k", 7, "q", ["a", "b"], 2)],
+        f"{TABLE}, _present array<string>, _ordinal long",
+    )
+    got = sorted(tuple(r) for r in keyed.update_by_key(target, updates, ["id"]).collect())
+    assert got == [("k", None, "q"), ("l", 2, "y")]

@@ -232,3 +232,10 @@ def test_due(spark, now, want):
         tasks(spark, ("c", "m", "h", 0)).withColumn("state", F.lit(links.FINISHED))
     )
     assert links.queued_tasks(frame, now).count() == want
+
+
+def test_content_given_twice_counts_once(spark):
+    tasks = spark.createDataFrame([("u",), ("v",)], "uri string")
+    content = spark.createDataFrame([("u", "b"), ("u", "a"), ("other", "c")], "uri string, content string")
+    got = sorted(tuple(r) for r in links.attach_content(tasks, content).collect())
+    assert got == [("u", "a"), ("v", None)]

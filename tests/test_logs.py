@@ -144,7 +144,7 @@ def test_data_words(spark, size):
     frame = spark.createDataFrame([(bytearray(data),)], "data binary")
     words = size // 32
     plain = frame.select(logs.data_words(F.col("data"))).first()[0]
-    assert plain == data[: words * 32].hex()
+    assert plain == data.hex()
     legacy = frame.select(logs.data_words(F.col("data"), True)).first()[0]
     assert legacy == b"".join(data[i : i + 32] for i in range(1, words)).hex()
 
@@ -199,9 +199,27 @@ def test_event_rows(spark, limit):
     by_id = {r["id"]: r for r in rows}
     six = by_id["tests.commitments.BLOCK_COMMITMENT<01_01_1_6>"]
     assert six["topic4"] == word(4).hex() and six["num_logs"] == 12
-    assert six["address"] == "aa" * 20 + "0" * 24 and six["data"] == "07" * 64
+    assert six["address"] == "aa" * 20 + "0" * 24 and six["data"] == "07" * 70
     none = by_id["tests.commitments.BLOCK_COMMITMENT<02_01_1_0>"]
     assert none["topic0"] is None and none["num_logs"] == 3
     assert len({r["commitment"] for r in rows}) == 2
     fields = logs.event_changes(logs.event_rows(frame)).filter("size(fields) = 14").count()
     assert fields == 2 + 0  # nine common fields and five topics: positions 5 and 6 of the first block
+
+
+def test_commitment_depends_on_every_byte(spark):
+    schema = "block_num long, tx_index int, log_index int, address binary, topics array<binary>, data binary"
+    rows = [(1, 0, 0, b"a", [word(1)], word(7) + b"tail"), (2, 0, 0, b"a", [word(1)], word(7) + b"tale")]
+    frame = spark.createDataFrame([tuple(map(lambda v: bytearray(v) if isinstance(v, bytes) else v, r)) for r in rows], schema)
+    roots = {r["block_num"]: r["commitment"] for r in logs.block_commitment(frame).collect()}
+    assert roots[1] != roots[2]
+
+
+def test_posts_are_of_the_contract(spark):
+    from chainloom.sources import shapes
+
+    mixed = shapes.post_logs(spark, "/root/testdata/sf0.001")
+    own = mixed.filter(F.col("event_type") != "view")
+    assert 0 < own.count() < mixed.count()
+    assert logs.posts(mixed).count() == own.count()
+    assert logs.posts(mixed, address="ff" * 20).count() == 0

@@ -348,3 +348,17 @@ def test_modules_by_name(spark, tmp_path, module, table, count):
     else:
         assert {r["timestamp"] for r in rows} == {"2024-01-02T03:04:05Z"}
         assert {(r["number"], r["hash"], r["parent_hash"]) for r in rows} == {(1, "01", "00"), (2, "02", "01")}
+
+
+def test_dead_write_stays_unseen_after_other_commits(spark, tmp_path):
+    from chainloom.contracts import contract
+
+    one, two = contract("one", "id text", "id"), contract("two", "id text", "id")
+    rows = spark.createDataFrame([("a",), ("b",)], "id string")
+    dead = BatchStore(spark, str(tmp_path / "s"))
+    dead.commit({"one": rows}, None, "first", 0)
+    dead.write({"one": rows, "two": rows})
+    other = BatchStore(spark, str(tmp_path / "s"))
+    other.commit({"two": rows.limit(1)}, None, "second", 0)
+    after = BatchStore(spark, str(tmp_path / "s"))
+    assert (after.rows(one).count(), after.rows(two).count()) == (2, 1)
