@@ -17,6 +17,7 @@ from chainloom.functions.skew import (
     GROUP_LIMIT,
     has_at_most,
     join_group_stats,
+    join_lookup,
     previous_value,
     row_position,
 )
@@ -53,24 +54,6 @@ def first_of_key(
     return rows.groupBy(*keys).agg(first).select(*keys, "__first.*").select(*rows.columns)
 
 
-def reject_duplicates(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str] = ORDER,
-    *,
-    limit: int = GROUP_LIMIT,
-) -> tuple[DataFrame, DataFrame]:
-    """(first row of each key, the later rows and the rows without a key)."""
-    keyed = rows.filter(~_null_key(keys))
-    placed = row_position(keyed, keys, order, out="__position", limit=limit)
-    later = placed.filter(F.col("__position") > 0).select(*rows.columns)
-    null_rows = rows.filter(_null_key(keys))
-    rejects = later.withColumn("reject_reason", F.lit("duplicate_key")).unionByName(
-        null_rows.withColumn("reject_reason", F.lit("null_key"))
-    )
-    return placed.filter(F.col("__position") == 0).select(*rows.columns), rejects
-
-
 def existing_keys(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys of `rows` that the table already has.
 
@@ -83,6 +66,39 @@ def existing_keys(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
     return target.select(*keys).join(batch, list(keys), "left_semi")
 
 
+def key_counts(rows: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """The keys of `rows` with their number of `rows` and whether the table has them (`taken`)."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    if target is None:
+        return counts.withColumn("taken", F.lit(False))
+    return _with_flag(counts, existing_keys(rows, target, keys), keys, "taken")
+
+
+def _with_flag(rows: DataFrame, found: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """Rows with `flag` set where their key is in `found`."""
+    marks = found.select(*keys).distinct().withColumn("__found", F.lit(True))
+    joined = join_lookup(rows, marks, keys, how="left")
+    return joined.withColumn(flag, F.coalesce("__found", F.lit(False))).drop("__found")
+
+
+def insert_outcomes(
+    target: DataFrame | None,
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = ORDER,
+    *,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """All rows with `reject_reason`: NULL for those to append, else `null_key`, `duplicate_key` (not the
+    first row of its key) or `key_exists` (the first one, but the table has the key)."""
+    placed = row_position(rows, keys, order, out="__position", limit=limit)
+    reason = F.when(_null_key(keys), "null_key").when(F.col("__position") > 0, "duplicate_key")
+    if target is not None:
+        placed = _with_flag(placed, existing_keys(rows, target, keys), keys, "__taken")
+        reason = reason.when(F.col("__taken"), "key_exists")
+    return placed.withColumn("reject_reason", reason).select(*rows.columns, "reject_reason")
+
+
 def insert_append(
     target: DataFrame | None,
     rows: DataFrame,
@@ -96,33 +112,38 @@ def insert_append(
     """(rows to append, rejects).
 
     A key twice in the batch is an error, or with `on_duplicate="reject"` all rows after the first
-    are rejects. The same for a key that the table has, by `on_conflict`.
+    are rejects. The same for a key that the table has, by `on_conflict`. Where both are errors one
+    aggregate over the keys checks the batch, and its rows are left as they are.
     """
     for policy in (on_duplicate, on_conflict):
         if policy not in ("fail", "reject"):
             raise ValueError("a policy is 'fail' or 'reject'")
-    if on_duplicate == "fail":
-        broken = check_primary_key(rows, keys).head(1)
-        if broken:
-            raise DuplicateKey(f"key given more than once or NULL in a batch: {broken[0].asDict()}")
-        unique, rejects = rows, None
-    else:
-        unique, rejects = reject_duplicates(rows, keys, order, limit=limit)
-    if target is not None:
-        taken = existing_keys(unique, target, keys)
-        if on_conflict == "fail":
-            clash = taken.head(1)
-            if clash:
-                raise DuplicateKey(f"key already in the table: {clash[0].asDict()}")
-        else:
-            conflicts = unique.join(taken, list(keys), "left_semi").withColumn(
-                "reject_reason", F.lit("key_exists")
-            )
-            unique = unique.join(taken, list(keys), "left_anti")
-            rejects = conflicts if rejects is None else rejects.unionByName(conflicts)
-    if rejects is None:
-        rejects = rows.filter(F.lit(False)).withColumn("reject_reason", F.lit("duplicate_key"))
-    return unique, rejects
+    if "fail" in (on_duplicate, on_conflict):
+        broken = (F.col("rows") > 1) | _null_key(keys) if on_duplicate == "fail" else F.lit(False)
+        clash = F.col("taken") if on_conflict == "fail" else F.lit(False)
+        stored = target if on_conflict == "fail" else None
+        found = key_counts(rows, stored, keys).filter(broken | clash).head(1)
+        if found:
+            key = {k: found[0][k] for k in keys}
+            twice = on_duplicate == "fail" and (found[0]["rows"] > 1 or None in key.values())
+            what = "key given more than once or NULL in a batch" if twice else "key already in the table"
+            raise DuplicateKey(f"{what}: {key}")
+    unchecked = target if on_conflict == "reject" else None
+    if on_duplicate == "fail" and unchecked is None:
+        return rows, rows.filter(F.lit(False)).withColumn("reject_reason", F.lit("duplicate_key"))
+    outcomes = insert_outcomes(unchecked, rows, keys, order, limit=limit)
+    fresh = outcomes.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return fresh, outcomes.filter(F.col("reject_reason").isNotNull())
+
+
+def _touched(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of the table with one of the keys, the others). While the keys can be broadcast the table is
+    scanned and only its touched rows are shuffled; else (the whole table, None)."""
+    some = keyed.select(*keys).distinct()
+    if not has_at_most(some, BROADCAST_ROWS):
+        return target, None
+    some = F.broadcast(some)
+    return target.join(some, list(keys), "left_semi"), target.join(some, list(keys), "left_anti")
 
 
 def update_by_key(
@@ -140,8 +161,9 @@ def update_by_key(
         F.max_by(F.struct(F.col(c).alias("v")), F.when(F.array_contains("_present", F.lit(c)), at)).alias(f"__{c}")
         for c in values
     ]
-    joined = target.join(updates.groupBy(*keys).agg(*last), list(keys), "left")
-    return joined.select(
+    touched, others = _touched(target, updates, keys)
+    joined = touched.join(updates.groupBy(*keys).agg(*last), list(keys), "left")
+    updated = joined.select(
         *[
             F.col(c)
             if c in keys
@@ -149,6 +171,7 @@ def update_by_key(
             for c in target.columns
         ]
     )
+    return updated if others is None else updated.unionByName(others)
 
 
 def delete_by_key(target: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -201,7 +224,8 @@ def apply_changes(
         F.min_by(F.struct("__at", *[f"__{c}" for c in values]), create).alias("__row"),
         *[updated(c) for c in values],
     )
-    base = target.select(*keys, *values, F.lit(True).alias("__stored"))
+    touched, others = _touched(target, rows, keys)
+    base = touched.select(*keys, *values, F.lit(True).alias("__stored"))
     both = base.join(folded, keys, "full_outer")
     kept = F.coalesce(F.col("__stored"), F.lit(False)) & F.col("__deleted").isNull()
 
@@ -215,33 +239,71 @@ def apply_changes(
         ).alias(column)
 
     alive = both.filter(kept | F.col("__created").isNotNull())
-    return alive.select(*[F.col(c) if c in keys else result(c) for c in target.columns])
+    changed = alive.select(*[F.col(c) if c in keys else result(c) for c in target.columns])
+    return changed if others is None else changed.unionByName(others)
 
 
-def change_conflicts(
-    target: DataFrame,
+def change_outcomes(
+    live: DataFrame | None,
     changes: DataFrame,
     keys: Sequence[str],
     *,
     order: Sequence[str] = ORDER,
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """The creates on a live key: those `apply_changes` refuses.
+    """All changes with `reject_reason`: `null_key`, `key_exists` for a create on a live key, else NULL.
 
     A key is live when the last create or delete before is a create (taken or refused, it leaves the
-    key live), or when there is none and the table has the key.
+    key live), or when there is none and `live` has the key.
     """
     keys = list(keys)
-    marks = changes.filter(F.col("_operation").isin(CREATE, DELETE))
-    seen = previous_value(
-        marks, keys, list(order), F.col("_operation"), out="__previous", limit=limit
+    mark = F.when(F.col("_operation").isin(CREATE, DELETE), F.col("_operation"))
+    rows = previous_value(changes, keys, list(order), mark, out="__previous", limit=limit)
+    before = F.col("__previous") == CREATE
+    if live is not None:
+        rows = _with_flag(rows, live, keys, "__live")
+        before = F.coalesce(before, F.col("__live"))
+    refused = (F.col("_operation") == CREATE) & F.coalesce(before, F.lit(False))
+    reason = F.when(_null_key(keys), "null_key").when(refused, "key_exists")
+    return rows.withColumn("reject_reason", reason).select(*changes.columns, "reject_reason")
+
+
+def live_keys(
+    target: DataFrame | None,
+    changes: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = ORDER,
+) -> DataFrame:
+    """The keys of `rows` that are live once `changes` have been applied to the table: their last create or
+    delete is a create, or they have none and the table has them. Only the keys, operations and order of
+    `changes` are read; no row is folded."""
+    marks = changes.filter(F.col("_operation").isin(CREATE, DELETE)).select(*keys, "_operation", *order)
+    own = rows.select(*keys).distinct()
+    if has_at_most(own, BROADCAST_ROWS):
+        own = F.broadcast(own)
+    last = marks.join(own, list(keys), "left_semi").groupBy(*keys).agg(
+        F.max_by("_operation", F.struct(*order)).alias("__last")
     )
-    creates = seen.filter(F.col("_operation") == CREATE)
-    again = creates.filter(F.col("__previous") == CREATE)
-    # At most one create per key comes first.
-    first = creates.filter(F.col("__previous").isNull())
-    on_stored = first.join(existing_keys(first, target, keys), keys, "left_semi")
-    return again.unionByName(on_stored.select(*again.columns)).drop("__previous")
+    if target is None:
+        return last.filter(F.col("__last") == CREATE).select(*keys)
+    stored = existing_keys(rows, target, keys).distinct().withColumn("__last", F.lit(None).cast("int"))
+    both = last.unionByName(stored).groupBy(*keys).agg(F.max("__last").alias("__last"))
+    return both.filter(F.coalesce("__last", F.lit(CREATE)) == CREATE).select(*keys)
+
+
+def change_conflicts(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    *,
+    order: Sequence[str] = ORDER,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """The creates on a live key: those `apply_changes` refuses."""
+    creates = changes.filter(F.col("_operation") == CREATE)
+    outcomes = change_outcomes(existing_keys(creates, target, keys), changes, keys, order=order, limit=limit)
+    return outcomes.filter(F.col("reject_reason") == "key_exists").drop("reject_reason")
 
 
 def batch_counts(changes: DataFrame, batch: str = "batch_id") -> DataFrame:

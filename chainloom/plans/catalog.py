@@ -592,17 +592,9 @@ from placed p left join stored s on s.id = p.id""",
 )
 def q_insert_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     creates = _sparse_rows(spark, sf_dir).filter(F.col("_operation") == CREATE)
-    fresh, rejects = keyed.insert_append(
-        shapes.accounts(spark, sf_dir),
-        creates,
-        STORED.keys,
-        on_duplicate="reject",
-        on_conflict="reject",
-    )
-    outcome = fresh.withColumn("reject_reason", F.lit("inserted")).unionByName(rejects)
-    return outcome.select(
-        "id", F.col("_ordinal").alias("ordinal"), F.col("reject_reason").alias("outcome")
-    )
+    outcomes = keyed.insert_outcomes(shapes.accounts(spark, sf_dir), creates, STORED.keys)
+    outcome = F.coalesce("reject_reason", F.lit("inserted")).alias("outcome")
+    return outcomes.select("id", F.col("_ordinal").alias("ordinal"), outcome)
 
 
 @query(
