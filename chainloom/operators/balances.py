@@ -14,6 +14,21 @@ from chainloom.functions.skew import BROADCAST_ROWS, GROUP_LIMIT, has_at_most, j
 ADDRESS_LABEL = "Address:"
 
 
+def explode_balance_changes(blocks: DataFrame) -> DataFrame:
+    """One row per balance change of nested blocks, in the shape of a balance frame. No shuffle.
+
+    `blocks` has block_num and transactions: an array of end_ordinal and calls (balance_changes: address,
+    new_value). Failed transactions count as well, since they pay too. `pos` numbers the changes of a
+    transaction over its calls; what is empty or NULL gives no row.
+    """
+    traces = blocks.select("block_num", F.explode("transactions").alias("__tx"))
+    changed = F.flatten(
+        F.filter(F.transform("__tx.calls", lambda call: call["balance_changes"]), lambda found: found.isNotNull())
+    )
+    rows = traces.select("block_num", "__tx.end_ordinal", F.posexplode(changed).alias("pos", "__change"))
+    return rows.select("block_num", "end_ordinal", "pos", "__change.address", "__change.new_value")
+
+
 def balance_latest(balances: DataFrame) -> DataFrame:
     """key and balance: the last balance of each address. One aggregate, combined before the shuffle."""
     last = balances.groupBy("address").agg(

@@ -40,6 +40,27 @@ TOPIC_COLUMNS = 5
 LOG_ORDER = ("tx_index", "log_index")
 
 
+def explode_logs(blocks: DataFrame) -> DataFrame:
+    """One row per log of nested blocks, in the shape of a log frame. No shuffle.
+
+    `blocks` has block_num, block_hash and transactions: an array of index, hash, succeeded and logs (index,
+    ordinal, address, topics, data). Logs of transactions that failed are left out; a block or transaction
+    without logs, or with NULL for them, gives no row. Other columns of the block are kept, but for those
+    that have the name of a log column.
+    """
+    own = ("tx_index", "tx_hash", "log_index", "ordinal", "address", "topics", "data")
+    others = [c for c in blocks.columns if c not in ("transactions", *own)]
+    traces = blocks.select(*others, F.explode("transactions").alias("__tx"))
+    found = traces.filter(F.col("__tx.succeeded")).select(*others, "__tx", F.explode("__tx.logs").alias("__log"))
+    return found.select(
+        *others,
+        F.col("__tx.index").alias("tx_index"),
+        F.col("__tx.hash").alias("tx_hash"),
+        F.col("__log.index").alias("log_index"),
+        *[F.col(f"__log.{c}").alias(c) for c in own[3:]],
+    )
+
+
 def filter_event_logs(
     logs: DataFrame, signatures: DataFrame, *, bound: int = BROADCAST_ROWS, limit: int = GROUP_LIMIT
 ) -> DataFrame:

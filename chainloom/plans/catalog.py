@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from decimal import Decimal
@@ -25,9 +26,11 @@ from chainloom.functions.typed import (
 from chainloom.operators import balances, blocks, changes, keyed, links, logs, progress
 from chainloom.plans.ingest import (
     BALANCE_CHANGES,
+    REJECTS,
     Enrichment,
     IngestJob,
     current_tasks,
+    resolve_all,
     run_batch,
 )
 from chainloom.sources import shapes
@@ -149,6 +152,22 @@ def q_derive_row_key_blake2s(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.changes(spark, sf_dir).select("ordinal", key.alias("row_key"))
 
 
+@query(
+    "row_keys_blake2s",
+    """select event_id as ordinal, user_id::varchar as id, 64 as digits, true as is_hex, 1::bigint as rows
+from events""",
+)
+def q_row_keys_blake2s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys a run makes by default: one form, and each key on one record only."""
+    records = shapes.changes(spark, sf_dir).select("id", "ordinal")
+    keyed_records = records.withColumn("key", changes.derive_row_key(F.col("id"), F.col("ordinal"), "blake2s"))
+    one = keyed_records.groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("ordinal").alias("ordinal"), F.min("id").alias("id")
+    )
+    form = F.col("key").rlike("^[0-9a-f]*$")
+    return one.select("ordinal", "id", F.length("key").alias("digits"), form.alias("is_hex"), "rows")
+
+
 def _typed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One value per event, its alternative by turns, some out of the range of the narrower types."""
     number, odd = F.col("event_id"), F.col("event_id") % 2 == 1
@@ -528,6 +547,41 @@ def q_block_commitment_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 CENTS_SQL = "case when event_type <> 'error' then (value::decimal(18,2) * 100)::bigint else 0 end"
 
 
+TRANSACTIONS_SQL = "(select *, unnest(range(0, event_id % 2 + 1)) as tx from events)"
+
+
+@query(
+    "explode_logs",
+    f"""select event_id as block_num, sha256(event_id::varchar) as block_hash, tx::int as tx_index,
+  sha256((event_id * 10 + tx)::varchar) as tx_hash, nth::int as log_index, event_id * 100 + tx * 10 + nth as ordinal,
+  {ADDRESS_SQL} as address, sha256(event_type) as topic0, props as data
+from (select *, unnest(range(1, event_id % 3 + 1)) as nth from {TRANSACTIONS_SQL} where tx = 0 or event_type <> 'error')""",
+)
+def q_explode_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = logs.explode_logs(shapes.traced_blocks(spark, sf_dir))
+    return found.select(
+        "block_num",
+        *[F.lower(F.hex(c)).alias(c) for c in ("block_hash", "tx_hash", "address")],
+        "tx_index",
+        "log_index",
+        "ordinal",
+        F.lower(F.hex(F.get("topics", F.lit(0)))).alias("topic0"),
+        F.decode("data", "UTF-8").alias("data"),
+    )
+
+
+@query(
+    "explode_balance_changes",
+    f"""select event_id as block_num, event_id * 100 + tx * 10 + 9 as end_ordinal, nth::int as pos,
+  lpad(lower(to_hex(user_id + tx)), 40, '0') as address,
+  case when nth = 0 then lpad(lower(to_hex(event_id * 10)), 64, '0') end as new_value
+from (select *, unnest(range(0, 2)) as nth from {TRANSACTIONS_SQL})""",
+)
+def q_explode_balance_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = balances.explode_balance_changes(shapes.traced_blocks(spark, sf_dir))
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("address", "new_value")})
+
+
 @query(
     "balance_latest",
     f"""select 'Address:' || {ADDRESS_SQL} as key, arg_max({CENTS_SQL}, event_id)::varchar as balance
@@ -987,6 +1041,17 @@ def _page_changes(pages: DataFrame) -> DataFrame:
 PAGES = contract("linked_pages", "id text, link text", "id")
 
 
+def _linked_pages(pages: DataFrame) -> DataFrame:
+    """A block per page."""
+    return pages.select(
+        F.col("page_id").alias("block_num"),
+        shapes.number_hash(F.col("page_id")).alias("block_id"),
+        F.concat(F.lit("c"), F.col("page_id").cast("string")).alias("cursor"),
+        "page_id",
+        "url",
+    )
+
+
 def _enrich_job(spark: SparkSession, sf_dir: str) -> IngestJob:
     enrichment = Enrichment(
         manifest="demo",
@@ -1015,13 +1080,7 @@ def q_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as a stream: their links queued, attempted once, parsed and stored."""
     folder = _run_dir(spark)
     store = BatchStore(spark, f"{folder}/store")
-    pages = _stream(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("block_num"),
-        shapes.number_hash(F.col("page_id")).alias("block_id"),
-        F.concat(F.lit("c"), F.col("page_id").cast("string")).alias("cursor"),
-        "page_id",
-        "url",
-    )
+    pages = _linked_pages(_stream(spark, sf_dir, "pages"))
     run_stream(_enrich_job(spark, sf_dir), store, pages, f"{folder}/checkpoint", now=NOW)
     titles = store.rows(PAGE_TITLES)
     return current_tasks(store).join(titles, "uri", "left").select(
@@ -1029,6 +1088,61 @@ def q_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "enrich_retries",
+    f"""select url as uri,
+  (case when not starts_with(url, 'https://') then 1 when page_id % 7 = 0 then 3
+        when strlen(url) + strlen('demo') + strlen(html) > {links.MAX_CONTENT_SIZE} then 5
+        when regexp_extract(html, '<title>([^<]*)</title>', 1) = '' then 4 else 6 end)::int as state,
+  (case when starts_with(url, 'https://') and page_id % 7 = 0 then 3 else 0 end)::int as num_retries
+from pages""",
+)
+def q_enrich_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links whose content never comes: three retries after the first attempt, then given up."""
+    store = BatchStore(spark, f"{_run_dir(spark)}/store")
+    job = _enrich_job(spark, sf_dir)
+    start = dt.datetime.fromisoformat(NOW)
+    run_batch(job, store, _linked_pages(shapes.table(spark, sf_dir, "pages")), start)
+    passed = [start]
+    resolve_all(
+        job.enrichment,
+        store,
+        "retries",
+        clock=lambda: passed[-1],
+        wait=lambda seconds: passed.append(passed[-1] + dt.timedelta(seconds=seconds)),
+    )
+    return current_tasks(store).select("uri", "state", "num_retries")
+
+
+@query(
+    "changes_run",
+    f"""with {STORED_SQL},
+valid as (select * from change where op <> 1 or props is not null),
+seen as (select *, last_value(case when op in (1, 3) then op end ignore nulls) over (
+    partition by id order by o rows between unbounded preceding and 1 preceding) as before from valid),
+refused as (select * from seen where op = 1 and before = 1),
+alive as (select distinct id from (select id, arg_max(op, o) as last from valid where op in (1, 3) group by id) where last = 1)
+select 'refused' as part, id, o as ordinal from refused
+union all select 'alive', id, null from alive""",
+)
+def q_changes_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that keeps its table as changes, in two batches with a table version in between: the creates that
+    it refused, and the keys that its table has in the end."""
+    store = BatchStore(spark, f"{_run_dir(spark)}/store")
+    job = IngestJob("changes", shapes.sparse_changes_of, [STORED], mode="changes", strict=False, on_conflict="reject")
+    events = shapes.table(spark, sf_dir, "events").withColumn("block_num", shapes.event_block())
+    blocks_seen = events.withColumns({"block_id": F.col("block_num").cast("string"), "cursor": F.col("block_num").cast("string")})
+    middle = events.agg(F.max("block_num")).first()[0] // 2
+    run_batch(job, store, blocks_seen.filter(F.col("block_num") < middle))
+    store.compact(STORED)
+    run_batch(job, store, blocks_seen.filter(F.col("block_num") >= middle))
+    refused = store.read("rejects", REJECTS).filter(F.col("reject_reason") == "key_exists")
+    own = events.select(F.col("event_id").alias("ordinal"), F.col("user_id").cast("string").alias("id"))
+    named = refused.join(own, "ordinal").select(F.lit("refused").alias("part"), "id", "ordinal")
+    alive = store.folded(STORED).select(F.lit("alive").alias("part"), "id", F.lit(None).cast("long").alias("ordinal"))
+    return named.unionByName(alive)
+
+
 @query(
     "ingest_run",
     f"""with p as ({ORACLE['posts']})

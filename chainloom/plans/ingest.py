@@ -6,6 +6,7 @@ The same `process_batch` serves a batch run, which is one batch, and each micro-
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -78,7 +79,8 @@ class IngestJob:
     """What a run does. `module` is a name in MODULES or a function from blocks to change records.
 
     `mode="append"` takes creates only and appends rows. `mode="changes"` takes creates, updates and
-    deletes, keyed by the record's id, and appends them as changes that `BatchStore.folded` applies.
+    deletes, keyed by the record's id, and appends them as changes that `BatchStore.folded` applies; a create
+    on a live key is an error, or a reject by `on_conflict`.
     """
 
     run_id: str
@@ -191,7 +193,16 @@ def process_batch(
                 )
                 valid = valid.drop("_requests")
             if job.mode == "changes":
-                tables[f"{contract.table}_changes"] = valid
+                outcomes = keyed.change_outcomes(store.live_keys(contract, valid), valid, contract.keys)
+                refused = outcomes.filter(F.col("reject_reason").isNotNull())
+                if job.on_conflict == "fail":
+                    clash = refused.filter(F.col("reject_reason") == "key_exists").head(1)
+                    if clash:
+                        key = {k: clash[0][k] for k in contract.keys}
+                        raise keyed.DuplicateKey(f"{contract.table}: create on a live key: {key}")
+                rejects.append(_rejects(refused, name, "reject_reason"))
+                taken = outcomes.filter(F.col("reject_reason").isNull())
+                tables[f"{contract.table}_changes"] = taken.drop("reject_reason")
                 continue
             fresh, repeated = keyed.insert_append(
                 store.rows(contract) if store.has_rows(contract.table) else None,
@@ -277,6 +288,33 @@ def resolve_batch(
         resolved.unpersist()
 
 
+def resolve_all(
+    enrichment: Enrichment,
+    store: BatchStore,
+    source: str,
+    *,
+    clock: Callable[[], dt.datetime] = lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+    wait: Callable[[float], None] = time.sleep,
+) -> None:
+    """Go on until no task is queued: wait for the next due time, then attempt what is due.
+
+    Every attempt ends a task or uses up a retry, so this comes to an end. `source` names the attempts
+    in the store and is not to be that of another writer. One row per round reaches the driver.
+    """
+    epoch = store.source(source).last_epoch
+    while True:
+        queued = links.queued_tasks(current_tasks(store))
+        due = queued.agg(F.min("due_at").alias("due")).first()["due"]
+        if due is None:
+            return
+        now = clock()
+        if due > now:
+            wait((due - now).total_seconds())
+            continue
+        epoch += 1
+        resolve_batch(enrichment, store, source, epoch, now)
+
+
 def run_batch(
     job: IngestJob, store: BatchStore, source_blocks: DataFrame, now: dt.datetime | str | None = None
 ) -> None:

@@ -223,6 +223,50 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def traced_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One block per event, with up to two transactions of up to two logs and three calls each.
+
+    The second transaction of a block has failed where the event is an error.
+    """
+    key, index = F.col("event_id"), F.col("event_id") % 3
+
+    def log(tx: Column, at: Column) -> Column:
+        return F.struct(
+            at.cast("int").alias("index"),
+            (key * 100 + tx * 10 + at).alias("ordinal"),
+            address_of(F.col("user_id")).alias("address"),
+            F.array(topic_of(F.col("event_type"))).alias("topics"),
+            F.encode("props", "UTF-8").alias("data"),
+        )
+
+    def balance_change(tx: Column, call: Column) -> Column:
+        amount = F.unhex(word_from_number(key * 10 + call))
+        return F.struct(
+            address_of(F.col("user_id") + tx).alias("address"), F.when(call != 1, amount).alias("new_value")
+        )
+
+    def call(tx: Column, at: Column) -> Column:
+        none = F.array_repeat(balance_change(tx, at), 0)
+        return F.struct(F.when(at == 2, none).otherwise(F.array(balance_change(tx, at))).alias("balance_changes"))
+
+    def transaction(tx: Column) -> Column:
+        logs_of = F.when(index > 0, F.transform(F.sequence(F.lit(1), index.cast("int")), lambda at: log(tx, at)))
+        return F.struct(
+            tx.cast("int").alias("index"),
+            F.unhex(number_hash(key * 10 + tx)).alias("hash"),
+            ((F.col("event_type") != "error") | (tx == 0)).alias("succeeded"),
+            (key * 100 + tx * 10 + 9).alias("end_ordinal"),
+            logs_of.alias("logs"),
+            F.transform(F.sequence(F.lit(0), F.lit(2)), lambda at: call(tx, at)).alias("calls"),
+        )
+
+    return table(spark, sf_dir, "events").select(
+        key.alias("block_num"),
+        F.unhex(number_hash(key)).alias("block_hash"),
+        F.transform(F.sequence(F.lit(0), (key % 2).cast("int")), transaction).alias("transactions"),
+    )
+
+
 def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contracts of all users below the middle id, with two event types each."""
     users = table(spark, sf_dir, "events").select("user_id")

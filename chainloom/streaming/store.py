@@ -9,7 +9,7 @@ that was never marked is never seen, whatever is committed after it. One writer
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainloom.contracts import CURSORS, Contract
-from chainloom.operators.keyed import apply_changes
+from chainloom.contracts import CURSORS, Contract, check_schema
+from chainloom.operators.keyed import apply_changes, live_keys
 from chainloom.operators.progress import cursor_upsert
 
 # One row per batch: who wrote it, in which write, and the cursor it reached, if it read blocks.
@@ -39,6 +39,7 @@ CHANGE_COLUMNS = T.StructType(
         T.StructField("_present", T.ArrayType(T.StringType())),
     ]
 )
+BATCH_ORDER = ("batch", "_block_num", "_ordinal", "_pos")
 
 
 @dataclass
@@ -56,6 +57,7 @@ class BatchStore:
         self._last: int | None = None
         self._writes: dict[int, str] = {}
         self._sources: dict[str, Source] = {}
+        self._opened: set[str] = set()
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -114,8 +116,18 @@ class BatchStore:
         """Whether any batch of this table may be committed."""
         return self.last_batch() >= 0 and self._all(table, T.StructType([])) is not None
 
+    def _check(self, table: str, contract: Contract, others: Sequence[str] = ()) -> None:
+        """When a stored table is first opened: it has the columns of its contract, or an error is raised."""
+        if table in self._opened or not self.has_rows(table):
+            return
+        stored = self.spark.read.parquet(self._path(table)).schema
+        own = T.StructType([f for f in stored if f.name not in ("batch", "write", *others)])
+        check_schema(own, contract)
+        self._opened.add(table)
+
     def rows(self, contract: Contract) -> DataFrame:
         """The committed rows of a keyed table."""
+        self._check(contract.table, contract)
         return self.read(contract.table, contract.schema).select(*contract.names)
 
     def progress(self, before: str | None = None) -> DataFrame:
@@ -125,16 +137,36 @@ class BatchStore:
             cursors = cursors.filter(F.col("batch") < self.source(before).first_batch)
         return cursor_upsert(None, cursors)
 
-    def folded(self, contract: Contract) -> DataFrame:
-        """A keyed table kept as a list of changes, with all of them applied."""
+    def _changes(self, contract: Contract) -> tuple[DataFrame | None, DataFrame]:
+        """(the rows of the last version of a table, the changes after it); None without any rows.
+
+        Batch numbers are folders, so changes that a version has taken in are not read."""
+        self._check(f"{contract.table}_changes", contract, CHANGE_COLUMNS.names)
         schema = T.StructType([*CHANGE_COLUMNS.fields, *contract.schema.fields])
         changes = self.read(f"{contract.table}_changes", schema)
-        return apply_changes(
-            self.rows(contract),
-            changes,
-            contract.keys,
-            order=("batch", "_block_num", "_ordinal", "_pos"),
-        )
+        version = self.source(f"version:{contract.table}").last_epoch
+        if version >= 0:
+            rows = self.read(f"{contract.table}_version", contract.schema)
+            base = rows.filter(F.col("batch") == version).select(*contract.names)
+            return base, changes.filter(F.col("batch") > version)
+        return (self.rows(contract) if self.has_rows(contract.table) else None), changes
+
+    def folded(self, contract: Contract) -> DataFrame:
+        """A keyed table kept as a list of changes, with all of them applied."""
+        base, changes = self._changes(contract)
+        table = self.rows(contract) if base is None else base
+        return apply_changes(table, changes, contract.keys, order=BATCH_ORDER)
+
+    def live_keys(self, contract: Contract, rows: DataFrame) -> DataFrame:
+        """The keys of `rows` that a table kept as changes has."""
+        base, changes = self._changes(contract)
+        return live_keys(base, changes, rows, contract.keys, BATCH_ORDER)
+
+    def compact(self, contract: Contract) -> int:
+        """Write the folded table as a version of its own, in a batch; later reads start from it."""
+        batch = self.last_batch() + 1
+        rows = self.folded(contract)
+        return self.commit({f"{contract.table}_version": rows}, None, f"version:{contract.table}", batch)
 
     def write(self, tables: Mapping[str, DataFrame]) -> int:
         """Write the rows of the next batch; not yet visible."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from chainloom.functions import hexes
 from chainloom.functions.events import EVENT_TYPES, parameters
-from chainloom.operators import logs
+from chainloom.operators import balances, logs
 
 
 def word(number):
@@ -223,3 +223,29 @@ def test_posts_are_of_the_contract(spark):
     assert 0 < own.count() < mixed.count()
     assert logs.posts(mixed).count() == own.count()
     assert logs.posts(mixed, address="ff" * 20).count() == 0
+
+
+def test_nested_blocks(spark):
+    """Logs of successful transactions, balance changes of all; nothing where there is nothing."""
+    log = "struct<index: int, ordinal: bigint, address: binary, topics: array<binary>, data: binary>"
+    call = "struct<balance_changes: array<struct<address: binary, new_value: binary>>>"
+    trace = f"struct<index: int, hash: binary, succeeded: boolean, end_ordinal: bigint, logs: array<{log}>, calls: array<{call}>>"
+    b = lambda n: bytearray([n])
+    changed = [([(b(1), b(5)), (b(2), None)],), (None,), ([],), ([(b(1), b(6))],)]
+    blocks = spark.createDataFrame(
+        [
+            (1, b(1), [(0, b(9), True, 7, [(0, 3, b(4), [], b(0)), (1, 4, b(4), None, None)], changed)], "kept", "clash"),
+            (2, b(2), [(0, b(8), False, 8, [(0, 3, b(4), [], b(0))], changed[:1]), (1, b(7), None, 9, None, None)], "kept", "clash"),
+            (3, b(3), [], None, None),
+            (4, b(4), None, None, None),
+        ],
+        f"block_num long, block_hash binary, transactions array<{trace}>, note string, data string",
+    )
+    got = logs.explode_logs(blocks)
+    assert sorted((r["block_num"], r["tx_index"], r["log_index"], r["ordinal"], r["note"]) for r in got.collect()) == [
+        (1, 0, 0, 3, "kept"),
+        (1, 0, 1, 4, "kept"),
+    ]
+    assert dict(got.dtypes)["data"] == "binary"
+    rows = sorted(tuple(r)[:4] for r in balances.explode_balance_changes(blocks).collect())
+    assert rows == [(1, 7, 0, b(1)), (1, 7, 1, b(2)), (1, 7, 2, b(1)), (2, 8, 0, b(1)), (2, 8, 1, b(2))]

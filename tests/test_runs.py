@@ -26,11 +26,13 @@ from chainloom.operators.changes import RejectedRecords
 from chainloom.operators.keyed import DuplicateKey
 from chainloom.plans.ingest import (
     BALANCE_CHANGES,
+    REJECTS,
     Enrichment,
     IngestJob,
     current_balances,
     current_tasks,
     process_batch,
+    resolve_all,
     resolve_batch,
     run_batch,
 )
@@ -224,6 +226,60 @@ def test_changes_mode(spark, tmp_path):
     assert sorted(r["id"] for r in store.folded(POINTS).collect()) == ["1", "2"]
 
 
+def test_creates_on_a_live_key(spark, tmp_path):
+    """Keys of blocks are n = block % 3: in one batch, after a version, and after a delete."""
+    strict = BatchStore(spark, str(tmp_path / "strict"))
+    job = IngestJob("points", to_points, [POINTS], mode="changes")
+    with pytest.raises(DuplicateKey):
+        run_batch(job, strict, blocks_frame(spark, [0, 3]))
+    run_batch(job, strict, blocks_frame(spark, [0, 1]))
+    with pytest.raises(DuplicateKey):
+        run_batch(job, strict, blocks_frame(spark, [3]))
+    assert strict.last_batch() == 0
+
+    store = BatchStore(spark, str(tmp_path / "s"))
+    job = IngestJob("points", to_points, [POINTS], mode="changes", strict=False, on_conflict="reject")
+    run_batch(job, store, blocks_frame(spark, [0, 1, 3]))
+    store.compact(POINTS)
+    run_batch(job, store, blocks_frame(spark, [4]).unionByName(blocks_frame(spark, [6], DELETE)).unionByName(blocks_frame(spark, [9])))
+    rejected = [(r["block_num"], r["reject_reason"]) for r in store.read("rejects", REJECTS).collect()]
+    assert sorted(rejected) == [(3, "key_exists"), (4, "key_exists")]
+    again = BatchStore(spark, str(tmp_path / "s"))
+    assert sorted(tuple(r) for r in again.folded(POINTS).collect()) == [("0", 0), ("1", 1)]
+    run_batch(job, again, blocks_frame(spark, [12, 13], DELETE))
+    again.compact(POINTS)
+    assert BatchStore(spark, str(tmp_path / "s")).folded(POINTS).count() == 0
+
+
+def test_null_key_of_a_change(spark, tmp_path):
+    store = BatchStore(spark, str(tmp_path / "s"))
+    no_id = lambda blocks: to_points(blocks).withColumn("id", F.lit(None).cast("string"))
+    job = IngestJob("points", no_id, [POINTS], mode="changes", strict=False)
+    run_batch(job, store, blocks_frame(spark, [0, 1]))
+    assert store.folded(POINTS).count() == 0 and store.read("rejects", REJECTS).count() == 2
+
+
+def test_stored_table_is_checked(spark, tmp_path):
+    run_batch(JOB, BatchStore(spark, str(tmp_path / "s")), blocks_frame(spark, range(3)))
+    renamed = contract("points", "id text, m integer", "id")
+    with pytest.raises(ContractError):
+        BatchStore(spark, str(tmp_path / "s")).rows(renamed)
+    assert BatchStore(spark, str(tmp_path / "s")).rows(POINTS).count() == 3
+
+
+def test_retries_go_on_by_themselves(spark, tmp_path):
+    """Content that never comes: one retry after a minute, and no more."""
+    noon, waits = dt.datetime(2024, 1, 1, 12), []
+    store = BatchStore(spark, str(tmp_path / "s"))
+    job = IngestJob("linked", with_links, [LINKED], enrichment=enrichment(spark, 0))
+    run_batch(job, store, blocks_frame(spark, range(3)), noon)
+    resolve_all(
+        job.enrichment, store, "retries", clock=lambda: noon + dt.timedelta(seconds=sum(waits)), wait=waits.append
+    )
+    assert waits == [60.0]
+    assert states(store) == {"ar://p0": (6, 0), "ar://p1": (3, 1), "ar://p2": (3, 1)}
+
+
 def test_job_is_checked():
     with pytest.raises(ContractError):
         IngestJob("points", to_points, [])
