@@ -14,11 +14,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of one key that one task may hold.
 GROUP_LIMIT = 2_000_000
-# Rows of a side that may be broadcast.
+# Rows and bytes of a side that may be broadcast.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 # So many hot keys are broadcast. With more, none of them holds more than 1 / HOT_KEYS of the rows.
 HOT_KEYS = 200_000
 
@@ -52,6 +54,24 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def _width(name: str, kind: T.DataType) -> Column:
+    """About the bytes of a value: its own length for texts, its JSON text for nested ones, else a word."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        length = F.octet_length(name)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        length = F.octet_length(F.to_json(F.struct(name)))
+    else:
+        return F.lit(16)
+    return F.coalesce(length, F.lit(0)) + 16
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether `df` has no more than so many rows and bytes; stops one row later."""
+    width = sum((_width(f.name, f.dataType) for f in df.schema), F.lit(0)).cast("bigint")
+    found = df.select(width.alias("w")).limit(rows + 1).agg(F.count("w").alias("n"), F.sum("w").alias("size")).first()
+    return found["n"] <= rows and (found["size"] or 0) <= size
+
+
 def join_group_stats(
     rows: DataFrame,
     stats: DataFrame,
@@ -62,7 +82,7 @@ def join_group_stats(
 ) -> DataFrame:
     """Put the one row per key of `stats` on every row of that key.
 
-    Keys with more than `limit` rows are hot: up to `HOT_KEYS` of them, their part of `stats` is broadcast
+    Keys with more than `limit` rows are hot (with more than `HOT_KEYS` of them, twice the limit counts): their part of `stats` is broadcast
     and their rows stay where they are; the other keys take the ordinary join.
     """
     keys = list(keys)
@@ -76,7 +96,8 @@ def join_group_stats(
         .drop("__n")
     )
     if total // limit > HOT_KEYS and not has_at_most(hot, HOT_KEYS):
-        return rows.join(stats, keys, how)
+        # Too many to broadcast: split the hotter ones, until they fit.
+        return join_group_stats(rows, stats, keys, how=how, limit=2 * limit)
     hot_rows = rows.join(F.broadcast(hot), keys, "left_semi")
     cold_rows = rows.join(F.broadcast(hot), keys, "left_anti")
     hot_stats = stats.join(F.broadcast(hot), keys, "left_semi")
@@ -92,9 +113,9 @@ def join_lookup(
     bound: int = BROADCAST_ROWS,
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Join rows with a table of one row per key: broadcast up to `bound` rows, beyond it a shuffle
+    """Join rows with a table of one row per key: broadcast up to `bound` rows and 128 MB, beyond it a shuffle
     join that keeps the rows of hot keys where they are."""
-    if has_at_most(lookup, bound):
+    if fits_broadcast(lookup, bound):
         return rows.join(F.broadcast(lookup), list(keys), how)
     return join_group_stats(rows, lookup, keys, how=how, limit=limit)
 

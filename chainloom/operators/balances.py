@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainloom.functions.hexes import bytes_to_word, hex_text, word_to_text
-from chainloom.functions.skew import BROADCAST_ROWS, GROUP_LIMIT, has_at_most, join_group_stats
+from chainloom.functions.skew import GROUP_LIMIT, fits_broadcast, join_group_stats
 
 ADDRESS_LABEL = "Address:"
 
@@ -58,7 +58,7 @@ def balance_changes(
     if known is not None:
         # The known addresses are the large side: they are scanned, not shuffled, while a batch is small.
         addresses = first.select("address")
-        if has_at_most(addresses, BROADCAST_ROWS):
+        if fits_broadcast(addresses):
             addresses = F.broadcast(addresses)
         earlier = known.select("address", "first_block").join(addresses, "address", "left_semi")
         first = first.unionByName(earlier).groupBy("address").agg(

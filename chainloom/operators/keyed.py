@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from chainloom.contracts import CREATE, DELETE, UPDATE
 from chainloom.functions.skew import (
-    BROADCAST_ROWS,
     GROUP_LIMIT,
-    has_at_most,
+    fits_broadcast,
     join_group_stats,
     join_lookup,
     previous_value,
@@ -61,7 +60,7 @@ def existing_keys(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
     columns are scanned once and not shuffled; a larger batch takes the shuffle join.
     """
     batch = rows.select(*keys).distinct()
-    if has_at_most(batch, BROADCAST_ROWS):
+    if fits_broadcast(batch):
         batch = F.broadcast(batch)
     return target.select(*keys).join(batch, list(keys), "left_semi")
 
@@ -140,7 +139,7 @@ def _touched(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> tuple[
     """(rows of the table with one of the keys, the others). While the keys can be broadcast the table is
     scanned and only its touched rows are shuffled; else (the whole table, None)."""
     some = keyed.select(*keys).distinct()
-    if not has_at_most(some, BROADCAST_ROWS):
+    if not fits_broadcast(some):
         return target, None
     some = F.broadcast(some)
     return target.join(some, list(keys), "left_semi"), target.join(some, list(keys), "left_anti")
@@ -177,7 +176,7 @@ def update_by_key(
 def delete_by_key(target: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table without the given keys."""
     gone = deletes.select(*keys).distinct()
-    if has_at_most(gone, BROADCAST_ROWS):
+    if fits_broadcast(gone):
         gone = F.broadcast(gone)
     return target.join(gone, list(keys), "left_anti")
 
@@ -280,7 +279,7 @@ def live_keys(
     `changes` are read; no row is folded."""
     marks = changes.filter(F.col("_operation").isin(CREATE, DELETE)).select(*keys, "_operation", *order)
     own = rows.select(*keys).distinct()
-    if has_at_most(own, BROADCAST_ROWS):
+    if fits_broadcast(own):
         own = F.broadcast(own)
     last = marks.join(own, list(keys), "left_semi").groupBy(*keys).agg(
         F.max_by("_operation", F.struct(*order)).alias("__last")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from chainloom.contracts import Contract
 from chainloom.functions.posts_json import RECORDS, parse_post
+from chainloom.functions.skew import fits_broadcast
 from chainloom.functions.typed import narrow_uint32, narrow_uint64
 from chainloom.operators.changes import conform_to_contract, fields_to_columns
 from chainloom.operators.keyed import existing_keys
@@ -32,6 +33,9 @@ FINISHED = 6
 MAX_CONTENT_SIZE = 1024 * 1024
 ARCHIVE_GATEWAY = "https://arweave.net/"
 
+# Downloads at once, where the caller names no other number.
+MAX_CONCURRENT = 10
+
 TASK_KEY = ("uri", "manifest")
 TASK_COLUMNS = (
     "uri",
@@ -147,20 +151,23 @@ def attach_content(
     *,
     fetcher: Callable | None = None,
     ipfs_gateways: Sequence[str] = (),
+    max_concurrent: int = MAX_CONCURRENT,
 ) -> DataFrame:
     """Tasks with their content, NULL after a failed attempt.
 
     Either from a content table, by uri, or from a user's fetch function: it takes and gives batches
     of pandas frames (uri, address) → (uri, content) as `mapInPandas` does, and runs on executors, at
-    most one batch per partition at a time. Content that is given twice for a uri counts once, the
+    most one batch per partition at a time, in `max_concurrent` partitions. Content that is given twice for a uri counts once, the
     smaller one; content that no task asks for is left out before it is shuffled any further.
     """
     if fetcher is not None:
         addresses = rewrite_links(tasks, ipfs_gateways).select("uri", "address").distinct()
-        content = addresses.filter(F.col("address").isNotNull()).mapInPandas(
-            fetcher, "uri string, content binary"
-        )
-    asked = content.select("uri", "content").join(tasks.select("uri").distinct(), "uri", "left_semi")
+        spread = addresses.filter(F.col("address").isNotNull()).repartition(max_concurrent)
+        content = spread.mapInPandas(fetcher, "uri string, content binary")
+    uris = tasks.select("uri").distinct()
+    if fits_broadcast(uris):
+        uris = F.broadcast(uris)
+    asked = content.select("uri", "content").join(uris, "uri", "left_semi")
     once = asked.groupBy("uri").agg(F.min("content").alias("content"))
     return tasks.join(once, "uri", "left")
 
@@ -267,6 +274,7 @@ def attempt_tasks(
     *,
     fetcher: Callable | None = None,
     ipfs_gateways: Sequence[str] = (),
+    max_concurrent: int = MAX_CONCURRENT,
     limit: int = MAX_CONTENT_SIZE,
 ) -> DataFrame:
     """`resolve_tasks` with the content attached. Only tasks that can be resolved are looked up or
@@ -276,7 +284,11 @@ def attempt_tasks(
     )
     marked = tasks.withColumn("__doomed", ended.isNotNull())
     live = attach_content(
-        marked.filter(~F.col("__doomed")), content, fetcher=fetcher, ipfs_gateways=ipfs_gateways
+        marked.filter(~F.col("__doomed")),
+        content,
+        fetcher=fetcher,
+        ipfs_gateways=ipfs_gateways,
+        max_concurrent=max_concurrent,
     )
     doomed = marked.filter("__doomed").withColumn("content", F.lit(None).cast(live.schema["content"].dataType))
     return resolve_tasks(

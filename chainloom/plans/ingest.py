@@ -72,6 +72,7 @@ class Enrichment:
     fetcher: Callable | None = None
     ipfs_gateways: Sequence[str] = ()
     size_limit: int = links.MAX_CONTENT_SIZE
+    max_concurrent: int = links.MAX_CONCURRENT
 
 
 @dataclass(frozen=True)
@@ -267,6 +268,7 @@ def resolve_batch(
         now,
         fetcher=enrichment.fetcher,
         ipfs_gateways=enrichment.ipfs_gateways,
+        max_concurrent=enrichment.max_concurrent,
         limit=enrichment.size_limit,
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:

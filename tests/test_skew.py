@@ -75,3 +75,11 @@ def test_join_lookup_beyond_its_bound(rows, how):
 
 def test_checkpoint_dir_is_the_configured_one(spark):
     assert skew.ensure_checkpoint_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_broadcast_is_bound_by_bytes(spark):
+    frame = spark.createDataFrame([("x" * 50, ["y" * 40]), (None, None)], "a string, b array<string>")
+    assert skew.fits_broadcast(frame, 2, 1000)
+    assert not skew.fits_broadcast(frame, 1, 1000)
+    assert not skew.fits_broadcast(frame, 2, 100)
+    assert skew.fits_broadcast(frame.limit(0), 0, 0)
