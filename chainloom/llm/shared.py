@@ -38,6 +38,14 @@ def kept(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of kept frames that no later step reads."""
+    for frame in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+            path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def n_words(text) -> F.Column:
     """Number of words of a text; none in a null."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACES)

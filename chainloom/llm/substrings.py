@@ -4,8 +4,10 @@ An edge is a window of 13 words, between the nodes of its first and its last 12.
 windows around the same rarest-looking 7 words of a neighbourhood (their minimiser, the smallest hash of 7
 words in the window) share a bundle, so a first grouping of bundles, with a row for about every fourth word,
 leaves out what no other document can have. The edges of the bundles that are left are grouped one by one; an
-edge's owner is the smallest document that has it. Consecutive repeated edges of a document compact to paths,
-the spans to remove.
+edge's source is the smallest document that has it, and its first place there. The words before and after an
+edge tell whether the nodes at its ends branch: edges that follow each other in the source across a node
+without branches are one path. Joined with the paths, the edges of later documents become spans, each with the
+coordinates of its source, and a span counts only if its words have the digest of the source's words.
 """
 
 from __future__ import annotations
@@ -16,23 +18,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import kept, release
+from chainloom.llm.shared import discard, fitting, kept, release
 from chainloom.llm.words import Words, slices
 
 
 @dataclass(frozen=True)
 class Graph:
-    """width: words of an edge. seed: words of a minimiser."""
+    """width: words of an edge. seed: words of a minimiser. Up to broadcast_rows digests (36 bytes each) go to
+    every executor."""
 
     width: int = 13
     seed: int = 7
+    broadcast_rows: int = 200_000
 
 
-def _edges(texts: pa.Array, graph: Graph) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, hash of each edge, hash of its minimiser, whether an edge starts there)."""
+def _edges(texts: pa.Array, graph: Graph) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, hash of each word, of the edge from it, of the edge's minimiser, whether an edge starts there)."""
     words = Words(texts)
     hashes = words.hashes()
     edges, fits = words.windows(hashes, graph.width)
@@ -42,30 +46,59 @@ def _edges(texts: pa.Array, graph: Graph) -> tuple[Words, np.ndarray, np.ndarray
         seeds[: len(small) - spread + 1] = small[: len(small) - spread + 1]
         for j in range(1, spread):
             np.minimum(seeds[: len(small) - spread + 1], small[j : len(small) - spread + 1 + j], out=seeds[: len(small) - spread + 1])
-    return words, edges, seeds, fits
+    return words, hashes, edges, seeds, fits
 
 
-def _pairs(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (value, owner), in the order of owners."""
+def _first(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Whether a value is the first of its kind for its owner."""
     order = np.lexsort((values, owner))
     v, o = values[order], owner[order]
     new = np.ones(len(v), bool)
     new[1:] = (v[1:] != v[:-1]) | (o[1:] != o[:-1])
-    return v[new], o[new]
+    out = np.zeros(len(v), bool)
+    out[order[new]] = True
+    return out
+
+
+def _bundles(graph: Graph):
+    """(value, id): every minimiser of a text once."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in slices(batch.column(1)):
+                words, _, _, seeds, fits = _edges(texts, graph)
+                values, owner = seeds[fits], words.owner()[fits]
+                once = _first(values, owner)
+                ids = batch.column(0).slice(at, len(texts)).take(pa.array(owner[once]))
+                yield pa.RecordBatch.from_arrays([pa.array(values[once].view(np.int64)), ids], names=["value", "id"])
+
+    return task
 
 
-def _rows(pick: Callable, graph: Graph):
-    """(value, id) of the values that pick finds in every text, once for a text."""
+def _occurrences(graph: Graph):
+    """(value, id, pos, first, before, after) of texts (id, text, held): every edge whose minimiser is in the
+    text's list, its place, whether it is the text's first of its kind, and 32 bits of the words around it
+    (0: the text's edge)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(batch.column(1)):
                 part = batch.slice(at, len(texts))
-                words, edges, seeds, fits = _edges(texts, graph)
-                chosen, values = pick(part, words, edges, seeds, fits)
-                value, owner = _pairs(values[chosen], words.owner()[chosen])
-                ids = part.column(0).take(pa.array(owner))
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), ids], names=["value", "id"])
+                words, hashes, edges, seeds, fits = _edges(texts, graph)
+                chosen = np.flatnonzero(_held(part, words, seeds, fits))
+                owner, label = words.owner()[chosen], (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                begin, end, follows = words.first[:-1][owner], words.first[1:][owner], chosen + graph.width
+                before = np.where(chosen > begin, label[chosen - 1], 0)
+                after = np.where(follows < end, label[np.minimum(follows, len(label) - 1)], 0)
+                columns = [
+                    pa.array(edges[chosen].view(np.int64)),
+                    part.column(0).take(pa.array(owner)),
+                    pa.array((chosen - begin).astype(np.int32)),
+                    pa.array(_first(edges[chosen], owner)),
+                    pa.array(before.astype(np.int32)),
+                    pa.array(after.astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["value", "id", "pos", "first", "before", "after"])
 
     return task
 
@@ -80,70 +113,141 @@ def _held(part: pa.RecordBatch, words: Words, values: np.ndarray, fits: np.ndarr
     return out & fits
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """(value, owner) of values that two or more documents have."""
-    both = rows.groupBy("value").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
-    return both.where("owner < last").select("value", "owner")
+def occurrences(texts: DataFrame, graph: Graph) -> DataFrame:
+    """Every place of the edges whose bundle two documents or more have."""
+    spark = texts.sparkSession
+    bundles = texts.mapInArrow(_bundles(graph), "value long, id long")
+    both = bundles.groupBy("value").agg(F.min("id").alias("least"), F.max("id").alias("last"))
+    common = kept(both.where("least < last").select("value"), "bundles")
+    release(spark)
+    lists = kept(bundles.join(common, "value").groupBy("id").agg(F.collect_list("value").alias("held")), "bundle-lists")
+    release(spark)
+    rows = texts.join(lists, "id").select("id", "text", "held").mapInArrow(
+        _occurrences(graph), "value long, id long, pos int, first boolean, before int, after int"
+    )
+    edges = kept(rows, "edges")
+    discard(common, lists)
+    release(spark)
+    return edges
 
 
-def repeated_edges(texts: DataFrame, graph: Graph) -> DataFrame:
-    """(id, held) of texts (id, text): the edges of a document that a smaller one has too."""
-    spark = texts.sparkSession
-    named = texts.where("id is not null and text is not null")
+def paths(edges: DataFrame) -> DataFrame:
+    """(value, owner, at, path) of the edges that two documents or more have: the smallest one, the edge's first
+    place there, and where its path starts there.
 
-    def seeds_of(part, words, edges, seeds, fits):
-        return fits, seeds
+    Two edges that follow each other in their source are on one path unless the node between them branches:
+    unless some place of the first has another word after it, or some place of the second another one before it.
+    """
+    at = F.min_by("pos", F.when(F.col("first"), F.col("id")))
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("before", "after") for f in (F.min, F.max)]
+    every = edges.groupBy("value").agg(F.min("id").alias("owner"), F.max("id").alias("last"), at.alias("at"), *ends)
+    shared = every.where("owner < last")
+    along = Window.partitionBy("owner").orderBy("at", "value")
+    follows = (F.lag("at").over(along) == F.col("at") - 1) & F.lag(F.expr("min_after = max_after")).over(along)
+    begins = ~F.coalesce(follows & F.expr("min_before = max_before"), F.lit(False))
+    path = F.max(F.when(F.col("begins"), F.col("at"))).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    return shared.withColumn("begins", begins).select("value", "owner", "at", path.alias("path"))
+
+
+def spans(edges: DataFrame, routes: DataFrame) -> DataFrame:
+    """(id, start, n, owner, owner_start): n edges on end that a later document shares with a path."""
+    places = edges.select("value", "id", "pos").join(routes, "value").where("id > owner")
+    places = places.select("id", "owner", "path", (F.col("pos") - F.col("at")).alias("shift"), "at")
+    key = ["id", "owner", "path", "shift"]
+    found = kept(places.groupBy(*key).agg(F.count("*").cast("int").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")), "runs")
+    gaps = found.where("high - low + 1 <> n")
+    out = found.where("high - low + 1 = n").selectExpr("id", "shift + low as start", "n", "owner", "low as owner_start")
+    if gaps.head(1):  # two words with equal labels hid a branch: these edges go one by one
+        alone = places.join(gaps.select(*key), key, "left_semi")
+        out = out.union(alone.selectExpr("id", "shift + at as start", "1 as n", "owner", "at as owner_start"))
+    return kept(out, "spans")
+
+
+def _digest(words: Words, data: bytes, first: int, n: int) -> bytes:
+    """128 bits of the digest of n words."""
+    at = zip(words.start[first : first + n].tolist(), words.end[first : first + n].tolist())
+    return hashlib.sha256(b" ".join([data[a:b] for a, b in at])).digest()[:16]
+
+
+def _source_digests(graph: Graph):
+    """(owner, owner_start, n, digest) of texts (id, text, wanted): the words of every span that others share."""
 
-    def edges_of(part, words, edges, seeds, fits):
-        return _held(part, words, seeds, fits), edges
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in slices(batch.column(1)):
+                part = batch.slice(at, len(texts))
+                words, rows = Words(texts), []
+                data = words.data.tobytes()
+                for doc, wanted, first, last in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), words.first[:-1].tolist(), words.first[1:].tolist()):
+                    for span in wanted:
+                        begin, n = first + span["owner_start"], span["n"] + graph.width - 1
+                        if begin + n <= last:  # else it is a place in another text with the same id
+                            rows.append((doc, span["owner_start"], span["n"], _digest(words, data, begin, n)))
+                columns = list(zip(*rows)) or [[], [], [], []]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["owner", "owner_start", "n", "digest"])
 
-    bundles = named.mapInArrow(_rows(seeds_of, graph), "value long, id long")
-    common = kept(_shared(bundles).select("value"), "bundles")
-    release(spark)
-    lists = kept(bundles.join(common, "value").groupBy("id").agg(F.collect_list("value").alias("held")), "bundle-lists")
-    release(spark)
-    edges = kept(named.join(lists, "id").select("id", "text", "held").mapInArrow(_rows(edges_of, graph), "value long, id long"), "edges")
+    return task
+
+
+def verified_spans(texts: DataFrame, graph: Graph = Graph()) -> DataFrame:
+    """(id, start, n, owner, owner_start, digest) of texts (id, text): spans of n edges with the coordinates of
+    their source and the digest of the source's words. What does not have that digest is not the same text."""
+    spark = texts.sparkSession
+    named = texts.where("id is not null and text is not null")
+    edges = occurrences(named, graph)
+    routes = kept(paths(edges), "paths")
     release(spark)
-    owners = kept(_shared(edges), "owners")
+    found = spans(edges, routes)
+    discard(edges, routes)
     release(spark)
-    later = edges.join(owners, "value").where("id > owner")
-    out = kept(later.groupBy("id").agg(F.collect_list("value").alias("held")), "repeats")
+    key = ["owner", "owner_start", "n"]
+    wanted = found.select(*key).distinct().groupBy("owner").agg(F.collect_list(F.struct("owner_start", "n")).alias("wanted"))
+    sources = named.join(wanted, F.col("id") == F.col("owner")).select("id", "text", "wanted")
+    digests = kept(sources.mapInArrow(_source_digests(graph), "owner long, owner_start int, n int, digest binary").distinct(), "digests")
     release(spark)
+    return found.join(fitting(digests, graph.broadcast_rows), key).select("id", "start", "n", "owner", "owner_start", "digest")
+
+
+def _checked(words: Words, data: bytes, first: int, last: int, held: list | None, graph: Graph) -> list[tuple[int, int]]:
+    """[(from, upto)] of a text's words that spans with the right digest cover, in order and apart."""
+    out: list[tuple[int, int]] = []
+    for span in sorted(held or (), key=lambda x: x["start"]):
+        a, n = span["start"], span["n"] + graph.width - 1
+        if first + a + n > last or _digest(words, data, first + a, n) != span["digest"]:
+            continue
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], a + n))
+        else:
+            out.append((a, a + n))
     return out
 
 
-def _spans(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
-    """[(from, upto)] of the words that the edges starting there cover."""
-    if not len(starts):
-        return []
-    cuts = np.flatnonzero(np.diff(starts) > width) + 1
-    return [(int(p[0]), int(p[-1]) + width) for p in np.split(starts, cuts)]
-
-
 def _cut(graph: Graph, give: Callable):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(batch.column(1)):
                 part = batch.slice(at, len(texts))
-                words, edges, _, fits = _edges(texts, graph)
-                starts = _held(part, words, edges, fits)
-                found = [_spans(np.flatnonzero(starts[a:b]), graph.width) for a, b in zip(words.first[:-1], words.first[1:])]
-                yield give(part, words, found)
+                words = Words(texts)
+                data, bounds = words.data.tobytes(), zip(words.first[:-1].tolist(), words.first[1:].tolist())
+                found = [_checked(words, data, a, b, held, graph) for (a, b), held in zip(bounds, part.column(2).to_pylist())]
+                yield give(part, words, data, found)
 
     return task
 
 
 def _with_repeats(docs: DataFrame, graph: Graph, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return texts.join(repeated_edges(texts, graph), "id", "left").select("id", "text", "held")
+    held = verified_spans(texts, graph).groupBy("id").agg(F.collect_list(F.struct("start", "n", "digest")).alias("held"))
+    return texts.join(kept(held, "repeats"), "id", "left").select("id", "text", "held")
 
 
 def repeated_spans(docs: DataFrame, graph: Graph = Graph(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, start, stop, words): every span of words that would be removed, with its source coordinates."""
+    """(doc_id, start, stop, words): every span of words that would be removed."""
 
-    def give(part, words, found):
+    def give(part, words, data, found):
         rows = [
-            (doc, a, b, b" ".join(bytes(words.data[words.start[k] : words.end[k]]) for k in range(first + a, first + b)).decode())
+            (doc, a, b, b" ".join(data[words.start[k] : words.end[k]] for k in range(first + a, first + b)).decode())
             for doc, first, spans in zip(part.column(0).to_pylist(), words.first.tolist(), found)
             for a, b in spans
         ]
@@ -163,16 +267,14 @@ def remove_repeats(docs: DataFrame, graph: Graph = Graph(), id_col: str = "doc_i
     only they share stays. An empty table gives no rows; other columns are not read.
     """
 
-    def give(part, words, found):
+    def give(part, words, data, found):
         gone, digests, texts = [], [], []
         for i, (first, last) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
             stay = np.ones(last - first, bool)
             for a, b in found[i]:
                 stay[a:b] = False
             starts, ends = words.start[first:last][stay].tolist(), words.end[first:last][stay].tolist()
-            data = words.data[words.bounds[i] : words.bounds[i + 1]].tobytes()
-            base = int(words.bounds[i])
-            left = b" ".join([data[s - base : e - base] for s, e in zip(starts, ends)])
+            left = b" ".join([data[s:e] for s, e in zip(starts, ends)])
             gone.append(last - first - len(starts))
             digests.append(hashlib.sha256(left).hexdigest())
             texts.append(left.decode() if found[i] else part.column(1)[i].as_py())
