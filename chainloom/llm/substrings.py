@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,12 @@ from chainloom.llm.words import Words, slices
 @dataclass(frozen=True)
 class Graph:
     """width: words of an edge. seed: words of a minimiser. Up to broadcast_rows digests (36 bytes each) go to
-    every executor."""
+    every executor. passes: the edges are grouped and joined in so many parts by their hash, one after the
+    other, so that the shuffle files of one part at a time are on disk."""
 
     width: int = 13
     seed: int = 7
+    passes: int = 4
     broadcast_rows: int = 200_000
 
 
@@ -131,34 +134,57 @@ def occurrences(texts: DataFrame, graph: Graph) -> DataFrame:
     return edges
 
 
-def paths(edges: DataFrame) -> DataFrame:
+def _parts(rows: DataFrame, graph: Graph) -> Iterator[DataFrame]:
+    for k in range(graph.passes):
+        yield rows.where(F.pmod(F.col("value"), F.lit(graph.passes)) == k)
+
+
+def paths(edges: DataFrame, graph: Graph = Graph()) -> DataFrame:
     """(value, owner, at, path) of the edges that two documents or more have: the smallest one, the edge's first
     place there, and where its path starts there.
 
     Two edges that follow each other in their source are on one path unless the node between them branches:
     unless some place of the first has another word after it, or some place of the second another one before it.
     """
-    at = F.min_by("pos", F.when(F.col("first"), F.col("id")))
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("before", "after") for f in (F.min, F.max)]
-    every = edges.groupBy("value").agg(F.min("id").alias("owner"), F.max("id").alias("last"), at.alias("at"), *ends)
-    shared = every.where("owner < last")
+    at = F.min_by("pos", F.when(F.col("first"), F.col("id"))).alias("at")
+    one_in, one_out = F.min("before") == F.max("before"), F.min("after") == F.max("after")
+    found = []
+    for part in _parts(edges, graph):
+        every = part.groupBy("value").agg(F.min("id").alias("owner"), F.max("id").alias("last"), at, one_in.alias("one_in"), one_out.alias("one_out"))
+        found.append(kept(every.where("owner < last").drop("last"), "shared"))
+        release(edges.sparkSession)
     along = Window.partitionBy("owner").orderBy("at", "value")
-    follows = (F.lag("at").over(along) == F.col("at") - 1) & F.lag(F.expr("min_after = max_after")).over(along)
-    begins = ~F.coalesce(follows & F.expr("min_before = max_before"), F.lit(False))
+    follows = (F.lag("at").over(along) == F.col("at") - 1) & F.lag("one_out").over(along) & F.col("one_in")
+    begins = ~F.coalesce(follows, F.lit(False))
     path = F.max(F.when(F.col("begins"), F.col("at"))).over(along.rowsBetween(Window.unboundedPreceding, 0))
-    return shared.withColumn("begins", begins).select("value", "owner", "at", path.alias("path"))
+    rows = reduce(DataFrame.union, found).withColumn("begins", begins).select("value", "owner", "at", path.alias("path"))
+    out = kept(rows, "paths")
+    discard(*found)
+    release(edges.sparkSession)
+    return out
 
 
-def spans(edges: DataFrame, routes: DataFrame) -> DataFrame:
+def spans(edges: DataFrame, routes: DataFrame, graph: Graph = Graph()) -> DataFrame:
     """(id, start, n, owner, owner_start): n edges on end that a later document shares with a path."""
-    places = edges.select("value", "id", "pos").join(routes, "value").where("id > owner")
-    places = places.select("id", "owner", "path", (F.col("pos") - F.col("at")).alias("shift"), "at")
     key = ["id", "owner", "path", "shift"]
-    found = kept(places.groupBy(*key).agg(F.count("*").cast("int").alias("n"), F.min("at").alias("low"), F.max("at").alias("high")), "runs")
+
+    def places(edges: DataFrame, routes: DataFrame) -> DataFrame:
+        both = edges.select("value", "id", "pos").join(routes, "value").where("id > owner")
+        return both.select("id", "owner", "path", (F.col("pos") - F.col("at")).alias("shift"), "at")
+
+    def runs(rows: DataFrame, n, low: str, high: str) -> DataFrame:
+        return rows.groupBy(*key).agg(n.cast("int").alias("n"), F.min(low).alias("low"), F.max(high).alias("high"))
+
+    met = []
+    for part, route in zip(_parts(edges, graph), _parts(routes, graph)):
+        met.append(kept(runs(places(part, route), F.count("*"), "at", "at"), "met"))
+        release(edges.sparkSession)
+    found = kept(runs(reduce(DataFrame.union, met), F.sum("n"), "low", "high"), "runs")
+    discard(*met)
     gaps = found.where("high - low + 1 <> n")
     out = found.where("high - low + 1 = n").selectExpr("id", "shift + low as start", "n", "owner", "low as owner_start")
     if gaps.head(1):  # two words with equal labels hid a branch: these edges go one by one
-        alone = places.join(gaps.select(*key), key, "left_semi")
+        alone = places(edges, routes).join(gaps.select(*key), key, "left_semi")
         out = out.union(alone.selectExpr("id", "shift + at as start", "1 as n", "owner", "at as owner_start"))
     return kept(out, "spans")
 
@@ -196,9 +222,8 @@ def verified_spans(texts: DataFrame, graph: Graph = Graph()) -> DataFrame:
     spark = texts.sparkSession
     named = texts.where("id is not null and text is not null")
     edges = occurrences(named, graph)
-    routes = kept(paths(edges), "paths")
-    release(spark)
-    found = spans(edges, routes)
+    routes = paths(edges, graph)
+    found = spans(edges, routes, graph)
     discard(edges, routes)
     release(spark)
     key = ["owner", "owner_start", "n"]

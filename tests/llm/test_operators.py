@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from itertools import pairwise
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +219,30 @@ def test_substrings(docs, nothing):
     assert substrings.remove_repeats(nothing).count() == 0
 
 
+def test_paths_and_sources(spark):
+    rng = random.Random(3)
+    passage, other = [f"p{k}" for k in range(40)], [f"q{k}" for k in range(30)]
+    own = [[f"w{rng.random()}" for _ in range(20)] for _ in range(6)]
+    rows = [(k + 1, " ".join(own[k] + passage + own[k][::-1])) for k in range(3)]
+    # The passage goes on in two ways after its 20th word: the edges up to there are one path, those behind it others.
+    rows += [(k + 1, " ".join(own[k] + passage[:20] + other)) for k in range(3, 6)]
+    frame = spark.createDataFrame(rows, "id long, text string")
+    graph = substrings.Graph()
+
+    def spans():
+        return {(r["id"], r["start"], r["n"], r["owner"], r["owner_start"]) for r in substrings.verified_spans(frame, graph).collect()}
+
+    want = {(i, 20, 8, 1, 20) for i in (2, 3, 4, 5, 6)} | {(i, 28, 20, 1, 28) for i in (2, 3)} | {(i, 28, 30, 4, 28) for i in (5, 6)}
+    assert spans() == want
+    edges = substrings.occurrences(frame, graph)
+    assert substrings.paths(edges).select("owner", "path").distinct().count() == 3
+    # A span whose words are not those of its source is refused.
+    words = substrings.Words(pa.array([rows[1][1]]))
+    good = substrings._digest(words, rows[1][1].encode(), 20, 20)
+    held = [{"start": 20, "n": 8, "digest": good}, {"start": 21, "n": 8, "digest": good}, {"start": 70, "n": 8, "digest": good}]
+    assert substrings._checked(words, rows[1][1].encode(), 0, len(words.start), held, graph) == [(20, 40)]
+
+
 def test_sharding(spark, docs, nothing, tmp_path):
     copies = spark.createDataFrame([(7, "copy " * 30)] * 9 + [(8, "big " * 300), (None, None), (None, "n")], "doc_id long, text string")
     frame = docs.select("doc_id", "text").union(copies)
