@@ -92,6 +92,39 @@ def test_quality_bands(spark):
     assert not found[2]["kept"] and found[3]["kept"]
 
 
+def test_quality_bands_of_every_length(spark):
+    rng = random.Random(2)
+    common = ["".join(rng.choices("eeeeetttaaoinsrhldcump", k=rng.randint(2, 9))) for _ in range(3_000)]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    printable = "".join(map(chr, range(33, 127)))
+
+    def text(kind, n):
+        phrase = " ".join(rng.choices(common, k=12)) + " "
+        words = {
+            "prose": lambda: rng.choices(common, k=n // 3),
+            "base64": lambda: ("".join(rng.choices(letters, k=8)) for _ in range(n // 8)),
+            "printable": lambda: ("".join(rng.choices(printable, k=rng.randint(3, 9))) for _ in range(n // 4)),
+            "loop": lambda: [phrase * (n // len(phrase) + 1)],
+        }[kind]()
+        return " ".join(words)[:n]
+
+    # The two longest classes have too few texts for limits of their own; chunks have enough of them.
+    sizes = {600: 60, 1_500: 60, 8_000: 60, 60_000: 3, 500_000: 1}
+    rows = [(kind, n, text(kind, n)) for n, times in sizes.items() for kind in ["prose"] * times + ["base64", "printable", "loop"]]
+    frame = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    rules = Rules(max_repeat_percent=100, min_words=40)
+    kept = {r["doc_id"] for r in score_quality(frame, rules).where("kept").collect()}
+    assert {rows[i][:2] for i in kept} == {("prose", n) for n in sizes} and len(kept) == sum(sizes.values())
+    assert {r["doc_id"] for r in keep_good(frame, rules).collect()} == kept
+    # Most of a class being copies does not draw its limits in.
+    copies = frame.where("doc_id < 60").union(spark.createDataFrame([(1_000 + k, rows[0][2]) for k in range(500)], "doc_id long, text string"))
+    assert score_quality(copies, rules).where("not kept").count() == 0
+    # Base32 text is inside the outer bands; only the limits that come from the documents reject it.
+    base32 = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz234567", k=8)) for _ in range(900))[:8_000]
+    one = spark.createDataFrame([(5_000, base32)], "doc_id long, text string")
+    assert score_quality(one, rules).first()["kept"] and not score_quality(frame.union(one), rules).where("doc_id = 5000").first()["kept"]
+
+
 def sets_of(text):
     words = WORD.findall((text or "").translate(A_TO_Z))
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
