@@ -1,6 +1,6 @@
 """Licence scans: digests of canonical texts, joined with the digests of known licences.
 
-Columns and SQL functions only. A whole text is canonicalised (letter case, punctuation, copyright lines and
+Columns and SQL functions only. A whole text is canonicalised (letter case, punctuation, copyright notices and
 spellings that count as equal) and hashed; equal digests are the same licence. The same is done for every line
 that names a licence, which finds the short notices on top of files.
 """
@@ -16,6 +16,28 @@ BROADCAST_LICENSES = 100_000
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_LINE = r"(?m)^[\x20\t#*/;%-]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# A line that is a copyright notice: the word with (c), a year or a place for one, or with nothing but a holder up to
+# the line's end; (c) with a year or a holder after "by"; the reservation alone. Lines of running text that happen to
+# start with such a word stay, so that a digest does not depend on where lines are broken. The SQL keeps
+# COPYRIGHT_LINE; the two differ only on such lines.
+YEAR = r"[\[<{(]?(?:(?:19|20)[0-9]{2}|years?|y{2,4})\b"
+SIGN = r"(?:\(c\)|©|&copy;)"
+NOT_HOLDERS = (
+    "and act acts as assignment at by claim claims clause for from grant holder holders if in infringement interest interests is "
+    "law laws licence licences license licenses line lines message messages notice notices of on or over owner owners ownership "
+    "page permission permissions protection right rights statement statements that term terms the to treaty under which with"
+)
+NOTICE_LINE = (
+    r"(?m)^[\x20\t#*/;%-]*(?:"
+    rf"copyrights?\b[\x20\t:,]*(?:{SIGN}|{YEAR})[^\n]*"
+    rf"|copyrights?\b[\x20\t:]+(?:by[\x20\t]+(?:the[\x20\t]+)?)?(?!(?:{'|'.join(NOT_HOLDERS.split())})\b)[^\s]+(?:[\x20\t]+[^\s]+){{0,4}}"
+    r"(?:[\x20\t.,]+all[\x20\t]+rights[\x20\t]+reserved)?"
+    rf"|{SIGN}[\x20\t]*(?:copyright\b[\x20\t:,]*)?{YEAR}[^\n]*"
+    rf"|{SIGN}[\x20\t]*(?:copyright|by)\b[^\n]*"
+    r"|©[^\n]*"
+    r"|all[\x20\t]+rights[\x20\t]+reserved"
+    r")[\x20\t\r.,;*/#-]*$"
+)
 MARKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LICENSE_WORDS = r"licen[cs]|gpl|spdx"
 
@@ -105,8 +127,8 @@ KNOWN = [
 
 
 def canonical(text: Column) -> Column:
-    """Lower case (A-Z), no copyright lines, one spelling, and words with one space between them."""
-    out = F.regexp_replace(F.translate(text, UPPER, LOWER), COPYRIGHT_LINE, "")
+    """Lower case (A-Z), no copyright notices, one spelling, and words with one space between them."""
+    out = F.regexp_replace(F.translate(text, UPPER, LOWER), NOTICE_LINE, "")
     for pattern, equal in EQUIVALENT:
         out = F.regexp_replace(out, F.lit(pattern), F.lit(equal)) if pattern.startswith("[") else F.replace(out, F.lit(pattern), F.lit(equal))
     return F.trim(F.regexp_replace(out, MARKS, " "))

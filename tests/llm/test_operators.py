@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 from itertools import pairwise
 
@@ -372,3 +373,23 @@ def test_licenses(spark, docs, nothing):
     assert rows_of(scan_licenses(docs, known), "doc_id") == rows_of(docs, "doc_id")
     assert scan_licenses(nothing, known).count() == 0
     assert {n for n, _ in KNOWN} >= {r["license"] for r in known.collect()}
+
+
+def test_licenses_in_every_wrapping(spark):
+    rows, names = [], []
+    heads = ["", "Copyright (c) 2020 Somebody\n", "Copyright 2019-2021 The Authors. All rights reserved.\n", "# Copyright [yyyy] [name of copyright owner]\n", "Copyright Somebody Else Inc.\nAll rights reserved.\n", "Copyright by the Very Long Name Inc. All rights reserved.\n", "(c) 2020 Somebody\n", "© Somebody\n"]
+    for name, text in KNOWN:
+        if len(text) > 200:
+            one = " ".join(text.split())
+            # The line breaks of the usual file, of every narrower one, and one before every "copyright".
+            wraps = [one, text, re.sub("(?i) copyright", lambda m: "\n" + m[0].strip(), one)]
+            wraps += ["\n".join(textwrap.wrap(one, width)) for width in (*range(20, 120), 10_000)]
+            names += [name] * len(wraps)
+            rows += [heads[k % len(heads)] + w for k, w in enumerate(wraps)]
+    usual = MIT.replace("\n", " ").replace("AUTHORS OR COPYRIGHT", "\nAUTHORS OR COPYRIGHT")
+    frame = spark.createDataFrame(list(enumerate([*rows, *(h + usual for h in heads)])), "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in scan_licenses(frame, known_digests(spark)).collect()}
+    assert got == dict(enumerate([*names, *["MIT"] * len(heads)]))
+    # What a line says besides the notice counts.
+    other = MIT.replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "COPYRIGHT HOLDERS BE LIABLE FOR EVERY CLAIM")
+    assert scan_licenses(spark.createDataFrame([(1, other)], "doc_id long, text string"), known_digests(spark)).first()["license"] is None
