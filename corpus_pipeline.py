@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chainloom.llm.compression import keep_good
 from chainloom.llm.decontam import decontaminate
-from chainloom.llm.forest import one_of_each
+from chainloom.llm.forest import Forest, one_of_each
 from chainloom.llm.mixture import mixed
 from chainloom.llm.shared import run_folder, table
 from chainloom.llm.sharding import shard
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    return one_of_each(docs)
+    """One document of each group of near duplicates, by a similarity of word shingles from 0.8, stays."""
+    return one_of_each(docs, Forest(percent=80))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

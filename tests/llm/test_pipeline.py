@@ -7,7 +7,7 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from chainloom.llm.compression import Rules, measure
-from tests.llm.test_operators import ITEM_WORD, WORD, plain_components, plain_targets, A_TO_Z
+from tests.llm.test_operators import ITEM_WORD, WORD, plain_components, plain_targets, sets_of, A_TO_Z
 import zstandard
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -90,3 +90,20 @@ def test_stages(spark, folder):
 
 def test_empty(spark, folder):
     assert corpus_pipeline.run(spark, str(folder / "empty")).count() == 0
+
+
+def test_near_copies_from_0_80(spark):
+    rng = random.Random(4)
+    rows = [(k, prose(rng, 100)) for k in range(1, 9)]
+    for k, extra in ((20, 22), (30, 23), (40, 16), (50, 25)):
+        base = prose(rng, 100)
+        rows += [(k, base), (k + 1, base + " " + prose(rng, extra))]
+
+    def similarity(a, b):
+        a, b = (sets_of(dict(rows)[k]) for k in (a, b))
+        return len(a & b) / len(a | b)
+
+    assert all(0.80 <= similarity(k, k + 1) < 0.85 for k in (20, 30)) and similarity(40, 41) > 0.85 and similarity(50, 51) < 0.80
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], SCHEMA), "")
+    of = plain_components(rows, 80)
+    assert {r["doc_id"] for r in left.collect()} == {i for i in of if of[i] == i} == {*range(1, 9), 20, 30, 40, 50, 51}
