@@ -67,11 +67,13 @@ def apportion(parties: DataFrame, group: str, party: str, weight: str, seats: st
     return parties.join(got, [group, party], "left").withColumn("quota", F.coalesce("quota", F.lit(0)).cast("long"))
 
 
-def plan(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """Every row of documents as (id, source, size, source_size, target, epochs, from, upto): the mix takes it
-    `epochs` times whole, and besides its words from .. upto (and `from2` .. `upto2` where the choice wraps)."""
+def plan(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col: str, key: Column | None = None) -> DataFrame:
+    """Every row of documents as (key, id, source, size, source_size, target, epochs, from, upto): the mix takes it
+    `epochs` times whole, and besides its words from .. upto (and `from2` .. `upto2` where the choice wraps).
+    key: tells rows apart that share an id; without one it is null."""
     spread = F.xxhash64(F.col(id_col).cast("string"), F.lit(mix.seed))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), spread.alias("order"))
+    key = F.lit(None).cast("long") if key is None else key
+    rows = docs.select(key.alias("key"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"), spread.alias("order"))
     rows = kept(rows, "sizes")
     sources = kept(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), mix), "sources")
     total = sources.agg(F.sum("target")).first()[0] or 0.0
@@ -79,10 +81,10 @@ def plan(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col: str)
     seats = kept(apportion(seats, "all", "sid", "target", "seats").drop("all", "seats").withColumnRenamed("quota", "blocks"), "quotas")
     seats = seats.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / mix.shard_words)).cast("long"))
     dealt = rows.alias("r").join(fitting(seats, mix.broadcast_rows).alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
-    dealt = dealt.select("r.id", "r.source", "r.size", "r.order", "s.sid", "s.source_size", "s.target", "s.blocks", F.expr("pmod(r.order, s.shards)").alias("shard"))
+    dealt = dealt.select("r.key", "r.id", "r.source", "r.size", "r.order", "s.sid", "s.source_size", "s.target", "s.blocks", F.expr("pmod(r.order, s.shards)").alias("shard"))
     words = kept(dealt.groupBy("sid", "shard").agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks")), "words")
     quotas = kept(apportion(words, "sid", "shard", "shard_size", "blocks").select("sid", "shard", "shard_size", "quota"), "shards")
-    turn = Window.partitionBy("sid", "shard").orderBy(F.xxhash64("order"), "id", "size")
+    turn = Window.partitionBy("sid", "shard").orderBy(F.xxhash64("order"), "id", "size", "key")
     ends = dealt.withColumn("end", F.sum("size").over(turn.rowsBetween(Window.unboundedPreceding, 0)))
     at = ends.join(quotas, ["sid", "shard"])
     n = F.greatest(F.col("shard_size"), F.lit(1))
@@ -98,7 +100,7 @@ def plan(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col: str)
     stop = F.col("first") + F.col("rest")
     a, b = cut(F.col("first"), F.least(stop, n))
     c, d = cut(F.lit(0), F.greatest(stop - n, F.lit(0)))
-    return at.select("id", "source", "size", "source_size", "target", "epochs", a.alias("from"), b.alias("upto"), c.alias("from2"), d.alias("upto2"))
+    return at.select("key", "id", "source", "size", "source_size", "target", "epochs", a.alias("from"), b.alias("upto"), c.alias("from2"), d.alias("upto2"))
 
 
 def mixture(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -116,14 +118,15 @@ def mixture(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col:
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The documents of the mix with their columns: a row for every time one is taken whole, and one with the
-    words that are taken in part, one space between them. Rows that repeat an id are each taken like
-    the one of them that is taken most."""
-    rows = plan(docs, mix, id_col, text_col, source_col).groupBy("id", "size").agg(
-        F.max(F.struct("epochs", F.col("upto") - F.col("from"), "from", "upto", "from2", "upto2")).alias("p")
-    )
-    rows = rows.select(F.col("id").alias("_id"), "p.epochs", "p.from", "p.upto", "p.from2", "p.upto2")
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = packed.join(fitting(rows, mix.broadcast_rows), packed["id"].eqNullSafe(rows["_id"]))
+    words that are taken in part, one space between them. Every row has its own part of the plan, also where rows
+    share an id or have none: the documents are written once with a key for each."""
+    docs_row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    keyed = kept(docs.select(docs_row.alias("row"), F.monotonically_increasing_id().alias("key")), "keyed")
+    fields = keyed.select("key", *(F.col("row").getField(c).alias(n) for c, n in ((id_col, "id"), (text_col, "text"), (source_col, "source"))))
+    rows = plan(fields, mix, "id", "text", "source", F.col("key"))
+    rows = kept(rows.where("epochs > 0 or upto > from or upto2 > from2").select("key", "epochs", "from", "upto", "from2", "upto2"), "plan")
+    packed = keyed.select("row", "key", F.col("row").getField(text_col).alias("text"))
+    joined = packed.join(fitting(rows, mix.broadcast_rows), "key")
     whole = F.array_repeat(F.lit(-1), F.col("epochs").cast("int"))
     part = F.when(F.col("upto") + F.col("upto2") > F.col("from") + F.col("from2"), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
     copies = joined.withColumn("copy", F.explode(F.concat(whole, part)))

@@ -351,6 +351,29 @@ def test_mixed_texts(docs):
     assert {k: v for k, v in taken.items() if v} == {k: v for k, v in got.items() if v}
 
 
+def test_mixed_rows_that_share_an_id(spark, docs):
+    rng = random.Random(8)
+    rows = [(None, n, prose(rng, n)) for n in (100, 200, 300, 300, 55)] + [(7, 90, prose(rng, 90)), (7, 180, prose(rng, 180)), (8, 40, prose(rng, 40))]
+    frame = spark.createDataFrame([(i, t, "ab"[k % 2], n) for k, (i, n, t) in enumerate(rows)], "doc_id long, text string, source string, mark long").repartition(3)
+    for given in (frame, docs):
+        want = Counter()
+        for r in mixture.mixture(given).collect():
+            want[r["doc_id"], r["source_size"]] += r["taken"]
+        sizes = {s: n for s, n in given.select("source", F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")).alias("n")).groupBy("source").agg(F.sum("n")).collect()}
+        got = Counter()
+        for r in mixture.mixed(given).collect():
+            got[r["doc_id"], sizes[r["source"]]] += len(WORD.findall(r["text"] or ""))
+        assert +got == +want
+    texts = {n: " ".join(WORD.findall(t)) for _, n, t in rows if n != 300}
+    whole = Counter()
+    for r in mixture.mixed(frame).collect():
+        if r["mark"] in texts:
+            words = WORD.findall(r["text"])
+            assert " ".join(words) in texts[r["mark"]] + " " + texts[r["mark"]]
+            whole[r["mark"]] += len(words)
+    assert all(whole[n] <= 2 * n for n in texts)
+
+
 def test_apportionment(spark):
     weights, seats = [53_000, 24_000, 23_000, 10, 0], 100
     parties = spark.createDataFrame([(0, k, w, seats) for k, w in enumerate(weights)], "g int, p int, w long, seats long")
