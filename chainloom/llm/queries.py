@@ -10,9 +10,12 @@ from chainloom.llm.decontam import contamination
 from chainloom.llm.forest import near_duplicates
 from chainloom.llm.licenses import COPYRIGHT_LINE, EQUIVALENT, KNOWN, LICENSE_WORDS, MARKS, known_digests, scan_licenses
 from chainloom.llm.mixture import mixture
+from chainloom.llm.periodic import periodic_runs, run_digests, with_loops
 from chainloom.llm.shared import table
 from chainloom.llm.sharding import shard
 from chainloom.llm.substrings import remove_repeats
+from chainloom.llm.tokenfiles import Tokens, round_trip as token_round_trip
+from chainloom.llm.turns import damaged, repairs
 from chainloom.llm.urls import judge
 from chainloom.llm.warc import round_trip
 
@@ -61,6 +64,20 @@ def op10_host_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
 
+def op11_suffix_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_loops(table(spark, sf_dir, "documents"))))
+
+
+def op12_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_round_trip(table(spark, sf_dir, "documents"), Tokens(str(public_tokenizers.path("word_bpe_49k.json"))))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repairs(damaged(table(spark, sf_dir, "conversations")))
+
+
 def sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -75,6 +92,85 @@ def sql_canonical(text: str) -> str:
     return f"sha256(trim(regexp_replace({out}, {sql_text(MARKS)}, ' ', 'g')))"
 
 
+#: States of a conversation in the SQL: nothing yet, system, user, assistant. A state's value is one text, cost, edits
+#: and repaired turns, so that the least text is the cheapest with the least edits.
+UNKNOWN = "'999999999:' || chr(1)"
+
+
+def sql_edit(state: str, cost: str, edit: str, line: str = "''") -> str:
+    cut = f"instr({state}, chr(1))"
+    return f"(lpad(cast(cast(substr({state}, 1, 9) as integer) + {cost} as varchar), 9, '0') || substr({state}, 10, {cut} - 10) || '{edit}' || substr({state}, {cut}) || {line})"
+
+
+def sql_inserted(role: str, *states: str) -> str:
+    line = f"chr(10) || '{role}:'"
+    return ", ".join(sql_edit(s, "2", "I", line) for s in states)
+
+
+def sql_repair() -> str:
+    kept, user, assistant = ("chr(10) || role || ':' || text", "chr(10) || 'user:' || text", "chr(10) || 'assistant:' || text")
+    to_user = ("c0", "c1", "c3")
+    return rf"""
+with recursive named as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as name
+  from conversations
+), cases as (
+  select *, xor(list_reduce(
+    list_concat([cast(4294967295 as bigint)], list_transform(range(1, length(name) + 1), lambda i: cast(ascii(name[i]) as bigint))),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, zero: xor(x >> 1, 3988292384 * (x & 1)) + zero)
+  ), 4294967295) % 20 as c from named
+), damaged as (
+  select conv_id, turn, case when c = 4 then 'user' else role end as role,
+    case when c = 1 then '' when c = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from cases, range(0, 2) t(copy) where c <> 0 and (copy = 0 or c = 3)
+), numbered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as i from damaged
+), placed as (
+  select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+    not regexp_matches(text, '[^ 	-
+]') as blank,
+    not regexp_matches(text, '[.!?][ 	-
+]*$') as cut
+  from numbered
+), rows as (
+  select *, lag(role[1:1]) over (partition by conv_id order by i) || role[1:1] as pair, lag(i) over (partition by conv_id order by i) as earlier from placed
+), solve(conv_id, i, v0, v1, v2, v3) as (
+  select conv_id, cast(0 as bigint), '000000000:' || chr(1), {UNKNOWN}, {UNKNOWN}, {UNKNOWN} from (select distinct conv_id from conversations)
+  union all
+  select conv_id, i,
+    {sql_edit('c0', '3', 'D')},
+    least({sql_edit('c1', '3', 'D')}, case when first = 's' then {sql_edit('c0', 'extra', 'K', kept)} else {UNKNOWN} end),
+    least({sql_edit('c2', '3', 'D')}, case when first = 'u' then least({', '.join(sql_edit(c, 'extra', 'K', kept) for c in to_user)}) else {UNKNOWN} end,
+      case when first <> 'd' then least({', '.join(sql_edit(c, '2 + extra', 'R', user) for c in to_user)}) else {UNKNOWN} end),
+    least({sql_edit('c3', '3', 'D')}, case when first = 'a' then {sql_edit('c2', 'extra', 'K', kept)} else {UNKNOWN} end,
+      case when first <> 'd' then {sql_edit('c2', '2 + extra', 'R', assistant)} else {UNKNOWN} end)
+  from (
+    select p.conv_id, p.i, p.role, p.text, case when cut then 1 else 0 end as extra,
+      case when blank or again then 'd' when p.role[1:1] in ('s', 'u', 'a') then p.role[1:1] else '?' end as first,
+      v0 as c0, v1 as c1, least(w2, {sql_inserted('user', 'w3')}) as c2, w3 as c3
+    from (
+      select conv_id, i, v0, v1, w2, least(v3, {sql_inserted('assistant', 'w2')}) as w3
+      from (select *, least(v2, {sql_inserted('user', 'v0', 'v1', 'v3')}) as w2 from solve)
+    ) s join placed p on p.conv_id is not distinct from s.conv_id and p.i = s.i + 1
+  )
+), best as (
+  select conv_id, least(v0, v3, {sql_inserted('assistant', 'w2')}) as value
+  from (select *, least(v2, {sql_inserted('user', 'v0', 'v1', 'v3')}) as w2 from solve qualify i = max(i) over (partition by conv_id))
+), counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (blank) as blank, count(*) filter (again and not blank) as duplicate,
+    count(*) filter (cut and not blank and not again) as truncated,
+    count(*) filter (earlier is not null and pair not in ('su', 'ua', 'au')) as illegal
+  from rows group by conv_id
+)
+select b.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(value[1:9] as bigint) as cost,
+  substr(value, 11, instr(value, chr(1)) - 11) as audit, sha256(substr(value, instr(value, chr(1)) + 2)) as repaired_sha256
+from best b left join counts c on b.conv_id is not distinct from c.conv_id
+"""
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_extendible_hashing": op2_extendible_hashing,
@@ -86,6 +182,9 @@ QUERIES = {
     "op8_de_bruijn": op8_de_bruijn,
     "op9_warc_writer": op9_warc_writer,
     "op10_host_segmentation": op10_host_segmentation,
+    "op11_suffix_tree_runs": op11_suffix_tree_runs,
+    "op12_token_records": op12_token_records,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLE = {
@@ -178,4 +277,5 @@ with d as (select doc_id, {SQL_WORDS} as w from documents
 select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
 from d left join left_over using (doc_id)
 """,
+    "op13_turn_repair": sql_repair(),
 }
