@@ -9,10 +9,14 @@ offset of every record (8 bytes each) and their masked CRC-32.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -30,7 +34,7 @@ HEADER = b"TOKENS1"
 FILES = "part long, file string, n_records long, n_tokens long, n_bytes long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 LARGEST_VOCABULARY = 64 << 20
-PIECE = 1 << 20
+BUFFER = 1 << 20
 # The constant of a masked checksum (fixed value).
 MASK = 0xA282EAD8
 
@@ -43,7 +47,7 @@ class Tokens:
 
     path: str
     end_id: int = 1
-    memo: int = 1_000_000
+    memo: int = 400_000
     free_words: bool = True
     prefix: str = "tokens"
 
@@ -78,52 +82,83 @@ def unpack(body: bytes, width: int) -> tuple[int | None, np.ndarray]:
     return doc_id if known else None, np.frombuffer(body, f"<u{width}", offset=9)
 
 
-def encoder(vocabulary: str, tokens: Tokens) -> tuple[Callable[[list[str]], Iterator[bytes]], int]:
-    """A function from texts to their packed ids, and the bytes of an id.
+def piece_pattern(vocabulary: str):
+    """The pattern by which a tokenizer cuts words into pieces, if it does nothing else with plain words than to
+    lower their case and to show their bytes as letters; else None."""
+    import regex
 
-    With free_words each distinct word of the texts is encoded once, by the library, and so a long text is never
+    made = json.loads(vocabulary)
+    normal = [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+    cuts = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+    model = made["model"]
+    plain = normal == ["NFC", "Replace", "Lowercase"] and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+    plain = plain and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and not cuts[1]["use_regex"] and not cuts[1]["add_prefix_space"]
+    plain = plain and model["type"] == "BPE" and not model.get("dropout") and not made["post_processor"]
+    return regex.compile(cuts[0]["pattern"]["Regex"]) if plain else None
+
+
+class _Memo(dict):
+    """What `learn` gives for a key, remembered; it starts anew beyond `most` keys."""
+
+    def __init__(self, learn: Callable, most: int):
+        self.learn, self.most = learn, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        found = self[key] = self.learn(key)
+        return found
+
+
+class Encoder:
+    """From texts to their packed ids; `width` is the bytes of an id.
+
+    Each distinct word of a text is encoded once, by the library: a word of ASCII and Latin-1 letters and marks piece
+    by piece by its model, any other by the whole tokenizer. A long text is cut at white space, so no text is
     encoded in one piece.
     """
-    from tokenizers import Tokenizer
-
-    made = Tokenizer.from_str(vocabulary)
-    width = 2 if max(made.get_vocab_size(), tokens.end_id + 1) <= 1 << 16 else 4
-    kind, end = f"<u{width}", np.array([tokens.end_id], f"<u{width}").tobytes()
-    memo: dict[bytes, bytes] = {}
-
-    def packed(parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, kind).tobytes() for e in made.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def whole(texts: list[str]) -> Iterator[bytes]:
-        for ids in packed(texts):
-            yield ids + end
-
-    def by_words(texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            # Special tokens are known by their exact letters, so a text that may hold one keeps its case.
-            text = text.lower() if lowers and text.isascii() and "<|" not in text else text
-            raw, at, out = text.encode(), 0, []
-            while at < len(raw):
-                to = at + PIECE
-                if to < len(raw):
-                    space = SPACE.search(raw, to)
-                    to = space.start() if space else len(raw)
-                words = raw[at:to].split()
-                new = list(set(words).difference(memo))
-                if new:
-                    if len(memo) + len(new) > tokens.memo:
-                        memo.clear()
-                        new = list(set(words))
-                    memo.update(zip(new, packed([w.decode() for w in new])))
-                out.append(b"".join(map(memo.__getitem__, words)))
-                at = to
-            yield b"".join([*out, end])
-
-    lowers = packed(["AbC"]) == packed(["abc"])
-    return (by_words if tokens.free_words else whole), width
-
-
-SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+    def __init__(self, vocabulary: str, tokens: Tokens):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses every core
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.made = Tokenizer.from_str(vocabulary)
+        self.model, self.tokens = self.made.model, tokens
+        self.bytes_as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.width = 2 if max(self.made.get_vocab_size(), tokens.end_id + 1) <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
+        self.end = self._pack([tokens.end_id])
+        self.pattern = piece_pattern(vocabulary) if tokens.free_words else None
+        self.pieces, self.plain, self.words = (_Memo(f, tokens.memo) for f in (self._piece, self._plain, self._word))
+
+    def _pack(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else self.bytes_as_letters.pre_tokenize_str(piece)[0][0]
+        return self._pack([t.id for t in self.model.tokenize(shown)])
+
+    def _plain(self, word: str) -> bytes:
+        """The ids of a plain word in small letters."""
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(word)))
+
+    def _word(self, word: bytes) -> bytes:
+        return self._pack(self.made.encode(word.decode(), add_special_tokens=False).ids)
+
+    def __call__(self, text: str) -> bytes:
+        if not self.tokens.free_words:
+            return self._pack(self.made.encode(text, add_special_tokens=False).ids) + self.end
+        # A special token is known by its exact letters and is not to be cut.
+        if self.pattern is not None and PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.plain.__getitem__, text.lower().split())) + self.end
+        return b"".join(map(self.words.__getitem__, text.encode().split())) + self.end
+
+
+# Words of these are the same in NFC, and their small letters do not depend on their neighbours.
+PLAIN = re.compile("[\t-\r -~\u00c0-\u00ff]*")
 
 
 class _File:
@@ -174,14 +209,14 @@ def write_tokens(docs: DataFrame, folder: str, tokens: Tokens) -> DataFrame:
         from pyspark import TaskContext
 
         part, out = TaskContext.get().partitionId(), None
-        encode, width = encoder(vocabulary.value, tokens)
+        encode = Encoder(vocabulary.value, tokens)
         for batch in batches:
             ids, texts = batch.columns
             for at, some in slices(texts):
                 if out is None:
-                    out = _File(folder, f"{tokens.prefix}-{part:06d}", width)
-                for k, packed in enumerate(encode(some.to_pylist())):
-                    out.add(ids[at + k].as_py(), packed)
+                    out = _File(folder, f"{tokens.prefix}-{part:06d}", encode.width)
+                for k, text in enumerate(some.to_pylist()):
+                    out.add(ids[at + k].as_py(), encode(text))
         if out is not None:
             out.close()
             row = [part, f"{tokens.prefix}-{part:06d}", len(out.offsets), out.n_tokens, out.at]
@@ -224,7 +259,7 @@ def read_tokens(spark: SparkSession, listed: DataFrame, folder: str) -> DataFram
                 if len(offsets) != row["n_records"]:
                     raise ValueError(f"{name}: the index does not have all records")
                 ends = np.append(offsets[1:], np.uint64(row["n_bytes"])).tolist()
-                with files.open_input_stream(f"{name}.records", compression=None, buffer_size=PIECE) as stream:
+                with files.open_input_stream(f"{name}.records", compression=None, buffer_size=BUFFER) as stream:
                     width = read_width(stream.read(len(HEADER) + 1))
                     for at, end in zip(offsets.tolist(), ends):
                         doc_id, ids = unpack(unframe(stream.read(end - at)), width)
@@ -287,8 +322,7 @@ def round_trip(docs: DataFrame, tokens: Tokens, folder: str | None = None) -> Da
 
     A null or empty text has the end id alone. A null doc_id comes before all others; rows of one doc_id each have
     their record, by a hash of their text, and equal rows in the order of the table. A text of any length is
-    encoded in pieces that end at white space. An empty table gives no file and no rows; other columns are not
-    read.
+    encoded word by word. An empty table gives no file and no rows; other columns are not read.
     """
     spark = docs.sparkSession
     folder = folder or run_folder(spark, "tokens")

@@ -123,7 +123,7 @@ def whole_ids(path, text):
 
 
 LOADED: dict = {}
-PARTS = list("aBé'sDtİß 9\n\t\x1c\x85 \u3000\u0301\u0345ΣσςЖ中한ﬁ<|>endoftx!.") + ["<|endoftext|>", "<|ENDOFTEXT|>"]
+PARTS = list("aBé'sDtİß 9\n\t\x1c\x85 \u3000\u0301\u0345ΣσςЖ中한ﬁ<|>endoftx!.ÄŸÿ÷µ½²ª»") + ["<|endoftext|>", "<|ENDOFTEXT|>"]
 ODD = st.lists(st.sampled_from(PARTS), max_size=60).map("".join)
 
 
@@ -132,12 +132,12 @@ ODD = st.lists(st.sampled_from(PARTS), max_size=60).map("".join)
 def test_ids_by_word_are_those_of_the_whole_text(vocabulary, text):
     global ENCODE
     if "ENCODE" not in globals():
-        ENCODE = tokenfiles.encoder(open(vocabulary, encoding="utf-8").read(), tokenfiles.Tokens(vocabulary, memo=50))[0]
-    assert np.frombuffer(next(ENCODE([text])), "<u2").tolist() == [*whole_ids(vocabulary, text), 1]
+        ENCODE = tokenfiles.Encoder(open(vocabulary, encoding="utf-8").read(), tokenfiles.Tokens(vocabulary, memo=50))
+    assert ENCODE.pattern is not None
+    assert np.frombuffer(ENCODE(text), "<u2").tolist() == [*whole_ids(vocabulary, text), 1]
 
 
-def test_op12_against_plain(spark, vocabulary, monkeypatch):
-    monkeypatch.setattr(tokenfiles, "PIECE", 100)
+def test_op12_against_plain(spark, vocabulary):
     rng = random.Random(2)
     texts = [None, "", " \n ", "It's 3 o'clock NOW", "<|endoftext|> is not <|ENDOFTEXT|>", "é" * 3000, "word " * 4000]
     texts += [" ".join(rng.choice(["Über", "naïve", "don't", "x1", "...", "Ünd", "東京"]) for _ in range(rng.randint(1, 300))) for _ in range(40)]
