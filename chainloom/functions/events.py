@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainloom.functions.binding import bind
 from chainloom.functions.hexes import hex_text, word_to_bigint, word_to_decimal
+from chainloom.functions.keccak import keccak256
 
 WORD_BYTES = 32
 
@@ -72,6 +74,17 @@ def parameters(event: str) -> list[Parameter]:
     return out
 
 
+def signature(event: str) -> str:
+    """The text that names an event type: its name and the types of its parameters."""
+    return f"{event}({','.join(p.type for p in parameters(event))})"
+
+
+@cache
+def topic0(event: str) -> str:
+    """The first topic of the logs of an event type, in hex."""
+    return keccak256(signature(event).encode()).hex()
+
+
 ZERO_BYTES = b"\x00" * WORD_BYTES
 
 

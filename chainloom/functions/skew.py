@@ -72,6 +72,15 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
     return found["n"] <= rows and (found["size"] or 0) <= size
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join in which NULL keys match each other, as they do in an aggregate or a window."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"__right_{key}"))
+    return left.join(renamed, condition, how).drop(*[f"__right_{k}" for k in keys])
+
+
 def join_group_stats(
     rows: DataFrame,
     stats: DataFrame,
@@ -79,29 +88,32 @@ def join_group_stats(
     *,
     how: str = "inner",
     limit: int = GROUP_LIMIT,
+    nulls: bool = True,
 ) -> DataFrame:
     """Put the one row per key of `stats` on every row of that key.
 
+    A NULL key is a key like others, as it is in the aggregate that gave `stats`; with `nulls=False` it
+    matches nothing.
     Keys with more than `limit` rows are hot (with more than `HOT_KEYS` of them, twice the limit counts): their part of `stats` is broadcast
     and their rows stay where they are; the other keys take the ordinary join.
     """
     keys = list(keys)
+
+    def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        return join_same(left, right, keys, how) if nulls else left.join(right, keys, how)
+
     largest, total = group_profile(rows, keys)
     if largest <= limit:
-        return rows.join(stats, keys, how)
-    hot = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter((F.col("__n") > limit) & _no_nulls(keys))
-        .drop("__n")
-    )
+        return joined(rows, stats, how)
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
+    hot = (counted if nulls else counted.filter(_no_nulls(keys))).drop("__n")
     if total // limit > HOT_KEYS and not has_at_most(hot, HOT_KEYS):
         # Too many to broadcast: split the hotter ones, until they fit.
-        return join_group_stats(rows, stats, keys, how=how, limit=2 * limit)
-    hot_rows = rows.join(F.broadcast(hot), keys, "left_semi")
-    cold_rows = rows.join(F.broadcast(hot), keys, "left_anti")
-    hot_stats = stats.join(F.broadcast(hot), keys, "left_semi")
-    return hot_rows.join(F.broadcast(hot_stats), keys, how).unionByName(cold_rows.join(stats, keys, how))
+        return join_group_stats(rows, stats, keys, how=how, limit=2 * limit, nulls=nulls)
+    hot_rows = joined(rows, F.broadcast(hot), "left_semi")
+    cold_rows = joined(rows, F.broadcast(hot), "left_anti")
+    hot_stats = joined(stats, F.broadcast(hot), "left_semi")
+    return joined(hot_rows, F.broadcast(hot_stats), how).unionByName(joined(cold_rows, stats, how))
 
 
 def join_lookup(
@@ -117,7 +129,7 @@ def join_lookup(
     join that keeps the rows of hot keys where they are."""
     if fits_broadcast(lookup, bound):
         return rows.join(F.broadcast(lookup), list(keys), how)
-    return join_group_stats(rows, lookup, keys, how=how, limit=limit)
+    return join_group_stats(rows, lookup, keys, how=how, limit=limit, nulls=False)
 
 
 def _no_nulls(keys: Sequence[str]) -> Column:
@@ -142,15 +154,6 @@ def _segments(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     )
 
 
-def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join in which NULL keys match each other, as they do in a window."""
-    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"__right_{key}"))
-    return left.join(renamed, condition).drop(*[f"__right_{k}" for k in keys])
-
-
 def row_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -173,7 +176,7 @@ def row_position(
     )
     inside = Window.partitionBy(*keys, "__seg").orderBy(*order)
     return (
-        _join_same(seg, offsets, [*keys, "__seg"])
+        join_same(seg, offsets, [*keys, "__seg"])
         .withColumn(out, (F.row_number().over(inside) - 1 + F.col("__offset")).cast("bigint"))
         .drop("__seg", "__offset")
     )
@@ -205,7 +208,7 @@ def previous_value(
         Window.partitionBy(*keys, "__seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        _join_same(seg, carried, [*keys, "__seg"])
+        join_same(seg, carried, [*keys, "__seg"])
         .withColumn(
             out, F.coalesce(F.last("__value", ignorenulls=True).over(inside), F.col("__carried"))
         )

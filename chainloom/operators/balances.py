@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainloom.functions.hexes import bytes_to_word, hex_text, word_to_text
-from chainloom.functions.skew import GROUP_LIMIT, fits_broadcast, join_group_stats
+from chainloom.functions.skew import GROUP_LIMIT, fits_broadcast, join_group_stats, join_same
 
 ADDRESS_LABEL = "Address:"
 
@@ -52,7 +52,8 @@ def balance_changes(
 ) -> DataFrame:
     """Every change as Insert while its address was unknown before its block, else Update.
 
-    `known` (address, first_block) holds the addresses of earlier batches.
+    `known` (address, first_block) holds the addresses of earlier batches. Changes without an address
+    are those of one account, whose key is NULL.
     """
     first = first_blocks(balances)
     if known is not None:
@@ -60,7 +61,7 @@ def balance_changes(
         addresses = first.select("address")
         if fits_broadcast(addresses):
             addresses = F.broadcast(addresses)
-        earlier = known.select("address", "first_block").join(addresses, "address", "left_semi")
+        earlier = join_same(known.select("address", "first_block"), addresses, ["address"], "left_semi")
         first = first.unionByName(earlier).groupBy("address").agg(
             F.min("first_block").alias("first_block")
         )
@@ -74,6 +75,6 @@ def balance_changes(
         F.col("end_ordinal").alias("ordinal"),
         "pos",
         account.alias("key"),
-        F.when(F.col("first_block") == F.col("block_num"), "Insert").otherwise("Update").alias("type"),
+        F.when(F.col("first_block").eqNullSafe(F.col("block_num")), "Insert").otherwise("Update").alias("type"),
         F.to_json(F.struct(account.alias("account"), balance.alias("balance"))).alias("value"),
     )

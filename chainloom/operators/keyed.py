@@ -191,14 +191,16 @@ def apply_changes(
 ) -> DataFrame:
     """The table after a mixed set of creates, updates and deletes, as if done one by one in order.
 
-    A create on a live key is refused and changes nothing, an update on a dead key changes nothing.
+    A create on a live key is refused and changes nothing, an update on a dead key changes nothing, and a
+    change whose key is NULL, or has a NULL part, changes nothing: `change_outcomes` reports it as `null_key`.
     What counts per key is the last delete, the first create after it, and per column the last update
     after that. So it takes one small aggregate for the deletes and one for the rest, both combined
     before their shuffle, and no sequence of a key is ever gathered.
     """
     keys = list(keys)
     values = [c for c in target.columns if c not in keys]
-    rows = changes.filter(F.col("_operation").isin(CREATE, UPDATE, DELETE)).select(
+    known = F.col("_operation").isin(CREATE, UPDATE, DELETE) & ~_null_key(keys)
+    rows = changes.filter(known).select(
         *keys,
         "_operation",
         F.struct(*order).alias("__at"),

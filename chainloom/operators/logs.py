@@ -9,11 +9,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainloom.functions.binding import bind
-from chainloom.functions.events import WORD_BYTES, parameters, read_parameters
+from chainloom.functions.events import EVENT_TYPES, WORD_BYTES, parameters, read_parameters, topic0
 from chainloom.functions.hexes import (
     hex_text,
     little_endian_hex,
@@ -25,6 +25,7 @@ from chainloom.functions.skew import (
     GROUP_LIMIT,
     join_group_stats,
     join_lookup,
+    join_same,
     row_position,
 )
 from chainloom.functions.typed import field, offchain_request, value
@@ -61,6 +62,16 @@ def explode_logs(blocks: DataFrame) -> DataFrame:
     )
 
 
+def event_signatures(
+    spark: SparkSession, contracts: Sequence[str], events: Sequence[str] | None = None
+) -> DataFrame:
+    """address, topic0 and event of the named event types (all known ones without names) of each contract
+    (hex): the table that `filter_event_logs` takes. An unknown event type is an error."""
+    named = list(EVENT_TYPES if events is None else events)
+    rows = [(bytes.fromhex(a), bytes.fromhex(topic0(e)), e) for a in dict.fromkeys(contracts) for e in dict.fromkeys(named)]
+    return spark.createDataFrame(rows, "address binary, topic0 binary, event string")
+
+
 def filter_event_logs(
     logs: DataFrame, signatures: DataFrame, *, bound: int = BROADCAST_ROWS, limit: int = GROUP_LIMIT
 ) -> DataFrame:
@@ -93,18 +104,19 @@ def posts(
     table: str = "lens_posts",
     *,
     address: str = POSTS_CONTRACT,
-    topic0: str | None = None,
+    event: str = "PostCreated",
 ) -> DataFrame:
-    """PostCreated logs as change records; the content link becomes a request.
+    """PostCreated logs of the contract as change records; the content link becomes a request.
 
-    Only logs of the contract are read, and, with `topic0` (hex), only those of that event. Both are
-    literals of the plan, so the scan can leave out what has other values.
+    Other event types of the same contract, such as comments and mirrors, are no posts: a log is read only
+    if its first topic is the hash of the event's signature. Address and topic are literals of the plan,
+    so the scan can leave out what has other values. `event` may name another type that has the
+    parameters of a post.
     """
     own = logs.filter(F.col("address") == F.unhex(F.lit(address)))
-    if topic0 is not None:
-        own = own.filter(F.get("topics", F.lit(0)) == F.unhex(F.lit(topic0)))
+    own = own.filter(F.get("topics", F.lit(0)) == F.unhex(F.lit(topic0(event))))
     decoded = decode_event_fields(
-        own, "PostCreated", only=("profileId", "pubId", "contentURI", "timestamp")
+        own, event, only=("profileId", "pubId", "contentURI", "timestamp")
     )
     decoded = bind(
         decoded,
@@ -157,10 +169,13 @@ def event_rows(
     commitments: DataFrame | None = None,
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """One row per log, with the number of logs of its block and, if given, the block's digest."""
+    """One row per log, with the number of logs of its block and, if given, the block's digest.
+
+    Logs without a block number belong to one block, whose number is NULL.
+    """
     counts = logs.groupBy("block_num").agg(F.count(F.lit(1)).cast("int").alias("num_logs"))
     if commitments is not None:
-        counts = counts.join(commitments.select("block_num", "commitment"), "block_num", "left")
+        counts = join_same(counts, commitments.select("block_num", "commitment"), ["block_num"], "left")
     else:
         counts = counts.withColumn("commitment", F.lit(None).cast("string"))
     joined = join_group_stats(logs, counts, ["block_num"], limit=limit)

@@ -402,6 +402,18 @@ def q_filter_event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("ordinal", "event", F.lower(F.hex("address")).alias("address"))
 
 
+@query(
+    "filter_named_events",
+    f"""select event_id as ordinal, case event_type when 'click' then 'CommentCreated' when 'purchase' then 'PostCreated'
+    else 'MirrorCreated' end as event, event_id // 100 as block_num
+from events where event_type in ('click', 'purchase', 'error') and event_id % 10 <> 0""",
+)
+def q_filter_named_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts, comments and mirrors of one contract, by the hashes of their signatures."""
+    wanted = logs.event_signatures(spark, [logs.POSTS_CONTRACT], ["PostCreated", "CommentCreated", "MirrorCreated"])
+    return logs.filter_event_logs(shapes.post_logs(spark, sf_dir), wanted).select("ordinal", "event", "block_num")
+
+
 @query(
     "decode_event_fields",
     """select event_id as ordinal, lpad(lower(to_hex(user_id)), 64, '0') as profile_id,
@@ -409,11 +421,12 @@ def q_filter_event_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
   lpad(lower(to_hex(user_id)), 40, '0') as collect_module, '' as collect_data,
   repeat('0', 40) as reference_module, '' as reference_data,
   lpad(lower(to_hex(event_id)), 64, '0') as timestamp
-from events where event_type <> 'view'""",
+from events where event_type = 'purchase' and event_id % 10 <> 0""",
 )
 def q_decode_event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = F.col("address") == F.unhex(F.lit(logs.POSTS_CONTRACT))
-    decoded = logs.decode_event_fields(shapes.post_logs(spark, sf_dir).filter(own), "PostCreated")
+    wanted = logs.event_signatures(spark, [logs.POSTS_CONTRACT], ["PostCreated"])
+    own = logs.filter_event_logs(shapes.post_logs(spark, sf_dir), wanted)
+    decoded = logs.decode_event_fields(own, "PostCreated")
     names = {
         "profileId": "profile_id",
         "pubId": "pub_id",
@@ -438,7 +451,7 @@ LITTLE_ENDIAN_SQL = """(select list_aggregate(list_reverse(regexp_extract_all(h,
     f"""select event_id as ordinal, {LITTLE_ENDIAN_SQL.format(n='user_id')} as profile_id,
   {LITTLE_ENDIAN_SQL.format(n='user_id')} || '-' || {LITTLE_ENDIAN_SQL.format(n='event_id')} as id,
   'https://example.org/' || props as content_uri, event_id as timestamp
-from events where event_type <> 'view'""",
+from events where event_type = 'purchase' and event_id % 10 <> 0""",
 )
 def q_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = logs.posts(shapes.post_logs(spark, sf_dir))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainloom.contracts import CHANGE, CREATE, DELETE, UPDATE, contract
+from chainloom.functions.events import topic0
 from chainloom.functions.hexes import WORD, word_from_number
 from chainloom.functions.typed import field, no_value, offchain_request, value
 from chainloom.operators.logs import POST_HANDLER, POST_RETRIES, POST_WAIT, POSTS_CONTRACT
@@ -278,10 +279,26 @@ def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("topic0", topic_of(F.col("event")))
 
 
+# The event type of a log of the posts contract, by the kind of the event that it is made of.
+CONTRACT_EVENTS = {
+    "signup": "ProfileCreated",
+    "click": "CommentCreated",
+    "purchase": "PostCreated",
+    "error": "MirrorCreated",
+}
+
+
 def post_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All logs; those that have the topics of a post are from the posts contract, the others are not."""
-    own = F.when(F.col("event_type") != "view", F.unhex(F.lit(POSTS_CONTRACT))).otherwise(F.col("address"))
-    return logs(spark, sf_dir).withColumn("address", own)
+    """All logs: of four event types of the posts contract, but views and every tenth log are of others."""
+    kind, topics = F.col("event_type"), F.col("topics")
+    named = F.coalesce(*[F.when(kind == k, F.unhex(F.lit(topic0(e)))) for k, e in CONTRACT_EVENTS.items()], topics[0])
+    own = (kind != "view") & (F.col("ordinal") % 10 != 0)
+    return logs(spark, sf_dir).withColumns(
+        {
+            "address": F.when(own, F.unhex(F.lit(POSTS_CONTRACT))).otherwise(F.col("address")),
+            "topics": F.concat(F.array(named), F.slice(topics, 2, 5)),
+        }
+    )
 
 
 def balances(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,19 @@ def test_changes(rows, limit):
     }
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 2])
+def test_changes_without_an_address_or_block_stay(rows, limit):
+    odd = rows.withColumn("address", F.when(F.col("pos") == 0, F.col("address"))).unionByName(
+        rows.withColumns({"address": F.lit(None).cast("binary"), "block_num": F.lit(None).cast("long")})
+    )
+    got = balances.balance_changes(odd, limit=limit)
+    assert got.count() == odd.count() == 10
+    assert sorted(r["type"] for r in got.filter("key is null").collect()) == ["Insert"] + ["Update"] * 5
+    known = balances.first_blocks(odd)
+    again = balances.balance_changes(odd, known, limit=limit)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+
+
 def test_batches_give_what_the_whole_gives(rows):
     early, late = rows.filter("block_num < 3"), rows.filter("block_num >= 3")
     known = balances.first_blocks(early)

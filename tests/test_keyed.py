@@ -127,6 +127,16 @@ def test_apply_changes_is_a_replay(spark, seed, limit):
     assert got == conflicts
 
 
+def test_changes_without_a_key_change_nothing(spark):
+    target = spark.createDataFrame([("a", "x")], "id string, v string")
+    shape = "id string, v string, _operation int, _present array<string>, _block_num long, _ordinal long, _pos int"
+    rows = [(None, "n", CREATE, ["v"], 1, 1, 0), (None, "m", UPDATE, ["v"], 1, 2, 0), (None, None, DELETE, [], 1, 3, 0), ("b", "y", CREATE, ["v"], 1, 4, 0)]
+    changes = spark.createDataFrame(rows, shape)
+    assert sorted(map(tuple, keyed.apply_changes(target, changes, ["id"]).collect())) == [("a", "x"), ("b", "y")]
+    reasons = {r["_ordinal"]: r["reject_reason"] for r in keyed.change_outcomes(target, changes, ["id"]).collect()}
+    assert reasons == {1: "null_key", 2: "null_key", 3: "null_key", 4: None}
+
+
 def test_batch_counts(spark):
     rows = spark.createDataFrame([(0, "t", 1)] * 3 + [(1, "t", 2)], "batch_id int, record string, operation int")
     got = {tuple(r) for r in keyed.batch_counts(rows).collect()}

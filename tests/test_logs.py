@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainloom.functions import hexes
-from chainloom.functions.events import EVENT_TYPES, parameters
+from chainloom.functions.events import EVENT_TYPES, parameters, signature, topic0
+from chainloom.functions.keccak import keccak256, sponge
 from chainloom.operators import balances, logs
 
 
@@ -215,14 +216,55 @@ def test_commitment_depends_on_every_byte(spark):
     assert roots[1] != roots[2]
 
 
-def test_posts_are_of_the_contract(spark):
+def test_keccak():
+    assert keccak256(b"").hex() == "c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470"
+    transfer = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"
+    assert keccak256(b"Transfer(address,address,uint256)").hex() == transfer
+    for size in (0, 1, 134, 135, 136, 137, 271, 272, 1000):
+        data = bytes(i * 7 % 256 for i in range(size))
+        # The standardised digest differs only in how the padding starts.
+        assert sponge(data, 0x06) == hashlib.sha3_256(data).digest()
+
+
+def test_signatures_of_events(spark):
+    assert signature("FollowNFTURISet") == "FollowNFTURISet(uint256,string,uint256)"
+    assert signature("Followed") == "Followed(address,uint256[],bytes[],uint256)"
+    assert len({topic0(event) for event in EVENT_TYPES}) == len(EVENT_TYPES) == 35
+    table = logs.event_signatures(spark, ["aa" * 20, "bb" * 20, "aa" * 20])
+    assert table.count() == 2 * 35 and table.distinct().count() == 2 * 35
+    with pytest.raises(KeyError):
+        logs.event_signatures(spark, ["aa" * 20], ["NoSuchEvent"])
+
+
+def test_posts_are_of_the_contract_and_of_their_event(spark):
     from chainloom.sources import shapes
 
     mixed = shapes.post_logs(spark, "/root/testdata/sf0.001")
-    own = mixed.filter(F.col("event_type") != "view")
-    assert 0 < own.count() < mixed.count()
-    assert logs.posts(mixed).count() == own.count()
+    own = F.col("address") == F.unhex(F.lit(logs.POSTS_CONTRACT))
+    posted = own & (F.col("event_type") == "purchase")
+    assert 0 < mixed.filter(posted).count() < mixed.filter(own).count() < mixed.count()
+    found = {r["ordinal"] for r in logs.posts(mixed).collect()}
+    assert found == {r["ordinal"] for r in mixed.filter(posted).collect()}
     assert logs.posts(mixed, address="ff" * 20).count() == 0
+    # No topics at all, and a topic that no event has.
+    odd = mixed.withColumn("topics", F.when(F.col("ordinal") % 2 == 0, F.array().cast("array<binary>")).otherwise(F.array(F.lit(b"x"))))
+    assert logs.posts(odd).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_logs_without_a_block_stay(spark, limit):
+    from chainloom.sources import shapes
+
+    frame = shapes.logs(spark, "/root/testdata/sf0.001").withColumn(
+        "block_num", F.when(F.col("block_num") % 3 != 0, F.col("block_num"))
+    )
+    roots = logs.block_commitment(frame, limit=limit)
+    rows = logs.event_rows(frame, commitments=roots, limit=limit)
+    assert rows.count() == frame.count()
+    lost = rows.filter("blocknumber is null")
+    assert lost.count() == frame.filter("block_num is null").count() > 0
+    assert lost.select("num_logs", "commitment").distinct().collect()[0]["num_logs"] == lost.count()
+    assert rows.filter("commitment is null").count() == 0
 
 
 def test_nested_blocks(spark):
