@@ -10,6 +10,7 @@ split the hot keys, with the same result.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,6 +39,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured or current
 
 
+def written(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: worked out once, whatever reads it and whoever is lost."""
+    path = f"{ensure_checkpoint_dir(frame.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def group_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(rows of the largest key, all rows); one row reaches the driver."""
     row = (

@@ -35,6 +35,7 @@ from chainloom.plans.ingest import (
 )
 from chainloom.sources import shapes
 from chainloom.sources.blocks import block_range_scan, final_blocks, stream_blocks
+from chainloom.sources.forks import Links
 from chainloom.streaming.runs import run_stream, stream_balances
 from chainloom.streaming.store import BatchStore
 
@@ -92,6 +93,29 @@ def q_final_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final_blocks(shapes.blocks(spark, sf_dir), FINAL_DEPTH).select("block_num", "block_id")
 
 
+# The chain of the head, followed block by block.
+FORKS_SQL = f"""with recursive named as (
+  select event_id as n, event_id::varchar as name, (event_id - 1)::varchar as parent from events
+  union all select event_id, 'a' || event_id, case when event_id % 50 = 7 then '' else 'a' end || (event_id - 1)
+  from events where event_id % 50 between 7 and 10
+  union all select event_id, 'b' || event_id, case when event_id % 1000 = 100 then '' else 'b' end || (event_id - 1)
+  from events where event_id % 1000 between 100 and 139
+  union all select event_id, 'h' || event_id, case when event_id = last - 2 then '' else 'h' end || (event_id - 1)
+  from events, (select max(event_id) as last from events) where event_id > last - 3
+), block as (select n, sha256(name) as hash, sha256(parent) as parent from named
+), chain as (
+  (select n, hash, parent from block order by n desc, hash limit 1)
+  union all select b.n, b.hash, b.parent from block b join chain c on b.n = c.n - 1 and b.hash = c.parent
+), final as (select n, hash from chain where n <= (select max(n) - {FINAL_DEPTH} from chain))"""
+
+
+@query("final_blocks_of_forks", FORKS_SQL + " select n as block_num, hash as block_id from final")
+def q_final_blocks_of_forks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final blocks among forks, from the head along the parents."""
+    forked = shapes.forked_blocks(spark, sf_dir)
+    return final_blocks(forked, FINAL_DEPTH, links=Links()).select("block_num", "block_id")
+
+
 @query(
     "explode_changes",
     f"""select event_id as block_num, 'c' || event_id as cursor, p.pos::varchar as pos,
@@ -1009,6 +1033,27 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.rows(ETH_BLOCKHEADERS)
 
 
+@query(
+    "final_blocks_stream",
+    FORKS_SQL + """ select sha256('bin.node.cli.PRIMARY_KEY_INSERT_INTO<' || hash || '_0>') as id, hash from final""",
+)
+def q_final_blocks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of final blocks from a stream of files with forks, orphans a little late: each batch holds back
+    what a later one may replace."""
+    folder = _run_dir(spark)
+    forked = shapes.forked_blocks(spark, sf_dir)
+    third = (forked.agg(F.max("block_num")).first()[0] + 3) // 3
+    place = F.col("block_num") + F.when(F.col("orphan"), 5).otherwise(0)
+    for k in range(3):
+        some = forked.filter((place >= k * third) & ((place < (k + 1) * third) | F.lit(k == 2)))
+        some.coalesce(1).write.mode("append").parquet(f"{folder}/blocks")
+    arriving = stream_blocks(spark, f"{folder}/blocks", forked.schema, files_per_batch=1)
+    store = BatchStore(spark, f"{folder}/store")
+    job = IngestJob("final", "block_meta", [ETH_BLOCKHEADERS], algo="sha256", final_depth=FINAL_DEPTH)
+    run_stream(job, store, arriving, f"{folder}/checkpoint")
+    return store.rows(ETH_BLOCKHEADERS).select("id", "hash")
+
+
 @query("balance_changes_stream", ORACLE["balance_changes"])
 def q_balance_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balance changes as a stream: the same rows as in batch."""

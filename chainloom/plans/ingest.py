@@ -19,6 +19,7 @@ from pyspark.storagelevel import StorageLevel
 from chainloom.contracts import CREATE, DELETE, RESOLVER_TASKS, UPDATE, Contract, ContractError
 from chainloom.operators import balances, blocks, changes, keyed, links, logs, progress
 from chainloom.sources.blocks import block_range_scan, check_range, spread
+from chainloom.sources.forks import Links, follow_chain
 from chainloom.streaming.store import BatchStore
 
 Module = Callable[[DataFrame], DataFrame]
@@ -82,6 +83,9 @@ class IngestJob:
     `mode="append"` takes creates only and appends rows. `mode="changes"` takes creates, updates and
     deletes, keyed by the record's id, and appends them as changes that `BatchStore.folded` applies; a create
     on a live key is an error, or a reject by `on_conflict`.
+
+    With `final_depth` only blocks at least so far behind the head, and on its chain by `links`, are taken;
+    the others wait in the store for later batches.
     """
 
     run_id: str
@@ -96,6 +100,8 @@ class IngestJob:
     on_conflict: str = "fail"
     mode: str = "append"
     enrichment: Enrichment | None = field(default=None)
+    final_depth: int | None = None
+    links: Links = Links()
 
     def __post_init__(self) -> None:
         check_range(self.start, self.stop)
@@ -143,6 +149,33 @@ def _rejects(frame: DataFrame, record: Column, reason: str, prefix: str = "_") -
     )
 
 
+def hold_back(job: IngestJob, store: BatchStore, blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(blocks that are final now, blocks that wait, with the block that was final last, the kept frame of both).
+
+    Blocks that came before and wait are read from the store, where each batch writes all of them: as many
+    as the depth and the forks in it. New ones at or below the last final block are too late and left out.
+    The chain has to reach from the head down to the last final block; where blocks of it have not come yet,
+    nothing is final and all wait. So blocks may come in any order once the first batch has begun at the
+    lowest one. A head that moves to another fork changes what waits, never what was final.
+    """
+    number = F.col(job.links.number)
+    flagged = T.StructType([*blocks.schema.fields, T.StructField("_settled", T.BooleanType())])
+    seen = store.newest(f"waiting_{job.run_id}", flagged)
+    anchor = seen.filter("_settled").agg(F.max(job.links.number)).first()[0]
+    new = blocks if anchor is None else blocks.filter(number > anchor)
+    both = seen.unionByName(new.withColumn("_settled", F.lit(False)))
+    both = both.dropDuplicates([job.links.number, job.links.hash]).persist(StorageLevel.MEMORY_AND_DISK)
+    chain = follow_chain(both, job.links)
+    if chain.head is None or chain.broken_at is not None:
+        return blocks.limit(0), both, both
+    done = chain.keep(both).filter(number <= max(chain.head - job.final_depth, -1 if anchor is None else anchor))
+    last = done.agg(F.max(job.links.number)).first()[0]
+    if last is None:
+        return blocks.limit(0), both, both
+    waiting = both.filter(number > last).unionByName(done.filter(number == last).withColumn("_settled", F.lit(True)))
+    return done.filter(~F.col("_settled")).select(*blocks.columns), waiting, both
+
+
 def process_batch(
     job: IngestJob,
     store: BatchStore,
@@ -171,12 +204,16 @@ def process_batch(
         if cursor:
             todo = todo.filter(F.col("block_num") > done)
 
+    held: list[DataFrame] = []
+    waiting = None
+    if job.final_depth is not None:
+        todo, waiting, kept = hold_back(job, store, todo)
+        held.append(kept)
     records = change_records(job, spread(todo))
     unknown = changes.route_by_table(records, job.contracts).filter("reject_reason is not null")
     rejects = [_rejects(unknown, F.col("record"), "reject_reason", prefix="")]
     tables: dict[str, DataFrame] = {}
     tasks: list[DataFrame] = []
-    held: list[DataFrame] = []
     try:
         for contract in job.contracts:
             rows = checked_rows(job, records, contract).persist(StorageLevel.MEMORY_AND_DISK)
@@ -225,6 +262,8 @@ def process_batch(
             known = store.read(RESOLVER_TASKS.table, RESOLVER_TASKS.schema)
             new = links.enqueue_tasks(known, reduce(DataFrame.unionByName, tasks), now)
             tables[RESOLVER_TASKS.table] = new.select(*RESOLVER_TASKS.names)
+        if waiting is not None:
+            tables[f"waiting_{job.run_id}"] = waiting
         store.commit(tables, progress.batch_progress(todo, job.run_id), source, epoch)
     finally:
         for frame in held:

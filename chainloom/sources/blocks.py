@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chainloom.sources.forks import Links, final_chain
+
 
 def check_range(start: int, stop: int | None) -> None:
     """A run starts at a block that exists and, if it has a stop, before it; both zero is no range."""
@@ -38,11 +40,16 @@ def final_blocks(
     head: int | None = None,
     number: str = "block_num",
     flag: str | None = None,
+    links: Links | None = None,
 ) -> DataFrame:
     """Blocks that can no longer be replaced: by a flag column, or at least `depth` behind the head.
 
-    Without a given head it is the largest number, one scalar that Spark computes first.
+    With `links` (the columns of number, hash and parent hash) only blocks of the head's chain are final;
+    without them the blocks are taken to be free of forks. Without a given head it is the largest number, one
+    scalar that Spark computes first.
     """
+    if links is not None:
+        return final_chain(blocks, depth, links)
     if flag is not None:
         return blocks.filter(F.col(flag))
     if head is not None:

@@ -51,6 +51,38 @@ def blocks_of(orders: DataFrame) -> DataFrame:
     )
 
 
+def forked_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A block per event, and orphans: four blocks in fifty, forty in a thousand, and three at the head."""
+    key = F.col("event_id")
+    events = table(spark, sf_dir, "events")
+    last = events.select(F.max("event_id")).scalar()
+
+    def block(name: Column, parent: Column, orphan: bool) -> Column:
+        return F.struct(name.alias("name"), parent.alias("parent"), F.lit(orphan).alias("orphan"))
+
+    def fork(kind: str, here: Column, first: Column) -> Column:
+        side, main = F.concat(F.lit(kind), (key - 1).cast("string")), (key - 1).cast("string")
+        return F.when(here, block(F.concat(F.lit(kind), key.cast("string")), F.when(first, main).otherwise(side), True))
+
+    made = F.array_compact(
+        F.array(
+            block(key.cast("string"), (key - 1).cast("string"), False),
+            fork("a", (key % 50).between(7, 10), key % 50 == 7),
+            fork("b", (key % 1000).between(100, 139), key % 1000 == 100),
+            fork("h", key > last - 3, key == last - 2),
+        )
+    )
+    return events.select("event_id", "ts", F.explode(made).alias("b")).select(
+        key.alias("block_num"),
+        F.sha2("b.name", 256).alias("block_id"),
+        F.concat(F.lit("c"), F.col("b.name")).alias("cursor"),
+        F.unhex(F.sha2("b.name", 256)).alias("hash"),
+        F.unhex(F.sha2("b.parent", 256)).alias("parent_hash"),
+        F.col("ts").cast("date").cast("string").alias("timestamp"),
+        F.col("b.orphan").alias("orphan"),
+    )
+
+
 def event_block() -> Column:
     return F.expr(f"event_id div {EVENTS_PER_BLOCK}")
 

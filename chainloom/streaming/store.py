@@ -58,6 +58,7 @@ class BatchStore:
         self._writes: dict[int, str] = {}
         self._sources: dict[str, Source] = {}
         self._opened: set[str] = set()
+        self._newest: dict[str, int] = {}
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -112,6 +113,14 @@ class BatchStore:
         marks = self.read(CURSORS.table, PROGRESS).select("batch", "write")
         return committed.join(marks, ["batch", "write"], "left_semi").drop("write")
 
+    def newest(self, table: str, schema: T.StructType) -> DataFrame:
+        """The rows of the last batch that wrote a table: for tables that each batch writes whole."""
+        rows = self.read(table, schema)
+        if table not in self._newest:
+            last = rows.agg(F.max("batch")).first()[0]
+            self._newest[table] = -1 if last is None else last
+        return rows.filter(F.col("batch") == self._newest[table]).drop("batch")
+
     def has_rows(self, table: str) -> bool:
         """Whether any batch of this table may be committed."""
         return self.last_batch() >= 0 and self._all(table, T.StructType([])) is not None
@@ -203,4 +212,5 @@ class BatchStore:
         self.source(source)
         batch = self.write(tables)
         self.mark(batch, source, epoch, cursors)
+        self._newest.update({table: batch for table in tables if table in self._newest})
         return batch
