@@ -200,25 +200,53 @@ def previous_value(
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """The last non-null `value` on an earlier row of the same key, NULL if there is none."""
+    return running_value(df, keys, order, value, "last", out=out, limit=limit)
+
+
+def _both(carried: Column, inside: Column, how: str) -> Column:
+    """The value of the rows of earlier segments and that of the rows of the own segment as one."""
+    if how == "last":
+        return F.coalesce(inside, carried)
+    if how == "first":
+        return F.coalesce(carried, inside)
+    if how == "sum":
+        return F.coalesce(carried + inside, carried, inside)
+    return F.least(carried, inside) if how == "min" else F.greatest(carried, inside)
+
+
+def running_value(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    how: str,
+    *,
+    out: str,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """The last, first, sum, min or max (`how`) of the non-null values on earlier rows of the same key."""
+    over = {
+        "last": lambda v: F.last(v, ignorenulls=True),
+        "first": lambda v: F.first(v, ignorenulls=True),
+        "sum": F.sum,
+        "min": F.min,
+        "max": F.max,
+    }[how]
     largest, _ = group_profile(df, keys)
     if largest <= limit:
         earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(earlier))
+        return df.withColumn(out, over(value).over(earlier))
     seg = _segments(df.withColumn("__value", value), keys, order)
-    per_seg = seg.groupBy(*keys, "__seg").agg(
-        F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(*order))).alias("__last")
-    )
+    at = F.when(F.col("__value").isNotNull(), F.struct(*order))
+    whole = {"last": lambda v: F.max_by(v, at), "first": lambda v: F.min_by(v, at)}.get(how, over)
+    per_seg = seg.groupBy(*keys, "__seg").agg(whole(F.col("__value")).alias("__part"))
     before = Window.partitionBy(*keys).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_seg.select(
-        *keys, "__seg", F.last("__last", ignorenulls=True).over(before).alias("__carried")
-    )
+    carried = per_seg.select(*keys, "__seg", over(F.col("__part")).over(before).alias("__carried"))
     inside = (
         Window.partitionBy(*keys, "__seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         join_same(seg, carried, [*keys, "__seg"])
-        .withColumn(
-            out, F.coalesce(F.last("__value", ignorenulls=True).over(inside), F.col("__carried"))
-        )
+        .withColumn(out, _both(F.col("__carried"), over(F.col("__value")).over(inside), how))
         .drop("__seg", "__carried", "__value")
     )

@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from chainloom.sources import shapes
 from chainloom.sources.blocks import block_range_scan, final_blocks, stream_blocks
 from chainloom.sources.forks import Links
 from chainloom.streaming.runs import run_stream, stream_balances
+from chainloom.operators.stores import StoreReader, store_values
 from chainloom.streaming.store import BatchStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -640,6 +642,40 @@ def q_balance_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balances.balance_changes(shapes.balances(spark, sf_dir))
 
 
+@query(
+    "store_reads",
+    f"""with d as (select event_id, user_id, event_id // 100 as block, 'Address:' || {ADDRESS_SQL} as key, ({CENTS_SQL})::varchar as balance from events)
+select event_id as ordinal, key,
+  (select arg_max(balance, event_id) from d e where e.user_id = d.user_id and e.block < d.block) as first,
+  lag(balance) over (partition by user_id order by event_id) as before, balance as at,
+  last_value(balance) over (partition by user_id, block order by event_id rows between unbounded preceding and unbounded following) as last
+from d""",
+)
+def q_store_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances as a store, read by every change as of four places: before its block, before and after itself,
+    and after its block."""
+    deltas = balances.balance_deltas(shapes.balances(spark, sf_dir))
+    store = StoreReader(deltas)
+    rows = deltas.select("block_num", "ordinal", "pos", "key")
+    read = store.get_last(store.get_at(store.get_before(store.get_first(rows, "key", "first"), "key", "before"), "key", "at"), "key", "last")
+    return read.select("ordinal", "key", "first", "before", "at", "last")
+
+
+@query(
+    "store_policies",
+    f"""with d as (select user_id, event_id, ({CENTS_SQL}) as cents from events)
+select 'Address:' || {ADDRESS_SQL} as key, arg_min(cents, event_id) as first_cents, sum(cents)::bigint as all_cents,
+  min(cents) as least_cents, max(cents) as most_cents
+from d group by user_id""",
+)
+def q_store_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One store per policy that counts or keeps the first, by account."""
+    deltas = balances.balance_deltas(shapes.balances(spark, sf_dir)).withColumn("value", F.col("value").cast("bigint"))
+    names = {"set_if_not_exists": "first_cents", "add": "all_cents", "min": "least_cents", "max": "most_cents"}
+    tables = [store_values(deltas, policy).withColumnRenamed("value", name) for policy, name in names.items()]
+    return reduce(lambda a, b: a.join(b, "key"), tables)
+
+
 # Keyed tables
 
 STORED = contract("accounts", "id text, value numeric(2), props text", "id")
@@ -1021,15 +1057,23 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return stream_blocks(spark, f"{sf_dir}/{name}.parquet*", schema)
 
 
+def _arriving(frame: DataFrame, place: Column, folder: str, files: int = 3) -> DataFrame:
+    """A table as a stream of a few files, one for each batch, in the order of `place`."""
+    size = frame.agg(F.max(place)).first()[0] // files + 1
+    for k in range(files):
+        part = F.least(F.floor(place / size), F.lit(files - 1))
+        frame.filter(part == k).coalesce(1).write.mode("append").parquet(folder)
+    return stream_blocks(frame.sparkSession, folder, frame.schema, files_per_batch=1)
+
+
 @query("stream_ingest", ORACLE["block_headers"])
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Block headers as a stream: the same rows as in batch."""
+    """Block headers as a stream in three batches: the same rows as in batch."""
     folder = _run_dir(spark)
     store = BatchStore(spark, f"{folder}/store")
     job = IngestJob("headers", "block_meta", [ETH_BLOCKHEADERS], algo="sha256")
-    run_stream(
-        job, store, shapes.blocks_of(_stream(spark, sf_dir, "orders")), f"{folder}/checkpoint"
-    )
+    arriving = _arriving(shapes.table(spark, sf_dir, "orders"), F.col("o_orderkey"), f"{folder}/orders")
+    run_stream(job, store, shapes.blocks_of(arriving), f"{folder}/checkpoint")
     return store.rows(ETH_BLOCKHEADERS)
 
 
@@ -1042,12 +1086,8 @@ def q_final_blocks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     what a later one may replace."""
     folder = _run_dir(spark)
     forked = shapes.forked_blocks(spark, sf_dir)
-    third = (forked.agg(F.max("block_num")).first()[0] + 3) // 3
     place = F.col("block_num") + F.when(F.col("orphan"), 5).otherwise(0)
-    for k in range(3):
-        some = forked.filter((place >= k * third) & ((place < (k + 1) * third) | F.lit(k == 2)))
-        some.coalesce(1).write.mode("append").parquet(f"{folder}/blocks")
-    arriving = stream_blocks(spark, f"{folder}/blocks", forked.schema, files_per_batch=1)
+    arriving = _arriving(forked, place, f"{folder}/blocks")
     store = BatchStore(spark, f"{folder}/store")
     job = IngestJob("final", "block_meta", [ETH_BLOCKHEADERS], algo="sha256", final_depth=FINAL_DEPTH)
     run_stream(job, store, arriving, f"{folder}/checkpoint")
@@ -1056,11 +1096,12 @@ def q_final_blocks_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("balance_changes_stream", ORACLE["balance_changes"])
 def q_balance_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balance changes as a stream: the same rows as in batch."""
+    """Balance changes as a stream in three batches, with keyed state: the same rows as in batch."""
     folder = _run_dir(spark)
     store = BatchStore(spark, f"{folder}/store")
-    changed = shapes.balances_of(_stream(spark, sf_dir, "events"))
-    stream_balances(store, changed, f"{folder}/checkpoint").awaitTermination()
+    events = shapes.table(spark, sf_dir, "events")
+    arriving = _arriving(events, shapes.event_block(), f"{folder}/events")
+    stream_balances(store, shapes.balances_of(arriving), f"{folder}/checkpoint").awaitTermination()
     return store.read("balance_changes", BALANCE_CHANGES).drop("batch")
 
 
@@ -1138,7 +1179,7 @@ def q_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as a stream: their links queued, attempted once, parsed and stored."""
     folder = _run_dir(spark)
     store = BatchStore(spark, f"{folder}/store")
-    pages = _linked_pages(_stream(spark, sf_dir, "pages"))
+    pages = _arriving(_linked_pages(shapes.table(spark, sf_dir, "pages")), F.col("block_num"), f"{folder}/pages")
     run_stream(_enrich_job(spark, sf_dir), store, pages, f"{folder}/checkpoint", now=NOW)
     titles = store.rows(PAGE_TITLES)
     return current_tasks(store).join(titles, "uri", "left").select(
@@ -1146,6 +1187,23 @@ def q_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("enrich_timers")
+def q_enrich_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a stream that ends at once: the links without content are tried again by a clock until they
+    are given up, with no further blocks. The clock of the query runs ahead, so a wait takes no real time."""
+    folder = _run_dir(spark)
+    store = BatchStore(spark, f"{folder}/store")
+    passed = [dt.datetime.fromisoformat(NOW)]
+
+    def clock() -> dt.datetime:
+        passed[0] += dt.timedelta(seconds=5)
+        return passed[0]
+
+    arriving = _arriving(_linked_pages(shapes.table(spark, sf_dir, "pages")), F.col("block_num"), f"{folder}/pages")
+    run_stream(_enrich_job(spark, sf_dir), store, arriving, f"{folder}/checkpoint", retries="1 second", clock=clock, now=NOW)
+    return current_tasks(store).select("uri", "state", "num_retries")
+
+
 @query(
     "enrich_retries",
     f"""select url as uri,
@@ -1172,6 +1230,9 @@ def q_enrich_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_tasks(store).select("uri", "state", "num_retries")
 
 
+ORACLE["enrich_timers"] = ORACLE["enrich_retries"]
+
+
 @query(
     "changes_run",
     f"""with {STORED_SQL},
@@ -1201,6 +1262,27 @@ def q_changes_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.unionByName(alive)
 
 
+BALANCES = contract("balances", "id text, account text, balance text", "id")
+
+
+@query(
+    "store_module_run",
+    f"""select {ADDRESS_SQL} as id, {ADDRESS_SQL} as account, arg_max({CENTS_SQL}, event_id)::varchar as balance
+from events group by user_id""",
+)
+def q_store_module_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of a store module and the map module that reads it, by name, in two batches of blocks."""
+    store = BatchStore(spark, f"{_run_dir(spark)}/store")
+    job = IngestJob("balances", "balance_table", [BALANCES], mode="changes")
+    changed = shapes.balances(spark, sf_dir).withColumns(
+        {"block_id": F.col("block_num").cast("string"), "cursor": F.col("block_num").cast("string")}
+    )
+    half = changed.agg(F.max("block_num")).first()[0] // 2 + 1
+    for k in range(2):
+        run_batch(job, store, changed.filter(F.expr(f"block_num div {half}") == k))
+    return store.folded(BALANCES)
+
+
 @query(
     "ingest_run",
     f"""with p as ({ORACLE['posts']})

@@ -17,20 +17,47 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from chainloom.contracts import CREATE, DELETE, RESOLVER_TASKS, UPDATE, Contract, ContractError
+from chainloom.functions.skew import fits_broadcast, join_same
 from chainloom.operators import balances, blocks, changes, keyed, links, logs, progress
+from chainloom.operators.stores import StoreReader, check_policy
 from chainloom.sources.blocks import block_range_scan, check_range, spread
 from chainloom.sources.forks import Links, follow_chain
 from chainloom.streaming.store import BatchStore
 
 Module = Callable[[DataFrame], DataFrame]
 
+
+@dataclass(frozen=True)
+class StoreModule:
+    """Keeps values by key over all blocks of a run. `deltas` gives block_num, ordinal, pos, key and value (text,
+    or a number for the policies that count) from blocks; a NULL value of `set` deletes its key."""
+
+    name: str
+    deltas: Module
+    policy: str = "set"
+
+    def __post_init__(self) -> None:
+        check_policy(self.policy)
+
+
+@dataclass(frozen=True)
+class MapModule:
+    """Change records from blocks and from the stores it names, read as of any place in the blocks."""
+
+    records: Callable[[DataFrame, Mapping[str, StoreReader]], DataFrame]
+    stores: tuple[StoreModule, ...]
+
+
 # Modules by name: blocks (or their logs) in, change records out.
-MODULES: dict[str, Module] = {
+MODULES: dict[str, Module | MapModule] = {
     "block_meta": blocks.block_headers,
     "map_posts": logs.posts,
     "extract_events": lambda frame: logs.event_changes(
         logs.event_rows(frame, commitments=logs.block_commitment(frame))
     ),
+    "balance_table": MapModule(
+        balances.balance_records, (StoreModule("store_balance", balances.balance_deltas),)
+    ),
 }
 
 REJECTS = T.StructType(
@@ -44,9 +71,6 @@ REJECTS = T.StructType(
 )
 
 
-BALANCE_KNOWN = T.StructType(
-    [T.StructField("address", T.BinaryType()), T.StructField("first_block", T.LongType())]
-)
 BALANCE_LATEST = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("balance", T.StringType())]
 )
@@ -89,7 +113,7 @@ class IngestJob:
     """
 
     run_id: str
-    module: str | Module
+    module: str | Module | MapModule
     contracts: Sequence[Contract]
     start: int = 0
     stop: int | None = None
@@ -111,13 +135,43 @@ class IngestJob:
             raise ContractError("mode is 'append' or 'changes'")
 
     @property
-    def transform(self) -> Module:
+    def transform(self) -> Module | MapModule:
         return MODULES[self.module] if isinstance(self.module, str) else self.module
 
 
-def change_records(job: IngestJob, todo: DataFrame) -> DataFrame:
+def earlier_values(store: BatchStore, module: StoreModule, deltas: DataFrame) -> DataFrame | None:
+    """The values that earlier batches left for the keys of `deltas`: the large side is scanned, not shuffled,
+    while a batch has few keys."""
+    rows = store.read(f"store_{module.name}", store_schema(deltas))
+    if not store.has_rows(f"store_{module.name}"):
+        return None
+    keys = deltas.select("key").distinct()
+    if fits_broadcast(keys):
+        keys = F.broadcast(keys)
+    own = join_same(rows, keys, ["key"], "left_semi")
+    last = own.groupBy("key").agg(F.max_by(F.struct("value"), "batch").alias("last"))
+    return last.select("key", F.col("last")["value"].alias("value")).filter("value is not null")
+
+
+def store_schema(deltas: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField(c, deltas.schema[c].dataType) for c in ("key", "value")])
+
+
+def run_stores(job: IngestJob, store: BatchStore, todo: DataFrame) -> tuple[dict[str, StoreReader], dict[str, DataFrame]]:
+    """(the readers of a module's stores, the values that this batch leaves in them)."""
+    readers, tables = {}, {}
+    for module in job.transform.stores if isinstance(job.transform, MapModule) else ():
+        deltas = module.deltas(todo)
+        reader = StoreReader(deltas, module.policy, earlier_values(store, module, deltas))
+        readers[module.name] = reader
+        tables[f"store_{module.name}"] = reader.values()
+    return readers, tables
+
+
+def change_records(job: IngestJob, todo: DataFrame, stores: Mapping[str, StoreReader] | None = None) -> DataFrame:
     """The change records of the blocks, one row each."""
-    records = job.transform(todo)
+    module = job.transform
+    records = module.records(todo, stores or {}) if isinstance(module, MapModule) else module(todo)
     if "record_changes" in records.columns:
         records = changes.explode_changes(records).filter(F.col("record").isNotNull())
     return records
@@ -209,7 +263,9 @@ def process_batch(
     if job.final_depth is not None:
         todo, waiting, kept = hold_back(job, store, todo)
         held.append(kept)
-    records = change_records(job, spread(todo))
+    todo = spread(todo)
+    readers, left = run_stores(job, store, todo)
+    records = change_records(job, todo, readers)
     unknown = changes.route_by_table(records, job.contracts).filter("reject_reason is not null")
     rejects = [_rejects(unknown, F.col("record"), "reject_reason", prefix="")]
     tables: dict[str, DataFrame] = {}
@@ -261,7 +317,11 @@ def process_batch(
         if tasks:
             known = store.read(RESOLVER_TASKS.table, RESOLVER_TASKS.schema)
             new = links.enqueue_tasks(known, reduce(DataFrame.unionByName, tasks), now)
-            tables[RESOLVER_TASKS.table] = new.select(*RESOLVER_TASKS.names)
+            new = new.select(*RESOLVER_TASKS.names).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(new)
+            tables[RESOLVER_TASKS.table] = new
+            tables[OPEN_TASKS] = open_tasks(store).unionByName(new)
+        tables.update(left)
         if waiting is not None:
             tables[f"waiting_{job.run_id}"] = waiting
         store.commit(tables, progress.batch_progress(todo, job.run_id), source, epoch)
@@ -270,6 +330,22 @@ def process_batch(
             frame.unpersist()
 
 
+# The tasks that are still queued, written whole by each batch that changes them.
+OPEN_TASKS = "open_tasks"
+
+
+def open_tasks(store: BatchStore) -> DataFrame:
+    """The tasks that are still queued: as many rows as are open, however many were finished before."""
+    if store.has_rows(OPEN_TASKS):
+        return store.newest(OPEN_TASKS, RESOLVER_TASKS.schema)
+    return links.queued_tasks(current_tasks(store)).select(*RESOLVER_TASKS.names)
+
+
+def next_due(store: BatchStore) -> dt.datetime | None:
+    """When the next task is due, None without any."""
+    return open_tasks(store).agg(F.min("due_at").alias("due")).first()["due"]
+
+
 def current_tasks(store: BatchStore) -> DataFrame:
     """Every task as its last batch left it."""
     log = store.read(RESOLVER_TASKS.table, RESOLVER_TASKS.schema)
@@ -298,7 +374,8 @@ def resolve_batch(
     if store.has(source, epoch):
         return
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    due = links.queued_tasks(current_tasks(store), None if at_once else now)
+    queued = open_tasks(store)
+    due = links.queued_tasks(queued, None if at_once else now)
     content = enrichment.content() if enrichment.content else None
     resolved = links.attempt_tasks(
         due,
@@ -313,7 +390,12 @@ def resolve_batch(
     try:
         if resolved.isEmpty():
             return
-        tables = {RESOLVER_TASKS.table: resolved.select(*RESOLVER_TASKS.names)}
+        tried = resolved.select(*RESOLVER_TASKS.names)
+        later = queued.limit(0) if at_once else queued.join(due.select(*links.TASK_KEY), list(links.TASK_KEY), "left_anti")
+        tables = {
+            RESOLVER_TASKS.table: tried,
+            OPEN_TASKS: later.select(*RESOLVER_TASKS.names).unionByName(links.queued_tasks(tried)),
+        }
         for contract in enrichment.contracts:
             rows = links.parsed_rows(resolved, contract)
             fresh, _ = keyed.insert_append(
@@ -344,8 +426,7 @@ def resolve_all(
     """
     epoch = store.source(source).last_epoch
     while True:
-        queued = links.queued_tasks(current_tasks(store))
-        due = queued.agg(F.min("due_at").alias("due")).first()["due"]
+        due = next_due(store)
         if due is None:
             return
         now = clock()
@@ -366,19 +447,15 @@ def run_batch(
         resolve_batch(job.enrichment, store, f"links:{job.run_id}", epoch, now, at_once=True)
 
 
-def balance_batch(store: BatchStore, frame: DataFrame, source: str, epoch: int) -> None:
-    """One batch of balance changes. Tables: `balance_changes`, and per batch the addresses it saw
-    first (`balance_known`) and the last balance of each of its addresses (`balance_latest`)."""
+def balance_batch(store: BatchStore, seen: DataFrame, source: str, epoch: int) -> None:
+    """One batch of balances with the first block of their address. Tables: `balance_changes`, and per batch
+    the last balance of each of its addresses (`balance_latest`)."""
     if store.has(source, epoch):
         return
-    known = store.read("balance_known", BALANCE_KNOWN).drop("batch")
-    changed = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    changed = seen.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = balances.first_blocks(changed)
-        seen = keyed.existing_keys(first, known, ["address"])
         tables = {
-            "balance_changes": balances.balance_changes(changed, known),
-            "balance_known": first.join(seen, "address", "left_anti"),
+            "balance_changes": balances.typed_balances(changed),
             "balance_latest": balances.balance_latest(changed),
         }
         store.commit(tables, None, source, epoch)

@@ -8,6 +8,7 @@ that was never marked is never seen, whatever is committed after it. One writer
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -59,6 +60,8 @@ class BatchStore:
         self._sources: dict[str, Source] = {}
         self._opened: set[str] = set()
         self._newest: dict[str, int] = {}
+        # One batch at a time, also where a run and the retries of its links are two streams.
+        self.lock = threading.RLock()
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"

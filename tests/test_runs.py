@@ -31,6 +31,8 @@ from chainloom.plans.ingest import (
     IngestJob,
     current_balances,
     current_tasks,
+    next_due,
+    open_tasks,
     process_batch,
     resolve_all,
     resolve_batch,
@@ -340,6 +342,35 @@ def test_stream_with_links(spark, tmp_path):
     assert store.rows(LENS_POSTS_OFFCHAIN).count() == 3
 
 
+def test_retries_of_a_quiet_stream_wake_by_themselves(spark, tmp_path):
+    """Blocks have ended long before the retry is due; nobody calls anything."""
+    write_files(spark, tmp_path / "in", range(0, 4))
+    passed = [dt.datetime(2024, 1, 1, 12)]
+
+    def clock():
+        passed[0] += dt.timedelta(seconds=25)
+        return passed[0]
+
+    store = BatchStore(spark, str(tmp_path / "s"))
+    job = IngestJob("linked", with_links, [LINKED], enrichment=enrichment(spark, 0, 1))
+    arriving = stream(spark, tmp_path / "in")
+    run_stream(job, store, arriving, str(tmp_path / "check"), retries="500 milliseconds", clock=clock, now=passed[0])
+    assert states(store) == {"ar://p0": (6, 0), "ar://p1": (6, 0), "ar://p2": (3, 1)}
+    assert open_tasks(store).count() == 0
+    assert not spark.streams.active
+
+
+def test_open_tasks_are_those_that_the_log_leaves_queued(spark, tmp_path):
+    noon = dt.datetime(2024, 1, 1, 12)
+    store = BatchStore(spark, str(tmp_path / "s"))
+    job = IngestJob("linked", with_links, [LINKED], enrichment=enrichment(spark, 0))
+    for step in range(3):
+        run_batch(job, store, blocks_frame(spark, range(step, step + 1)), noon + dt.timedelta(seconds=step))
+        folded = links.queued_tasks(current_tasks(store)).select("uri", "num_retries", "due_at").collect()
+        assert sorted(map(tuple, folded)) == sorted(map(tuple, open_tasks(store).select("uri", "num_retries", "due_at").collect()))
+    assert next_due(BatchStore(spark, str(tmp_path / "s"))) == next_due(store) is not None
+
+
 BALANCES = "block_num long, end_ordinal long, pos int, address binary, new_value binary"
 
 
@@ -358,6 +389,19 @@ def test_balances_in_batches(spark, tmp_path):
     assert latest == sorted(map(tuple, balances.balance_latest(frame).collect()))
 
 
+def test_state_of_addresses_over_batches(spark, tmp_path):
+    """Rows of a batch in any order, a block that two batches share, and no address at all."""
+    rows = [(b, 100 - b, p, None if b % 5 == 0 else bytearray([b % 3]), bytearray([b])) for b in range(1, 30) for p in (0, 1)]
+    frame = spark.createDataFrame(rows, BALANCES)
+    for i, part in enumerate(("block_num <= 7 and pos = 0 or block_num < 7", "block_num = 7 and pos = 1 or block_num between 8 and 20", "block_num > 20")):
+        frame.filter(part).orderBy(F.rand(3)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/part={i}")
+    store = BatchStore(spark, str(tmp_path / "s"))
+    source = stream_blocks(spark, f"{tmp_path}/in/*", frame.schema, files_per_batch=1)
+    stream_balances(store, source, str(tmp_path / "check")).awaitTermination()
+    got = store.read("balance_changes", BALANCE_CHANGES).drop("batch")
+    assert sorted(map(str, got.collect())) == sorted(map(str, balances.balance_changes(frame).collect()))
+
+
 def test_json_blocks_with_nested_changes(spark, tmp_path):
     one = {"record": "points", "id": "a", "ordinal": 1, "operation": 1}
     fields = [{"name": "n", "new_value": {"int64": 4}}, {"name": "n", "new_value": {"uint32": 5}}]
