@@ -180,7 +180,7 @@ ETH_EVENTS = contract(
     "eth_events",
     "id text, blocknumber integer, blockhash text, txhash text, txindex integer, logindex integer,"
     "address text, topic0 text, topic1 text, topic2 text, topic3 text, topic4 text, data text,"
-    "commitment text, num_logs integer",
+    "addressF text, commitment text, num_logs integer",
     "id",
 )
 BLOCK_META = contract(

@@ -98,3 +98,55 @@ def little_endian_hex(word: Column) -> Column:
     even = F.regexp_extract(word, "^(?:00)*((?:..)+)$", 1)
     swapped = F.regexp_replace(F.reverse(even), "(.)(.)", "$2$1")
     return F.concat(swapped, F.when(F.substring(even, 1, 1) >= "8", F.lit("00")).otherwise(F.lit("")))
+
+
+# The prime of the field whose digits stand for a number (fixed value).
+FIELD_PRIME = 2**64 - 2**32 + 1
+FIELD_DIGITS = 5
+LIMB = 2**32
+
+
+def byte_swapped(digits: Column) -> Column:
+    """Hex text with its bytes in the other order."""
+    return F.regexp_replace(F.reverse(digits), "(.)(.)", "$2$1")
+
+
+def field_digits(word: Column) -> Column:
+    """The number of a 32-byte little-endian word as five digits in base FIELD_PRIME, the lowest first, each as 8
+    little-endian bytes in hex.
+
+    The number is eight limbs of 32 bits. Dividing them by the prime, from the highest on, leaves a quotient of
+    eight limbs and one digit. A remainder times 2^32 plus a limb stays below 2^96 and so inside DECIMAL.
+    """
+    prime, limb = F.lit(Decimal(FIELD_PRIME)), F.lit(Decimal(LIMB))
+    number = byte_swapped(word)
+    limbs = F.transform(
+        F.sequence(F.lit(0), F.lit(7)),
+        lambda i: F.conv(F.substring(number, i * 8 + 1, F.lit(8)), 16, 10).cast("decimal(10,0)"),
+    )
+    zero = F.struct(F.array().cast("array<decimal(10,0)>").alias("quotient"), F.lit(0).cast("decimal(20,0)").alias("rest"))
+
+    def one(state: Column, part: Column) -> Column:
+        total = (state["rest"] * limb + part).cast("decimal(38,0)")
+        rest = (total % prime).cast("decimal(20,0)")
+        return F.transform(
+            F.array(F.struct(total.alias("total"), rest.alias("rest"))),
+            lambda s: F.struct(
+                F.array_append(state["quotient"], F.call_function("div", s["total"], prime).cast("decimal(10,0)")).alias("quotient"),
+                s["rest"].alias("rest"),
+            ),
+        )[0]
+
+    def digit(state: Column, _: Column) -> Column:
+        divided = F.array(F.aggregate(state["limbs"], zero, one))
+        return F.transform(
+            divided,
+            lambda d: F.struct(
+                d["quotient"].alias("limbs"), F.array_append(state["digits"], d["rest"]).alias("digits")
+            ),
+        )[0]
+
+    start = F.struct(limbs.alias("limbs"), F.array().cast("array<decimal(20,0)>").alias("digits"))
+    digits = F.aggregate(F.sequence(F.lit(1), F.lit(FIELD_DIGITS)), start, digit)["digits"]
+    shown = F.transform(digits, lambda d: byte_swapped(F.lpad(F.lower(F.conv(d.cast("string"), 10, 16)), 16, "0")))
+    return F.when(F.length(word) == WORD, F.array_join(shown, ""))

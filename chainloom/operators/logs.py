@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from chainloom.functions.binding import bind
 from chainloom.functions.events import EVENT_TYPES, WORD_BYTES, parameters, read_parameters, topic0
 from chainloom.functions.hexes import (
+    field_digits,
     hex_text,
     little_endian_hex,
     right_padded_word,
@@ -179,6 +180,8 @@ def event_rows(
     else:
         counts = counts.withColumn("commitment", F.lit(None).cast("string"))
     joined = join_group_stats(logs, counts, ["block_num"], limit=limit)
+    # A step of its own: inside its lambdas the new column `address` would take the place of the log's.
+    joined = joined.withColumn("addressF", field_digits(right_padded_word(F.col("address"))))
     block_hash, tx_hash = hex_text(F.col("block_hash")), hex_text(F.col("tx_hash"))
     topics = [
         right_padded_word(F.get("topics", F.lit(i))).alias(f"topic{i}") for i in range(TOPIC_COLUMNS)
@@ -196,6 +199,7 @@ def event_rows(
         right_padded_word(F.col("address")).alias("address"),
         *topics,
         data_words(F.col("data"), legacy_windows).alias("data"),
+        "addressF",
         "commitment",
         "num_logs",
     )
@@ -203,7 +207,7 @@ def event_rows(
 
 def event_changes(rows: DataFrame, table: str = "eth_events") -> DataFrame:
     """The rows of `event_rows` as change records; absent topics give no field."""
-    plain = ["blockhash", "txhash", "address", "data"]
+    plain = ["blockhash", "txhash", "address", "data", "addressF"]
     unsigned = {"blocknumber": "uint64", "num_logs": "uint64", "txindex": "uint32", "logindex": "uint32"}
     fields = [field(n, value(**{kind: F.col(n)})) for n, kind in unsigned.items()]
     fields += [field(n, value(string=F.col(n))) for n in plain]

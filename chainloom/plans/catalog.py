@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from chainloom.contracts import CREATE, DELETE, ETH_BLOCKHEADERS, LENS_POSTS, UPDATE, contract
 from chainloom.contracts import Column as ContractColumn
 from chainloom.functions.binding import bind
+from chainloom.functions.hexes import FIELD_DIGITS, FIELD_PRIME, LIMB
 from chainloom.functions.posts_json import RECORDS
 from chainloom.functions.skew import ensure_checkpoint_dir
 from chainloom.functions.typed import (
@@ -35,7 +36,7 @@ from chainloom.plans.ingest import (
     run_batch,
 )
 from chainloom.sources import shapes
-from chainloom.sources.blocks import block_range_scan, final_blocks, stream_blocks
+from chainloom.sources.blocks import block_range_scan, final_blocks, read_blocks, stream_blocks, write_blocks
 from chainloom.sources.forks import Links
 from chainloom.streaming.runs import run_stream, stream_balances
 from chainloom.operators.stores import StoreReader, store_values
@@ -48,6 +49,7 @@ ORACLE: dict[str, str] = {}
 
 NOW = "2024-02-01 00:00:00"
 RANGE_SPLIT = 1000
+BUCKET_WIDTH = 1500
 FINAL_DEPTH = 12
 PAGE_SIZE_LIMIT = 20_000
 GATEWAY = "http://localhost:5001"
@@ -86,6 +88,20 @@ def q_block_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lower.unionByName(upper)
 
 
+@query(
+    "block_bucket_scan",
+    f"""select o_orderkey as block_num, sha256(o_orderkey::varchar) as block_id
+from orders where o_orderkey >= {RANGE_SPLIT} and o_orderkey < {4 * RANGE_SPLIT}""",
+)
+def q_block_bucket_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All blocks written in folders by block range, and a range of them read from the folders it touches."""
+    folder = f"{ensure_checkpoint_dir(spark)}/buckets/{uuid.uuid4().hex}"
+    write_blocks(shapes.blocks(spark, sf_dir), folder, BUCKET_WIDTH)
+    return read_blocks(
+        spark, folder, RANGE_SPLIT, 4 * RANGE_SPLIT, columns=["block_num", "block_id"], width=BUCKET_WIDTH
+    )
+
+
 @query(
     "final_blocks",
     f"""select o_orderkey as block_num, sha256(o_orderkey::varchar) as block_id
@@ -514,13 +530,30 @@ log as (
       || rpad(link_hex, ((length(link_hex) + 63) // 64 * 64)::int, '0') || repeat('0', 64) as data
   from link)"""
 
-EVENT_ROWS_SQL = f"""with {LOGS_SQL}
+def _swapped_sql(digits: str) -> str:
+    return f"list_aggregate(list_reverse(regexp_extract_all({digits}, '..')), 'string_agg', '')"
+
+
+def _field_sql() -> str:
+    """Every address with its digits in base p: long division of eight limbs, five times."""
+    steps = [f"('0x' || substr(h, {8 * k + 1}, 8))::hugeint as q0_{k}" for k in range(8)]
+    for d in range(1, FIELD_DIGITS + 1):
+        for k in range(8):
+            before = f"r{d}_{k - 1}" if k else "0::hugeint"
+            steps.append(f"{before} * {LIMB} + q{d - 1}_{k} as t{d}_{k}")
+            steps.append(f"t{d}_{k} // {FIELD_PRIME}::hugeint as q{d}_{k}, t{d}_{k} % {FIELD_PRIME}::hugeint as r{d}_{k}")
+    shown = " || ".join(_swapped_sql(f"lpad(lower(to_hex(r{d}_7::ubigint)), 16, '0')") for d in range(1, FIELD_DIGITS + 1))
+    return f"""field as (select word, {shown} as digits from (select *, {', '.join(steps)}
+  from (select distinct address as word, {_swapped_sql('address')} as h from log)))"""
+
+
+EVENT_ROWS_SQL = f"""with {LOGS_SQL}, {_field_sql()}
 select '{logs.EVENT_ID_LABEL}<' || block_hash || '_' || tx_hash || '_' || tx_index || '_' || log_index || '>' as id,
   block_num as blocknumber, block_hash as blockhash, tx_hash as txhash, tx_index as txindex,
   log_index as logindex, address, topic0, topic1, topic2, null::varchar as topic3,
-  null::varchar as topic4, {{data}} as data,
+  null::varchar as topic4, {{data}} as data, digits as "addressF",
   (count(*) over (partition by block_num))::int as num_logs
-from log"""
+from log join field on word = address"""
 
 
 def _event_rows(spark: SparkSession, sf_dir: str, legacy: bool) -> DataFrame:
@@ -1179,7 +1212,7 @@ def q_enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as a stream: their links queued, attempted once, parsed and stored."""
     folder = _run_dir(spark)
     store = BatchStore(spark, f"{folder}/store")
-    pages = _arriving(_linked_pages(shapes.table(spark, sf_dir, "pages")), F.col("block_num"), f"{folder}/pages")
+    pages = _arriving(_linked_pages(shapes.table(spark, sf_dir, "pages")), F.col("block_num"), f"{folder}/pages", 2)
     run_stream(_enrich_job(spark, sf_dir), store, pages, f"{folder}/checkpoint", now=NOW)
     titles = store.rows(PAGE_TITLES)
     return current_tasks(store).join(titles, "uri", "left").select(
@@ -1199,7 +1232,7 @@ def q_enrich_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
         passed[0] += dt.timedelta(seconds=5)
         return passed[0]
 
-    arriving = _arriving(_linked_pages(shapes.table(spark, sf_dir, "pages")), F.col("block_num"), f"{folder}/pages")
+    arriving = _arriving(_linked_pages(shapes.table(spark, sf_dir, "pages")), F.col("block_num"), f"{folder}/pages", 2)
     run_stream(_enrich_job(spark, sf_dir), store, arriving, f"{folder}/checkpoint", retries="1 second", clock=clock, now=NOW)
     return current_tasks(store).select("uri", "state", "num_retries")
 

@@ -58,6 +58,23 @@ def final_blocks(
     return blocks.filter(F.col(number) <= last)
 
 
+BUCKET = "bucket"
+
+
+def write_blocks(blocks: DataFrame, path: str, width: int, *, number: str = "block_num", mode: str = "error") -> None:
+    """Write blocks into a folder per range of `width` numbers, sorted by number inside the files.
+
+    Rows are range-partitioned by number, so a folder gets a few files whatever its size; blocks without a number
+    have a folder of their own, which no range reads. `read_blocks` with the same width opens only the folders
+    of its range.
+    """
+    if width <= 0:
+        raise ValueError("a bucket holds at least one number")
+    bucket = F.floor(F.col(number) / width).cast("bigint")
+    placed = blocks.withColumn(BUCKET, bucket).repartitionByRange(BUCKET, number).sortWithinPartitions(BUCKET, number)
+    placed.write.mode(mode).partitionBy(BUCKET).parquet(path)
+
+
 def read_blocks(
     spark: SparkSession,
     path: str,
@@ -68,12 +85,22 @@ def read_blocks(
     number: str = "block_num",
     fmt: str = "parquet",
     schema: T.StructType | None = None,
+    width: int | None = None,
 ) -> DataFrame:
-    """A block range of a Parquet, JSON or other file table."""
+    """A block range of a Parquet, JSON or other file table.
+
+    With `width`, that of `write_blocks`, the range becomes a filter of folders as well, so that files of other
+    ranges are neither listed for the scan nor opened.
+    """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    ranged = block_range_scan(reader.load(path), start, stop, number=number)
+    found = reader.load(path)
+    if width is not None:
+        found = found.filter(F.col(BUCKET) >= start // width)
+        found = found.filter(F.col(BUCKET) <= (stop - 1) // width) if stop else found
+    ranged = block_range_scan(found, start, stop, number=number)
+    ranged = ranged.drop(BUCKET) if width is not None else ranged
     return ranged.select(*columns) if columns else ranged
 
 

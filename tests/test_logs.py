@@ -204,8 +204,8 @@ def test_event_rows(spark, limit):
     none = by_id["tests.commitments.BLOCK_COMMITMENT<02_01_1_0>"]
     assert none["topic0"] is None and none["num_logs"] == 3
     assert len({r["commitment"] for r in rows}) == 2
-    fields = logs.event_changes(logs.event_rows(frame)).filter("size(fields) = 14").count()
-    assert fields == 2 + 0  # nine common fields and five topics: positions 5 and 6 of the first block
+    fields = logs.event_changes(logs.event_rows(frame)).filter("size(fields) = 15").count()
+    assert fields == 2 + 0  # ten common fields and five topics: positions 5 and 6 of the first block
 
 
 def test_commitment_depends_on_every_byte(spark):
@@ -216,6 +216,22 @@ def test_commitment_depends_on_every_byte(spark):
     assert roots[1] != roots[2]
 
 
+def test_digits_in_the_field(spark):
+    """Digits in base p give the number back."""
+    digest = int.from_bytes(hashlib.sha256(b"hello world").digest(), "little")
+    prime = hexes.FIELD_PRIME
+    numbers = [*NUMBERS, digest, prime - 1, prime, prime + 1, prime**2 - 1, prime**3, prime**4 - 1]
+    rows = [(n.to_bytes(32, "little").hex(),) for n in numbers] + [(None,), ("00",)]
+    got = spark.createDataFrame(rows, "w string").select("w", hexes.field_digits(F.col("w")).alias("d")).collect()
+    digits = {r["w"]: r["d"] for r in got}
+    assert digits[None] is None and digits["00"] is None
+    for n in numbers:
+        text = digits[n.to_bytes(32, "little").hex()]
+        parts = [int.from_bytes(bytes.fromhex(text[i : i + 16]), "little") for i in range(0, 80, 16)]
+        assert len(text) == 80 and max(parts) < prime
+        assert sum(part * prime**i for i, part in enumerate(parts)) == n
+
+
 def test_keccak():
     assert keccak256(b"").hex() == "c5d2460186f7233c927e7db2dcc703c0e500b653ca82273b7bfad8045d85a470"
     transfer = "ddf252ad1be2c89b69c2b068fc378daa952ba7f163c4a11628f55a4df523b3ef"

@@ -38,7 +38,7 @@ from chainloom.plans.ingest import (
     resolve_batch,
     run_batch,
 )
-from chainloom.sources.blocks import block_range_scan, check_range, final_blocks, read_blocks, stream_blocks
+from chainloom.sources.blocks import block_range_scan, check_range, final_blocks, read_blocks, stream_blocks, write_blocks
 from chainloom.streaming.runs import run_stream, stream_balances
 from chainloom.streaming.store import BatchStore
 
@@ -102,6 +102,26 @@ def test_range_reaches_the_scan(spark, tmp_path):
     assert ranged.count() == 10
 
 
+def test_range_opens_only_its_buckets(spark, tmp_path):
+    frame = blocks_frame(spark, range(0, 100)).unionByName(blocks_frame(spark, [0]).withColumn("block_num", F.lit(None).cast("long")))
+    write_blocks(frame, str(tmp_path / "b"), 16)
+    assert len(list((tmp_path / "b").glob("bucket=*"))) == 8
+    for start, stop in ((0, 0), (16, 32), (15, 33), (40, 0), (99, 100), (500, 0)):
+        if start == stop == 0:
+            got = read_blocks(spark, str(tmp_path / "b"), 0, None, width=16)
+        else:
+            got = read_blocks(spark, str(tmp_path / "b"), start, stop, width=16)
+        last = stop or 100
+        assert sorted(r["block_num"] for r in got.collect()) == list(range(start, last))
+        assert got.columns == frame.columns
+    some = read_blocks(spark, str(tmp_path / "b"), 16, 32, width=16)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "(bucket" in plan
+    assert {r[0].split("bucket=")[1].split("/")[0] for r in some.select(F.input_file_name()).distinct().collect()} == {"1"}
+    with pytest.raises(ValueError):
+        write_blocks(frame, str(tmp_path / "c"), 0)
+
+
 def test_cursor_steps(spark):
     shape = "id string, cursor string, block_num long, block_id string"
     def upsert(stored, *row):
