@@ -115,32 +115,40 @@ def field_digits(word: Column) -> Column:
     """The number of a 32-byte little-endian word as five digits in base FIELD_PRIME, the lowest first, each as 8
     little-endian bytes in hex.
 
-    The number is eight limbs of 32 bits. Dividing them by the prime, from the highest on, leaves a quotient of
-    eight limbs and one digit. A remainder times 2^32 plus a limb stays below 2^96 and so inside DECIMAL.
+    The number is up to eight limbs of 32 bits, without zeros in front. Dividing them by the prime, from the highest
+    on, leaves the limbs of the quotient and one digit. A remainder times 2^32 plus a limb stays below 2^96 and so
+    inside DECIMAL.
     """
     prime, limb = F.lit(Decimal(FIELD_PRIME)), F.lit(Decimal(LIMB))
-    number = byte_swapped(word)
-    limbs = F.transform(
-        F.sequence(F.lit(0), F.lit(7)),
-        lambda i: F.conv(F.substring(number, i * 8 + 1, F.lit(8)), 16, 10).cast("decimal(10,0)"),
-    )
-    zero = F.struct(F.array().cast("array<decimal(10,0)>").alias("quotient"), F.lit(0).cast("decimal(20,0)").alias("rest"))
+    none = F.array().cast("array<decimal(10,0)>")
+
+    def split(number: Column) -> Column:
+        size = F.ceil(F.length(number) / 8).cast("int")
+        padded = F.lpad(number, size * 8, F.lit("0"))
+        parts = F.transform(
+            F.sequence(F.lit(1), size * 8, F.lit(8)),
+            lambda at: F.conv(F.substring(padded, at, F.lit(8)), 16, 10).cast("decimal(10,0)"),
+        )
+        return F.when(size > 0, parts).otherwise(none)
+
+    limbs = F.transform(F.array(F.ltrim(byte_swapped(word), F.lit("0"))), split)[0]
+    zero = F.struct(none.alias("quotient"), F.lit(0).cast("decimal(20,0)").alias("rest"))
+
+    def divided(quotient: Column, total: Column) -> Column:
+        upper = F.call_function("div", total, prime).cast("decimal(10,0)")
+        in_front = (F.size(quotient) == 0) & (total < prime)
+        return F.struct(
+            F.when(in_front, quotient).otherwise(F.array_append(quotient, upper)).alias("quotient"),
+            (total % prime).cast("decimal(20,0)").alias("rest"),
+        )
 
     def one(state: Column, part: Column) -> Column:
         total = (state["rest"] * limb + part).cast("decimal(38,0)")
-        rest = (total % prime).cast("decimal(20,0)")
-        return F.transform(
-            F.array(F.struct(total.alias("total"), rest.alias("rest"))),
-            lambda s: F.struct(
-                F.array_append(state["quotient"], F.call_function("div", s["total"], prime).cast("decimal(10,0)")).alias("quotient"),
-                s["rest"].alias("rest"),
-            ),
-        )[0]
+        return F.transform(F.array(total), lambda t: divided(state["quotient"], t))[0]
 
     def digit(state: Column, _: Column) -> Column:
-        divided = F.array(F.aggregate(state["limbs"], zero, one))
         return F.transform(
-            divided,
+            F.array(F.aggregate(state["limbs"], zero, one)),
             lambda d: F.struct(
                 d["quotient"].alias("limbs"), F.array_append(state["digits"], d["rest"]).alias("digits")
             ),
