@@ -299,7 +299,7 @@ def process_batch(
                 tables[f"{contract.table}_changes"] = taken.drop("reject_reason")
                 continue
             fresh, repeated = keyed.insert_append(
-                store.rows(contract) if store.has_rows(contract.table) else None,
+                store.rows_near(contract, valid) if store.has_rows(contract.table) else None,
                 valid,
                 contract.keys,
                 on_duplicate=job.on_duplicate,
@@ -324,7 +324,8 @@ def process_batch(
         tables.update(left)
         if waiting is not None:
             tables[f"waiting_{job.run_id}"] = waiting
-        store.commit(tables, progress.batch_progress(todo, job.run_id), source, epoch)
+        keys = {c.table: c.keys for c in job.contracts if c.table in tables}
+        store.commit(tables, progress.batch_progress(todo, job.run_id), source, epoch, keys)
     finally:
         for frame in held:
             frame.unpersist()
@@ -399,14 +400,14 @@ def resolve_batch(
         for contract in enrichment.contracts:
             rows = links.parsed_rows(resolved, contract)
             fresh, _ = keyed.insert_append(
-                store.rows(contract) if store.has_rows(contract.table) else None,
+                store.rows_near(contract, rows) if store.has_rows(contract.table) else None,
                 rows,
                 contract.keys,
                 on_duplicate="reject",
                 on_conflict="reject",
             )
             tables[contract.table] = fresh.select(*contract.names)
-        store.commit(tables, None, source, epoch)
+        store.commit(tables, None, source, epoch, {c.table: c.keys for c in enrichment.contracts})
     finally:
         resolved.unpersist()
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from chainloom.contracts import CURSORS, Contract, check_schema
 from chainloom.operators.keyed import apply_changes, live_keys
 from chainloom.operators.progress import cursor_upsert
+from chainloom.streaming.blooms import BLOOM, MOST_KEYS, bloom_rows, key_hash, may_hold
 
 # One row per batch: who wrote it, in which write, and the cursor it reached, if it read blocks.
 PROGRESS = T.StructType(
@@ -142,6 +143,22 @@ class BatchStore:
         self._check(contract.table, contract)
         return self.read(contract.table, contract.schema).select(*contract.names)
 
+    def rows_near(self, contract: Contract, keyed: DataFrame) -> DataFrame:
+        """The committed rows of the batches that may have one of the keys of `keyed`: all rows with such a key,
+        and few others. The filters of the batches are read, and then only the folders that they name; with more
+        than a hundred thousand keys, all rows."""
+        hashes = keyed.select(key_hash(contract.keys)).distinct().limit(MOST_KEYS + 1).collect()
+        if len(hashes) > MOST_KEYS or not self.has_rows(f"{contract.table}_blooms"):
+            return self.rows(contract)
+        self._check(contract.table, contract)
+        blooms = self.read(f"{contract.table}_blooms", BLOOM)
+        near = may_hold(blooms, [r[0] for r in hashes])
+        first = blooms.agg(F.min("batch")).first()[0]
+        place = F.col("batch").isin(near) if near else F.lit(False)
+        # Batches from before there were filters have none.
+        place = place if first is None else place | (F.col("batch") < first)
+        return self.read(contract.table, contract.schema).filter(place).select(*contract.names)
+
     def progress(self, before: str | None = None) -> DataFrame:
         """The furthest cursor per run; with `before`, as it was ahead of the first batch of a source."""
         cursors = self.read(CURSORS.table, PROGRESS).filter(F.col("id").isNotNull())
@@ -180,11 +197,12 @@ class BatchStore:
         rows = self.folded(contract)
         return self.commit({f"{contract.table}_version": rows}, None, f"version:{contract.table}", batch)
 
-    def write(self, tables: Mapping[str, DataFrame]) -> int:
-        """Write the rows of the next batch; not yet visible."""
+    def write(self, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None) -> int:
+        """Write the rows of the next batch, not yet visible, with filters of the keys of the tables in `keys`."""
         batch = self.last_batch() + 1
         self._writes[batch] = uuid.uuid4().hex
-        for table, rows in tables.items():
+        filters = {f"{table}_blooms": bloom_rows(tables[table], own) for table, own in (keys or {}).items()}
+        for table, rows in (*tables.items(), *filters.items()):
             rows.write.parquet(f"{self._path(table)}/batch={batch}/write={self._writes[batch]}")
         return batch
 
@@ -209,11 +227,16 @@ class BatchStore:
         self._last = batch
 
     def commit(
-        self, tables: Mapping[str, DataFrame], cursors: DataFrame | None, source: str, epoch: int
+        self,
+        tables: Mapping[str, DataFrame],
+        cursors: DataFrame | None,
+        source: str,
+        epoch: int,
+        keys: Mapping[str, Sequence[str]] | None = None,
     ) -> int:
         """Write a batch and make it visible. `cursors` has one row, empty when no block was read."""
         self.source(source)
-        batch = self.write(tables)
+        batch = self.write(tables, keys)
         self.mark(batch, source, epoch, cursors)
         self._newest.update({table: batch for table in tables if table in self._newest})
         return batch

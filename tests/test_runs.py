@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from chainloom.plans.ingest import (
     run_batch,
 )
 from chainloom.sources.blocks import block_range_scan, check_range, final_blocks, read_blocks, stream_blocks, write_blocks
+from chainloom.streaming.blooms import bloom_rows, key_hash, may_hold
 from chainloom.streaming.runs import run_stream, stream_balances
 from chainloom.streaming.store import BatchStore
 
@@ -122,6 +124,33 @@ def test_range_opens_only_its_buckets(spark, tmp_path):
         write_blocks(frame, str(tmp_path / "c"), 0)
 
 
+def test_key_check_opens_only_batches_that_may_have_the_keys(spark, tmp_path):
+    store = BatchStore(spark, str(tmp_path / "s"))
+    frame = lambda keys: spark.createDataFrame([(str(k), k) for k in keys], "id string, n int")
+    for batch in range(6):
+        store.commit({"points": frame(range(batch * 50, batch * 50 + 50))}, None, "s", batch, {"points": POINTS.keys} if batch else None)
+    # The first batch was written without filters, and so is always read.
+    for keys, batches in (([60, 61], {0, 1}), ([7], {0}), ([110, 299], {0, 2, 5}), ([1000, -1], {0}), ([], {0})):
+        near = store.rows_near(POINTS, frame(keys))
+        assert {r["n"] // 50 for r in near.collect()} == batches
+        plan = near._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(batch" in plan and re.search(r"batch#\d+L < 1\)", plan)
+        asked = {str(k) for k in keys}
+        own = {r["id"] for r in near.collect()}
+        assert own & asked == {r["id"] for r in store.rows(POINTS).collect()} & asked
+    nulls = frame([1]).withColumn("id", F.lit(None).cast("string"))
+    assert store.rows_near(POINTS, nulls).count() == 50
+
+
+def test_filters_have_no_false_negatives(spark):
+    keys = spark.range(30_000).select(F.col("id").cast("string"))
+    blooms = bloom_rows(keys.repartition(3), ["id"]).withColumn("batch", F.spark_partition_id().cast("long"))
+    hashes = [r[0] for r in keys.select(key_hash(["id"])).collect()]
+    assert all(may_hold(blooms, hashes[at : at + 1]) for at in range(0, 30_000, 1500))
+    others = [r[0] for r in spark.range(10**6, 10**6 + 2000).select(key_hash(["id"])).collect()]
+    assert len(may_hold(blooms, others)) <= 1
+
+
 def test_cursor_steps(spark):
     shape = "id string, cursor string, block_num long, block_id string"
     def upsert(stored, *row):
