@@ -21,16 +21,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PATH_BINS, WORD_BINS, FIGURES, DEEPEST = 384, 96, 8, 12
+PATH_BINS, WORD_BINS, FIGURES = 384, 96, 8
 WIDTH = PATH_BINS + WORD_BINS + FIGURES
+STRETCH = 1 << 13  # blocks whose vectors are in memory at a time
 
 TAG = re.compile(r"""<(?:!--(?:.*?)(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|[!?/][^>]*+>)""", re.S)
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PARTS = re.compile(r"[a-z]+")
 # Element kinds of HTML.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr button label output progress meter picture math".split())
+MATH = frozenset("mi mo mn ms mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd mtext mspace semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe noembed noframes svg math title textarea select option head canvas object".split())
+RAW = frozenset("script style template noscript iframe noembed noframes svg title textarea select option canvas object annotation annotation-xml".split())
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",)}
 
@@ -38,81 +40,95 @@ SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("ta
 def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(tag path, text, characters inside links) of a page's blocks in order.
 
-    Character references are decoded, white space becomes one space, and blocks without text are left out.
-    Scripts, styles, comments and other raw elements have no text."""
+    A path has the names, classes and ids of all open elements, outermost first, however deep they lie. Each stands at
+    its innermost place, and of names that share a bin only the innermost stands, so a path has no more parts than
+    there are bins. Character references are decoded, white space becomes one space, and blocks without text are
+    left out. Scripts, styles, comments and other raw elements have no text and do not end a block."""
     low = None
     out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    open_count: dict[str, int] = {}
+    stack: list[tuple[str, list[int]]] = []
+    places: dict[str, list[int]] = {}
+    named: dict[int, list[tuple[int, int, str]]] = {}
     parts: list[tuple[str, bool]] = []
 
     def close_block() -> None:
         text = " ".join(html.unescape("".join(p for p, _ in parts)).split()) if parts else ""
         if text:
             linked = sum(len(p) for p, in_link in parts if in_link)
-            path = tuple(t for name, tokens in stack[-DEEPEST:] if name not in INLINE for t in tokens)
-            out.append((path, text, linked))
+            out.append((tuple(token for *_, token in sorted(met[-1] for met in named.values())), text, linked))
         parts.clear()
 
+    def push(name: str, tokens: list[str]) -> None:
+        bins = [] if name in INLINE or name in MATH else [_bin(token, PATH_BINS) for token in tokens]
+        for k, (place, token) in enumerate(zip(bins, tokens)):
+            named.setdefault(place, []).append((len(stack), k, token))
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, bins))
+
     def pop_to(name: str) -> None:
         while stack:
-            top = stack.pop()[0]
-            open_count[top] -= 1
+            top, bins = stack.pop()
+            places[top].pop()
+            for place in bins:
+                named[place].pop()
+                if not named[place]:
+                    del named[place]
             if top == name:
                 return
 
     at = 0
     while (tag := TAG.search(page, at)) is not None:
         if tag.start() > at:
-            parts.append((page[at : tag.start()], open_count.get("a", 0) > 0))
+            parts.append((page[at : tag.start()], bool(places.get("a"))))
         at = tag.end()
         name = (tag[2] or tag[5] or "").lower()
         if not name:
             continue
         ends, attributes = tag[1] or tag[4], tag[3] or tag[6] or ""
-        if not ends and name in RAW and name != "head":
+        if not ends and name in RAW:
             low = page.lower() if low is None else low
             if len(low) != len(page):  # a letter whose lower case is longer; the tags themselves are ASCII
                 low = "".join(c.lower() if c.isascii() else c for c in page)
             stop = low.find(f"</{name}", at)
-            at = len(page) if stop < 0 else stop
+            stop = low.find(">", stop) if stop >= 0 else stop
+            at = stop + 1 if stop >= 0 else len(page)
             continue
-        if name not in INLINE:
+        if name not in INLINE and name not in MATH:
             close_block()
         elif name == "br":
             parts.append((" ", False))
         if ends:
-            if open_count.get(name):
+            if places.get(name):
                 pop_to(name)
             continue
-        if name in ENDS_P and open_count.get("p"):
+        if name in ENDS_P and places.get("p"):
             pop_to("p")
-        if name in SIBLINGS:
-            for open_name, _ in reversed(stack[-DEEPEST:]):
-                if open_name in SIBLINGS[name]:
-                    break
-                if open_name == name:
-                    pop_to(name)
-                    break
+        if name in SIBLINGS and places.get(name):
+            if places[name][-1] > max((places[outer][-1] for outer in SIBLINGS[name] if places.get(outer)), default=-1):
+                pop_to(name)
         if name in VOID or attributes.endswith("/"):
             continue
         tokens = [name]
         for found in NAMED.finditer(attributes):
             value = next((v for v in found.groups() if v), "").lower()
-            tokens += [f".{t}" for t in PARTS.findall(value)[:8]]
-        stack.append((name, tuple(tokens)))
-        open_count[name] = open_count.get(name, 0) + 1
-    parts.append((page[at:], open_count.get("a", 0) > 0))
+            tokens += [f".{t}" for t in PARTS.findall(value)]
+        push(name, tokens)
+    parts.append((page[at:], bool(places.get("a"))))
     close_block()
-    return [b for b in out]
+    return out
 
 
 def _bin(token: str, bins: int) -> int:
     return zlib.crc32(token.encode("utf-8", "surrogatepass")) % bins
 
 
-def vectors(blocks: list[tuple[tuple[str, ...], str, int]], paths: dict[tuple[str, ...], np.ndarray]) -> np.ndarray:
-    """A row for each block: path bins, word bins (shares), figures."""
+def vectors(
+    blocks: list[tuple[tuple[str, ...], str, int]], paths: dict[tuple[str, ...], np.ndarray], first: int = 0, total: int | None = None
+) -> np.ndarray:
+    """A row for each block: path bins (the inner ones weigh more), word bins (shares), figures.
+
+    Blocks may be a stretch, from the one numbered `first`, of a page of `total` blocks."""
+    last = (len(blocks) if total is None else total) - 1 - first
     out = np.zeros((len(blocks), WIDTH), np.float32)
     for i, (path, text, linked) in enumerate(blocks):
         if path not in paths:
@@ -120,7 +136,7 @@ def vectors(blocks: list[tuple[tuple[str, ...], str, int]], paths: dict[tuple[st
                 paths.clear()
             row = np.zeros(PATH_BINS, np.float32)
             for depth, token in enumerate(reversed(path)):
-                row[_bin(token, PATH_BINS)] = max(row[_bin(token, PATH_BINS)], 1.0 / (1 + 0.15 * depth))
+                row[_bin(token, PATH_BINS)] = max(0.3, 1.0 / (1 + 0.15 * depth))
             paths[path] = row
         out[i, :PATH_BINS] = paths[path]
         words = text.lower().split()
@@ -134,8 +150,8 @@ def vectors(blocks: list[tuple[tuple[str, ...], str, int]], paths: dict[tuple[st
             min(1.0, linked / n),
             min(1.0, 10 * sum(text.count(c) for c in ".,;") / n),
             text[-1] in ".!?…\"”",
-            i == 0,
-            i == len(blocks) - 1,
+            first + i == 0,
+            i == last,
             1.0,
         )
     return out
@@ -184,11 +200,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
-def _pass(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray, keep: bool):
-    """States of one direction over (time, page, gates) inputs; padded steps leave the state as it is."""
+def _pass(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray, keep: bool, state=None):
+    """States of one direction over (time, page, gates) inputs, what training needs of them, and the last state.
+
+    It starts from `state` or from zero; padded steps leave the state as it is."""
     hidden = u.shape[0]
-    h = np.zeros((x.shape[1], hidden), np.float32)
-    c = np.zeros_like(h)
+    h, c = state or (np.zeros((x.shape[1], hidden), np.float32), np.zeros((x.shape[1], hidden), np.float32))
     states, trace = np.empty((*x.shape[:2], hidden), np.float32), []
     drive = x @ w + b
     for t in range(len(x)):
@@ -202,7 +219,7 @@ def _pass(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.n
             trace.append((h, c, i, f, o, g, tanh_c, m))
         c, h = m * new_c + (1 - m) * c, m * o * tanh_c + (1 - m) * h
         states[t] = h
-    return states, trace
+    return states, trace, (h, c)
 
 
 def _back(x: np.ndarray, trace: list, grad: np.ndarray, w: np.ndarray, u: np.ndarray):
@@ -234,13 +251,13 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _logits(net: Network, x: np.ndarray, mask: np.ndarray, keep: bool = False):
     # Backwards, padded steps come first and leave the state at zero.
-    ahead, trace_a = _pass(x, mask, net.inputs[0], net.state[0], net.bias[0], keep)
-    behind, trace_b = _pass(x[::-1], mask[::-1], net.inputs[1], net.state[1], net.bias[1], keep)
+    ahead, trace_a, _ = _pass(x, mask, net.inputs[0], net.state[0], net.bias[0], keep)
+    behind, trace_b, _ = _pass(x[::-1], mask[::-1], net.inputs[1], net.state[1], net.bias[1], keep)
     both = np.concatenate([ahead, behind[::-1]], axis=2)
     return both @ net.out + net.shift, both, trace_a, trace_b
 
 
-def label(net: Network, pages: list[np.ndarray], cells: int = 1 << 13) -> list[np.ndarray]:
+def label(net: Network, pages: list[np.ndarray], cells: int = STRETCH) -> list[np.ndarray]:
     """Whether each block of each page is article text; pages of like length go through together."""
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = sorted((k for k in range(len(pages)) if len(pages[k])), key=lambda k: len(pages[k]))
@@ -257,6 +274,19 @@ def label(net: Network, pages: list[np.ndarray], cells: int = 1 << 13) -> list[n
     return out
 
 
+def label_long(net: Network, blocks: list[tuple[tuple[str, ...], str, int]], paths: dict[tuple[str, ...], np.ndarray], step: int = STRETCH) -> np.ndarray:
+    """What label gives for one page, a stretch of blocks at a time: each direction hands its state to the next one."""
+    hidden, starts = net.state[0].shape[0], range(0, len(blocks), step)
+    score = np.full(len(blocks), net.shift, np.float32)
+    for side, order in ((0, starts), (1, reversed(starts))):
+        state, turn = None, -1 if side else 1
+        for at in order:
+            x = vectors(blocks[at : at + step], paths, at, len(blocks))[::turn, None]
+            states, _, state = _pass(x, np.ones(x.shape[:2], np.float32), net.inputs[side], net.state[side], net.bias[side], False, state)
+            score[at : at + step] += (states[:, 0] @ net.out[side * hidden : (side + 1) * hidden])[::turn]
+    return score > 0
+
+
 def train(pages: list[tuple[np.ndarray, np.ndarray]], training: Training) -> Network:
     """Fit the network to (vectors, labels) of pages by Adam on the mean log loss of blocks."""
     net, rng = new_network(training.hidden, training.seed), np.random.default_rng(training.seed)
@@ -304,6 +334,7 @@ BAD_NAMES = {
     "comments": "comments comment replies discussion disqus responses feedback reader-comments".split(),
     "share": "share social sharing buttons tools byline meta".split(),
 }
+LAYOUT_NAMES = "flex row col grid wide dark light large small left right inner outer block mt px md lg hidden clearfix".split()
 BAD_TAGS = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form"}
 BAD_WORDS = {
     "nav": "home about contact next previous menu login archive topics",
@@ -332,7 +363,12 @@ class _Maker:
         if self.random.random() >= chance:
             return ""
         kind = self.random.choice(["class", "class", "id"])
-        return f' {kind}="{self.random.choice(names)}{self.random.choice(["", "", " col", "-1", " wide"])}"'
+        other = self.random.choices(LAYOUT_NAMES, k=self.random.randint(1, 12)) if self.random.random() < 0.15 else []
+        return f' {kind}="{" ".join([*other, ""])}{self.random.choice(names)}{self.random.choice(["", "", " col", "-1", " wide"])}"'
+
+    def depth(self) -> int:
+        """How many plain elements lie between a part and its texts."""
+        return self.random.choice([0, 0, 0, 0, self.random.randint(1, 4), self.random.randint(5, 40)])
 
     def part(self, kind: str) -> list[tuple[str, bool | None]]:
         """A part that is no article text, as (markup, label of a text in it)."""
@@ -340,6 +376,8 @@ class _Maker:
         tag = BAD_TAGS.get(kind, "div") if self.random.random() < 0.6 else self.random.choice(["div", "section", "div"])
         bare = tag in ("nav", "footer", "aside", "form") or (tag == "header" and kind == "header")
         out: list[tuple[str, bool | None]] = [(f"<{tag}{self.attributes(BAD_NAMES[kind], 0.5 if bare else 1.0)}>", None)]
+        deep, plain = self.depth(), self.random.choice(["div", "div", "section"])
+        out.append((f"<{plain}>" * deep, None))
 
         def text() -> str:
             extra = " ".join(self.random.choices(own, k=self.random.randint(1, 4)))
@@ -357,11 +395,13 @@ class _Maker:
                 out += [(opened, None), (text(), False), (f"</{inner}>" if inner else "", None)]
                 if not inner or inner == "span":
                     break
-        return [*out, (f"</{tag}>", None)]
+        return [*out, (f"</{plain}>" * deep + f"</{tag}>", None)]
 
     def article(self) -> list[tuple[str, bool | None]]:
         tag = self.random.choice(["article", "article", "main", "div", "section"])
         out: list[tuple[str, bool | None]] = [(f"<{tag}{self.attributes(GOOD_NAMES, 0.3 if tag in ('article', 'main') else 1.0)}>", None)]
+        deep = self.depth()
+        out.append(("<div>" * deep, None))
         if self.random.random() < 0.85:
             head = self.random.choice(["h1", "h1", "h2"])
             out += [(f"<{head}>", None), (self.say(2, 12), True), (f"</{head}>", None)]
@@ -379,7 +419,7 @@ class _Maker:
                 out += self.part(self.random.choice(["ad", "aside", "share", "notice", "form"]))
         if self.random.random() < 0.15:
             out += self.part(self.random.choice(["comments", "share", "aside"]))
-        return [*out, (f"</{tag}>", None)]
+        return [*out, ("</div>" * deep + f"</{tag}>", None)]
 
     def page(self) -> tuple[str, list[tuple[str, bool]]]:
         """Markup, and (text, label) of its texts in order."""
@@ -431,21 +471,37 @@ def extract(pages: DataFrame, net: Network) -> DataFrame:
     network labels as article text, in page order, one line each.
 
     Null and empty pages, and pages without such blocks, have an empty text. Rows are independent: repeated ones
-    give the same text, an empty table gives no rows, and other columns are not read.
+    give the same text, an empty table gives no rows, and other columns are not read. A page of any length is read
+    whole: its blocks' vectors are made a stretch at a time.
     """
-    share = pages.sparkSession.sparkContext.broadcast(net)
+    # Arrays alone: a broadcast is pickled by name of class, and executors need not have this package.
+    share = pages.sparkSession.sparkContext.broadcast((net.inputs, net.state, net.bias, net.out, net.shift))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths: dict[tuple[str, ...], np.ndarray] = {}
+        own, paths = Network(*share.value), {}
+
+        def marked(found: list) -> list[np.ndarray]:
+            if len(found) == 1 and len(found[0]) > STRETCH:
+                return [label_long(own, found[0], paths)]
+            return label(own, [vectors(b, paths) for b in found])
+
+        def article(found: list) -> list[str]:
+            return ["\n".join(block[1] for block, good in zip(b, m) if good) for b, m in zip(found, marked(found))]
+
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                found = [leaf_blocks(page or "") for page in part.column(2).to_pylist()]
-                marks = label(share.value, [vectors(b, paths) for b in found])
-                texts = ["\n".join(block[1] for block, good in zip(b, m) if good) for b, m in zip(found, marks)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(map(len, found), pa.int64())],
-                    names=["page_id", "url", "text", "n_chars", "n_blocks"],
-                )
+            texts, counts, found, held = [], [], [], 0
+            for page in batch.column(2):
+                blocks = leaf_blocks(page.as_py() or "")
+                counts.append(len(blocks))
+                if found and held + len(blocks) > STRETCH:
+                    texts += article(found)
+                    found, held = [], 0
+                found.append(blocks)
+                held += len(blocks)
+            texts += article(found)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(counts, pa.int64())],
+                names=["page_id", "url", "text", "n_chars", "n_blocks"],
+            )
 
     return pages.select("page_id", "url", "html").mapInArrow(task, "page_id long, url string, text string, n_chars long, n_blocks long")

@@ -3,13 +3,15 @@
 import base64
 import hashlib
 import html
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
 import pytest
 
 from chainloom.llm import urls, warc
-from chainloom.llm.blocks import Training, extract, fit, label, leaf_blocks, made_pages, train, vectors
+from chainloom.llm.blocks import Training, extract, fit, label, label_long, leaf_blocks, made_pages, new_network, train, vectors
 from chainloom.llm.urls import judge, viterbi
 
 PAGES = [
@@ -124,6 +126,49 @@ def test_held_out_accuracy():
     assert right / sum(len(y) for _, y in held) > 0.98
 
 
+def lines(net, page):
+    blocks = leaf_blocks(page)
+    return [b[1] for b, good in zip(blocks, label(net, [vectors(blocks, {})])[0]) if good]
+
+
+def test_deep_and_wide_pages():
+    words = ["alpha", "beta", "gamma", "delta", "news", "market", "river", "stone"]
+    net = train([(vectors(b, {}), y) for b, y in made_pages(words, 800, 1) if b], Training())
+    said = "alpha beta gamma delta news market river stone alpha beta gamma delta news."
+    article = f"<article><h1>Market news river</h1><p>{said}</p><p>Let <math><mi>x</mi>=5</math> be <script>1</script>alpha beta river.</p></article>"
+    want = ["Market news river", said, "Let x=5 be alpha beta river."]
+    for depth in (0, 3, 10, 11, 12, 14, 20, 40, 1000):
+        down, up = "<div>" * depth, "</div>" * depth
+        comments = f'<section class="comments">{down}<p>User wrote alpha beta market stone.</p><p>Reply says delta news.</p>{up}</section>'
+        assert lines(net, f"<body><nav>{down}<a href=/>alpha beta</a>{up}</nav>{article}{comments}</body>") == want
+    assert lines(net, f'<body>{article}<div class="a b c d e f g h comments"><p>User wrote alpha beta.</p></div></body>') == want
+
+
+def test_long_pages():
+    net = new_network(12, 5)
+    for n in (1, 5, 6, 7, 50):
+        blocks = leaf_blocks("".join(f"<p>word {k}</p><li>{k}.</li>" for k in range(n)))
+        assert (label_long(net, blocks, {}, 6) == label(net, [vectors(blocks, {})])[0]).all()
+    deep = leaf_blocks("".join(f'<div class="n{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}">x' for k in range(30_000)))
+    assert len(deep) == 30_000 and max(len(b[0]) for b in deep) <= 384
+
+
+def test_executors_without_the_package(tmp_path):
+    job = tmp_path / "job.py"
+    job.write_text(
+        f"""import sys
+sys.path.insert(0, {str(__file__).rsplit("/tests/", 1)[0]!r})
+from pyspark.sql import SparkSession
+from chainloom.llm.blocks import extract, new_network
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+pages = spark.createDataFrame([(1, "u", "<p>one</p>"), (2, "u", None)], "page_id long, url string, html string")
+assert extract(pages, new_network(4, 1)).count() == 2 and len(extract(pages, new_network(4, 1)).collect()) == 2
+"""
+    )
+    done = subprocess.run([sys.executable, str(job)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
 def test_extraction(spark, pages, nothing):
     real = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     net = fit(real)
