@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import html
+import re
 import subprocess
 import sys
 from collections import Counter
@@ -107,6 +108,55 @@ def test_words_of_blocked_hosts_spread(spark):
     assert {got[k] for k in range(40)} == {"block"} and {got[100 + k] for k in range(400)} == {"allow"} and got[999] == "block"
 
 
+def plain_scores(pages, counts, words, unwanted):
+    """Log odds of every (host, path), by the multinomial formula over token counts."""
+    total, urls_of, tokens_of = sum(counts.values()), Counter(), {}
+    for _, url, _ in pages:
+        host, path = re.match(r"[a-z]+://([^/]*)(.*)", url).groups()
+        urls_of[host, path] += 1
+        names = [n for n in re.split("[^a-z]+", host.rpartition(".")[0]) + re.split("[^a-z]+", path) if n]
+        tokens_of[host, path] = Counter(w for n in names for w in ([n] if n in unwanted else plain_viterbi(n, counts, total, words.letter)))
+    bad = {u for u, t in tokens_of.items() if set(t) & set(unwanted)}
+    met = {True: Counter(), False: Counter()}
+    for u, found in tokens_of.items():
+        for token, times in found.items():
+            met[u in bad][token] += times * urls_of[u]
+    n = {side: sum(c.values()) for side, c in met.items()}
+    prior = np.log((sum(urls_of[u] for u in bad) + 1) / (sum(k for u, k in urls_of.items() if u not in bad) + 1))
+    out = {}
+    for u, found in tokens_of.items():
+        out[u] = prior
+        for token, times in found.items():
+            usual = words.smooth * (met[True][token] + met[False][token]) / sum(n.values())
+            out[u] += times * np.log((met[True][token] + usual) / (n[True] + words.smooth) * (n[False] + words.smooth) / (met[False][token] + usual))
+    return out
+
+
+def test_scores_against_a_plain_version(spark):
+    rows = [(k, f"http://casinolucky.net/win/win{k % 3}", "<p>lucky win win</p>") for k in range(9)]
+    rows += [(20 + k, f"http://dailynews.net/win/daily/daily/{k % 4}", "<p>daily news</p>") for k in range(30)]
+    rows += [(60 + k, f"http://internationalization.net/guide/{'x' * 70}", "<p>internationalization guide</p>") for k in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    words = urls.Words()
+    counts = urls.word_counts(pages, words, urls.UNWANTED)
+    got_counts = {r["word"]: r["n"] for r in counts.collect()}
+    assert got_counts["internationalization"] == 5 and got_counts["x" * 70] == 5 and got_counts["win"] == 9 * 2 + 9 * 2 + 30
+    distinct = pages.select(urls.host_of(pages.url).alias("host"), urls.path_of(pages.url).alias("path")).groupBy("host", "path").count().withColumnRenamed("count", "n")
+    got = {(r["host"], r["path"]): r["score"] for r in urls.scores(distinct, counts, words, urls.UNWANTED).collect()}
+    want = plain_scores(rows, got_counts, words, urls.UNWANTED)
+    assert got.keys() == want.keys() and all(abs(got[u] - want[u]) < 1e-9 for u in want)
+    names = spark.createDataFrame([("internationalizationguide",)], "name string")
+    assert urls.segments(names, counts, words).first()["words"] == ["internationalization", "guide"]
+
+
+def test_known_examples_teach(spark):
+    rows = [(k, f"http://{'badplace' if k % 2 else 'goodplace'}{k}.net/", "<p>badplace goodplace</p>") for k in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    known = pages.where("page_id < 8").selectExpr("url", "page_id % 2 = 1 as bad").union(spark.createDataFrame([(None, None)], "url string, bad boolean"))
+    got = {r["page_id"]: r["verdict"] for r in judge(pages, examples=known).collect()}
+    assert got == {k: "block" if k % 2 else "allow" for k in range(20)}
+
+
 def test_leaf_blocks():
     page = """<!DOCTYPE html><title>no</title><!-- <p>no --><style>p{}</style><script>var t="</p>no";</script><ul class="Menu big"><li>a&amp;b<li>c</ul>
     <p>one <b>two<br>three &nbsp; 4 < 5<p title="a>b">six<div id=main><a href=x>seven</a> eight</div><svg><text>no</text></svg>&#x41;<!-- open"""
