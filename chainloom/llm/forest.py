@@ -1,12 +1,14 @@
 """MinHash near duplicates with an LSH forest, confirmed on full shingle sets.
 
-Documents with equal sets are one class, and the class's smallest id stands for it. Every tree of the
-forest orders the classes by its own sequence of minimum hashes; classes that share a prefix of that
-sequence are a region. A region that is too large for a task goes to a deeper forest, whose trees have
-longer prefixes and which has as many more trees as the longer prefix needs, so that a pair at the
-threshold is missed with a probability of about e^-23 at every depth. Inside a region, neighbours whose
-signatures agree often enough are joined; the groups that come out of all regions hold every pair that
-can be over the threshold. Full sets then decide inside each group.
+Documents with equal sets are one class, and the class's smallest id stands for it. Every tree of the forest
+has its own sequence of minimum hashes, written as a key; the classes in the order of their keys are the tree,
+and the longest common prefix with the classes before and after says how near they are. The classes that
+share a prefix are a region, and every class takes its shallowest prefix whose region is small enough:
+a short one where few share it, a longer one where many do. Where the region of the forest's own prefix
+length is too large for a task, its classes also go to a deeper forest, with longer prefixes and as many
+more trees as those need, so that a pair at the threshold is missed with a probability of about e^-23 at every
+depth. Inside a region, neighbours whose signatures agree often enough are joined; the groups that come out of all
+regions hold every pair that can be over the threshold. Full sets then decide inside each group.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chainloom.llm.graph import components
@@ -31,17 +33,24 @@ from chainloom.llm.words import Groups, Words, mix, runs, slices
 class Forest:
     """percent: pairs with 100 * intersection >= percent * union are linked.
 
-    depths: prefix lengths of the first forest and of those that take its large regions. region: most
-    classes of a region or of a group that one task compares. group_shingles: most shingles of such a group.
+    depths: prefix lengths of the first forest and of those that take its large regions; keys go on for `further`
+    hashes, but for the last forest. region: most classes of a region or of a group that one task compares. few: most
+    classes of a region with a shorter prefix. group_shingles: most shingles of such a group.
     """
 
     width: int = 5
     percent: int = 85
     depths: tuple[int, ...] = (4, 8, 12, 16)
+    further: int = 4
+    few: int = 128
     region: int = 2_048
     group_shingles: int = 4_000_000
     broadcast_rows: int = 500_000
 
+    def length(self, depth: int) -> int:
+        """Hashes of a key."""
+        return depth if depth == self.depths[-1] else depth + self.further
+
     def trees(self, depth: int) -> int:
         return math.ceil(23 / -math.log(1 - (self.percent / 100) ** depth))
 
@@ -68,8 +77,8 @@ def shingles(texts: pa.Array, width: int) -> list[np.ndarray]:
     return out
 
 
-def _functions(depth: int, trees: int) -> tuple[np.ndarray, np.ndarray]:
-    n = np.arange(1, 2 * depth * trees + 1, dtype=np.uint64)
+def _functions(depth: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    n = np.arange(1, 2 * hashes + 1, dtype=np.uint64)
     seeds = mix(n + np.uint64(depth) * np.uint64(0x51_7CC1_B727_2202))
     return seeds[::2], seeds[1::2] | np.uint64(1)
 
@@ -100,42 +109,71 @@ def fingerprints(docs: DataFrame, forest: Forest, id_col: str, text_col: str) ->
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(task, "id long, n_shingles long, digest binary")
 
 
-def prefixes(docs: DataFrame, forest: Forest, depth: int) -> DataFrame:
-    """(node, bits, keys) of documents (node, text): a byte of every minimum hash, and each tree's prefix."""
-    trees = forest.trees(depth)
-    functions = _functions(depth, trees)
+def orders(docs: DataFrame, forest: Forest, depth: int) -> DataFrame:
+    """(node, bits, keys) of documents (node, text): a byte of the first minimum hashes, and every tree's key, one
+    after the other. A key is the tree's number in 2 bytes and 4 bytes of each hash, so keys of one tree that share
+    a prefix stand together in the order of bytes."""
+    trees, length = forest.trees(depth), forest.length(depth)
+    functions = _functions(depth, length * trees)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = mix(np.arange(trees, dtype=np.uint64) + np.uint64(depth << 32))
+        tree = np.arange(trees, dtype=">u2").view(np.uint8).reshape(trees, 2)
         for batch in batches:
             for at, texts in slices(batch.column(1)):
                 bits, keys = [], []
                 for s in shingles(texts, forest.width):
                     low = signature(s, functions)
-                    bits.append((low >> np.uint64(32)).astype(np.uint8).tobytes())
-                    part = place.copy()
-                    for j in range(depth):
-                        part = mix(part ^ low[j * trees : (j + 1) * trees])
-                    keys.append(part.view(np.int64))
+                    bits.append((low[: depth * trees] >> np.uint64(32)).astype(np.uint8).tobytes())
+                    hashes = np.ascontiguousarray((low >> np.uint64(32)).reshape(length, trees).T.astype(">u4"))
+                    keys.append(np.hstack([tree, hashes.view(np.uint8).reshape(trees, 4 * length)]).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), pa.array(bits, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    [batch.column(0).slice(at, len(texts)), pa.array(bits, pa.binary()), pa.array(keys, pa.binary())],
                     names=["node", "bits", "keys"],
                 )
 
-    return docs.select("node", "text").mapInArrow(task, "node long, bits binary, keys array<long>")
+    return docs.select("node", "text").mapInArrow(task, "node long, bits binary, keys binary")
+
+
+def prefix(key: Column, hashes: Column | int) -> Column:
+    """A name of a key's first hashes in its tree."""
+    return F.xxhash64(key.substr(F.lit(1), F.lit(2) + 4 * (F.lit(hashes) if isinstance(hashes, int) else hashes)))
 
 
-def _neighbours(agree: int):
-    """Inside every region, join classes whose signatures agree; a star of edges for every group."""
+def common(keys: np.ndarray) -> np.ndarray:
+    """Hashes that each of some sorted keys shares with the one before it, from the second key on."""
+    hashes = np.ascontiguousarray(keys[:, 2:]).view(">u4")
+    same = (hashes[1:] == hashes[:-1]) & (keys[1:, :2] == keys[:-1, :2]).all(axis=1)[:, None]
+    return np.cumprod(same, axis=1).sum(axis=1)
+
+
+def adaptive(lcp: np.ndarray, length: int, depth: int, few: int, region: int) -> np.ndarray:
+    """The region of each of some sorted keys, named by its first key: that of the shallowest prefix which at most
+    `few` share, or `region` from `depth` hashes on. Keys that share it all find the same one."""
+    out = np.full(len(lcp) + 1, -1)
+    for d in range(1, length + 1):
+        starts = np.concatenate([[0], np.flatnonzero(lcp < d) + 1])
+        sizes = np.diff(np.append(starts, len(out)))
+        take = (out < 0) & np.repeat(sizes <= (region if d >= depth else min(few, region)), sizes)
+        out[take] = np.repeat(starts, sizes)[take]
+    return out
+
+
+def _neighbours(forest: Forest, depth: int):
+    """Of rows (region, node, key, bits) in the order of keys: join classes whose signatures agree among the
+    neighbours by common prefix; a star of edges for every group."""
+    agree, length = forest.agreeing(depth * forest.trees(depth)), forest.length(depth)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for region in runs(batches):
             nodes = region.column(1).to_numpy()
-            bits = np.frombuffer(b"".join(region.column(2).to_pylist()), np.uint8).reshape(len(nodes), -1)
+            keys = np.frombuffer(b"".join(region.column(2).to_pylist()), np.uint8).reshape(len(nodes), -1)
+            bits = np.frombuffer(b"".join(region.column(3).to_pylist()), np.uint8).reshape(len(nodes), -1)
+            start = adaptive(common(keys), length, depth, forest.few, forest.region)
+            end = np.searchsorted(start, start, side="right")
             groups = Groups(len(nodes))
             for i in range(len(nodes) - 1):
-                close = np.flatnonzero((bits[i + 1 :] == bits[i]).sum(axis=1) >= agree)
+                close = np.flatnonzero((bits[i + 1 : end[i]] == bits[i]).sum(axis=1) >= agree)
                 for j in close:
                     groups.join(i, i + 1 + int(j))
             for i in range(len(nodes)):
@@ -166,20 +204,31 @@ def candidates(docs: DataFrame, nodes: DataFrame, forest: Forest, id_col: str, t
         n = nodes.count()
         if not n:
             break
-        rows = kept(prefixes(_texts_of(docs, nodes, forest, id_col, text_col, n), forest, depth), "forest")
-        flat = rows.select("node", F.explode("keys").alias("key"))
-        sizes = flat.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
-        placed = kept(flat.join(sizes, "key"), "regions")
-        small = placed.where(F.col("n") <= forest.region).select("key", "node")
-        regions = small.join(rows.select("node", "bits"), "node").select("key", "node", "bits")
-        agree = forest.agreeing(depth * forest.trees(depth))
+        rows = kept(orders(_texts_of(docs, nodes, forest, id_col, text_col, n), forest, depth), "forest")
+        length, key = forest.length(depth), F.col("key")
+        width = 2 + 4 * length
+        each = F.transform(F.sequence(F.lit(0), F.lit(forest.trees(depth) - 1)), lambda t: F.col("keys").substr(t * width + 1, F.lit(width)))
+        flat = rows.select("node", F.explode(each).alias("key")).withColumn("region", prefix(key, 1))
+        sizes = flat.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
+        placed = kept(flat.join(sizes, "region").select("region", "node", "key", "n"), "regions")
+        # Where many share the first hash: the sizes of all longer prefixes at once, and the shortest that a task can take.
+        dense = placed.where(F.col("n") > forest.region).select("node", "key", F.explode(F.sequence(F.lit(2), F.lit(length))).alias("length"))
+        dense = dense.withColumn("region", prefix(key, F.col("length")))
+        longer = dense.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("hub"))
+        fits = F.when(F.col("n") <= forest.region, F.struct("length", "region", "n"))
+        cut = dense.join(longer, "region").groupBy("node", "key").agg(
+            F.min(fits).alias("fit"), F.max(F.when(F.col("length") == depth, F.col("n"))).alias("n"), F.max_by("hub", "length").alias("hub")
+        )
+        cut = kept(cut, "depths")
+        small = placed.where(F.col("n") <= forest.region).select("region", "node", "key")
+        small = small.union(cut.where("fit.n > 1").select("fit.region", "node", "key"))
+        regions = small.join(rows.select("node", "bits"), "node").select("region", "node", "key", "bits")
         edges.append(
-            regions.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_neighbours(agree), "a long, b long")
+            regions.repartition("region").sortWithinPartitions("region", "key", "node").mapInArrow(_neighbours(forest, depth), "a long, b long")
         )
-        large = placed.where(F.col("n") > forest.region)
         if depth == forest.depths[-1]:
-            edges.append(large.select(F.col("node").alias("a"), F.col("hub").alias("b")).where("a <> b"))
-        nodes = kept(large.select("node").distinct(), "large")
+            edges.append(cut.where("fit is null").select(F.col("node").alias("a"), F.col("hub").alias("b")).where("a <> b"))
+        nodes = kept(cut.where(F.col("n") > forest.region).select("node").distinct(), "large")
     if not edges:
         return docs.sparkSession.createDataFrame([], "a long, b long")
     return kept(reduce(DataFrame.union, edges).distinct(), "candidates")

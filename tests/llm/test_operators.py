@@ -8,6 +8,7 @@ from collections import Counter
 from itertools import pairwise
 
 import pyarrow as pa
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,6 +177,52 @@ def test_large_groups_are_linked_exactly(spark):
     assert got == plain_components(rows)
 
 
+def test_regions_by_common_prefix():
+    rng = np.random.default_rng(2)
+    for few, region in ((2, 5), (3, 3), (50, 50)):
+        # A hash that few values have makes long common prefixes; length 4, own depth 2, trees 0 and 1.
+        hashes = rng.integers(0, 3, (200, 4)).astype(">u4")
+        tree = rng.integers(0, 2, 200).astype(">u2")
+        raw = np.hstack([tree.view(np.uint8).reshape(-1, 2), np.ascontiguousarray(hashes).view(np.uint8).reshape(200, 16)])
+        keys = np.array(sorted(map(bytes, raw)))
+        keys = [k.ljust(18, b"\0") for k in keys]
+        lcp = forest.common(np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 18))
+        for at, (x, y) in enumerate(zip(keys, keys[1:])):
+            same = next((d for d in range(4) if x[: 2 + 4 * (d + 1)] != y[: 2 + 4 * (d + 1)]), 4)
+            assert lcp[at] == same
+        found = forest.adaptive(lcp, 4, 2, few, region)
+        for at, key in enumerate(keys):
+            sizes = {d: sum(k.startswith(key[: 2 + 4 * d]) for k in keys) for d in range(1, 5)}
+            d = next((d for d, n in sizes.items() if n <= (region if d >= 2 else min(few, region))), None)
+            first = next(k for k, other in enumerate(keys) if other.startswith(key[: 2 + 4 * d])) if d else -1
+            assert found[at] == first
+
+
+def test_recall_of_candidates(spark):
+    rng = random.Random(9)
+    rows = []
+    for group in range(60):
+        base = [f"g{group}w{k}" for k in range(rng.randint(60, 200))]
+        for _ in range(rng.randint(1, 6)):
+            words = list(base)
+            for _ in range(rng.randint(0, 4)):
+                words[rng.randrange(len(words))] = f"new{rng.random()}"
+            rows.append((len(rows) + 1, " ".join(words)))
+    # One passage at the head of all texts, so that regions of short prefixes are large.
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(i, f"{shared} {text}") for i, text in rows]
+    sets = [sets_of(t) for _, t in rows]
+    pairs = [(i, j) for j in range(len(rows)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for shape in (forest.Forest(), forest.Forest(region=8, few=2)):
+        edges = forest.candidates(frame, frame.selectExpr("doc_id as node"), shape, "doc_id", "text").collect()
+        groups = forest.Groups(len(rows) + 1)
+        for a, b in edges:
+            groups.join(a, b)
+        met = sum(groups.root(i + 1) == groups.root(j + 1) for i, j in pairs)
+        assert len(pairs) > 100 and met / len(pairs) >= 0.99
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(1, 60)] + [(100, 200), (200, 150), (7, 7), (300, 300), (None, 4)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
