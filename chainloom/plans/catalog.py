@@ -1095,13 +1095,23 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return stream_blocks(spark, f"{sf_dir}/{name}.parquet*", schema)
 
 
-def _arriving(frame: DataFrame, place: Column, folder: str, files: int = 3) -> DataFrame:
-    """A table as a stream of a few files, one for each batch, in the order of `place`."""
-    size = frame.agg(F.max(place)).first()[0] // files + 1
-    for k in range(files):
-        part = F.least(F.floor(place / size), F.lit(files - 1))
-        frame.filter(part == k).coalesce(1).write.mode("append").parquet(folder)
-    return stream_blocks(frame.sparkSession, folder, frame.schema, files_per_batch=1)
+# Rows of one file of an arriving table.
+FILE_ROWS = 500_000
+
+
+def _arriving(frame: DataFrame, place: Column, folder: str, batches: int = 3, rows: int = FILE_ROWS) -> DataFrame:
+    """A table as a stream of a few batches in the order of `place`. Each has the same number of files, so many that
+    the largest batch has about `rows` rows in one; a batch with fewer rows than files gets empty ones."""
+    size = frame.agg(F.max(place)).first()[0] // batches + 1
+    part = F.least(F.floor(place / size), F.lit(batches - 1))
+    largest = frame.groupBy(part.alias("part")).count().filter(F.col("part") >= 0).agg(F.max("count")).first()[0] or 0
+    files = max(1, -(-largest // rows))
+    for k in range(batches):
+        frame.filter(part == k).repartition(files).write.mode("append").parquet(folder)
+        found = len(frame.sparkSession.read.schema(frame.schema).parquet(folder).inputFiles())
+        for _ in range(files * (k + 1) - found):
+            frame.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return stream_blocks(frame.sparkSession, folder, frame.schema, files_per_batch=files)
 
 
 @query("stream_ingest", ORACLE["block_headers"])

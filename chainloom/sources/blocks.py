@@ -122,11 +122,15 @@ def stream_blocks(
     return reader.load(path)
 
 
-def spread(blocks: DataFrame) -> DataFrame:
-    """Blocks over all cores when they sit in fewer partitions than there are cores.
+# Blocks of one task.
+TASK_BLOCKS = 200_000
 
-    A micro-batch is often a few files, and the work per block is far more than moving it. Input with
-    enough partitions, as any large batch has, is left as it is.
+
+def spread(blocks: DataFrame, each: int = TASK_BLOCKS) -> DataFrame:
+    """Blocks dealt evenly over all cores, and over more tasks where one would have more than `each`.
+
+    A micro-batch is often a few files, and the work per block is far more than moving it. The number of its
+    partitions tells little: those of a file with one row group are empty but for one.
     """
     cores = blocks.sparkSession.sparkContext.defaultParallelism
-    return blocks.repartition(cores) if blocks.rdd.getNumPartitions() < cores else blocks
+    return blocks.repartition(max(cores, -(-blocks.count() // each)))

@@ -25,6 +25,7 @@ from chainloom.operators import balances, links, progress
 from chainloom.operators.blocks import change
 from chainloom.operators.changes import RejectedRecords
 from chainloom.operators.keyed import DuplicateKey
+from chainloom.plans import catalog
 from chainloom.plans.ingest import (
     BALANCE_CHANGES,
     REJECTS,
@@ -39,7 +40,7 @@ from chainloom.plans.ingest import (
     resolve_batch,
     run_batch,
 )
-from chainloom.sources.blocks import block_range_scan, check_range, final_blocks, read_blocks, stream_blocks, write_blocks
+from chainloom.sources.blocks import block_range_scan, check_range, final_blocks, read_blocks, spread, stream_blocks, write_blocks
 from chainloom.streaming.blooms import bloom_rows, key_hash, may_hold
 from chainloom.streaming.runs import run_stream, stream_balances
 from chainloom.streaming.store import BatchStore
@@ -511,3 +512,32 @@ def test_dead_write_stays_unseen_after_other_commits(spark, tmp_path):
     other.commit({"two": rows.limit(1)}, None, "second", 0)
     after = BatchStore(spark, str(tmp_path / "s"))
     assert (after.rows(one).count(), after.rows(two).count()) == (2, 1)
+
+
+def test_blocks_are_spread_whatever_their_splits(spark, tmp_path):
+    spark.range(20_000).withColumnRenamed("id", "block_num").coalesce(1).write.parquet(str(tmp_path / "one"))
+    bytes_each = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        # Many splits, of which the one with the row group has all rows.
+        read = spark.read.parquet(str(tmp_path / "one"))
+        assert read.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        counts = [r["count"] for r in spread(read).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(counts) == 20_000 and max(counts) <= 20_000 // spark.sparkContext.defaultParallelism + 10
+        assert spread(read, each=500).groupBy(F.spark_partition_id()).count().count() == 40
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_each)
+
+
+@pytest.mark.parametrize("places, files", [(list(range(300)), 5), ([*range(198), 1000, 2000, 2001], 8)])
+def test_batches_of_a_stream_have_several_files(spark, tmp_path, places, files):
+    table = spark.createDataFrame([(p,) for p in [*places, None]], "place long")
+    folder = str(tmp_path / "arriving")
+    arriving = catalog._arriving(table, F.col("place"), folder, rows=25)
+    batches = []
+    query = arriving.writeStream.foreachBatch(lambda frame, _: batches.append({r[0] for r in frame.collect()}))
+    query.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    size = max(places) // 3 + 1
+    # Rows without a place come last.
+    assert batches == [{p for p in places if p // size == k} | ({None} if k == 2 else set()) for k in range(3)]
+    assert len(list((tmp_path / "arriving").glob("*.parquet"))) == 3 * files
