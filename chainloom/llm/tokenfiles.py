@@ -23,6 +23,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -115,7 +116,8 @@ class Encoder:
 
     Each distinct word of a text is encoded once, by the library: a word of ASCII and Latin-1 letters and marks piece
     by piece by its model, any other by the whole tokenizer. A long text is cut at white space, so no text is
-    encoded in one piece.
+    encoded in one piece. `many` cuts the plain texts of a slice by Arrow and looks up each distinct piece of the slice
+    once.
     """
 
     def __init__(self, vocabulary: str, tokens: Tokens):
@@ -130,6 +132,7 @@ class Encoder:
         self.end = self._pack([tokens.end_id])
         self.pattern = piece_pattern(vocabulary) if tokens.free_words else None
         self.pieces, self.plain, self.words = (_Memo(f, tokens.memo) for f in (self._piece, self._plain, self._word))
+        self.by_arrow = self.pattern is not None and _cuts_alike(self.pattern)
 
     def _pack(self, ids: list[int]) -> bytes:
         packed = array(self.code, ids)
@@ -157,6 +160,86 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, text.encode().split())) + self.end
 
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        """What a call gives for each text."""
+        parts, owners, out = [], [], [None] * len(texts)
+        for k, text in enumerate(texts):
+            if self.by_arrow and PLAIN.fullmatch(text) and "<|" not in text:
+                cut = stretches(text)
+                parts += cut
+                owners += [k] * len(cut)
+                out[k] = []
+            else:
+                out[k] = self(text)
+        at = 0
+        while at < len(parts):
+            to, size = at, 0
+            while to < len(parts) and (to == at or size + len(parts[to]) <= STRETCH):
+                size += len(parts[to])
+                to += 1
+            for k, ids in zip(owners[at:to], self._plain_ids(parts[at:to])):
+                out[k].append(ids)
+            at = to
+        return [b"".join(ids) + self.end if isinstance(ids, list) else ids for ids in out]
+
+    def _plain_ids(self, texts: list[str]) -> Iterator[bytes]:
+        words = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        known = words.flatten().dictionary_encode()
+        cut = pc.ascii_split_whitespace(pc.replace_substring_regex(known.dictionary, self.pattern.pattern, r"\0 "))
+        pieces = cut.flatten().dictionary_encode()
+        ids = [self.pieces[p] if p else b"" for p in pieces.dictionary.to_pylist()]
+        data = np.frombuffer(b"".join(ids), f"<u{self.width}")
+        ends = np.cumsum([len(i) // self.width for i in ids], dtype=np.int64)
+        data, ends = _gathered(data, ends, pieces.indices.to_numpy())
+        ends = np.append(0, ends)[cut.offsets.to_numpy()[1:]]  # of words
+        data, ends = _gathered(data, ends, known.indices.to_numpy())
+        bounds = (np.append(0, ends)[words.offsets.to_numpy()] * self.width).tolist()
+        packed = data.tobytes()
+        return (packed[a:b] for a, b in zip(bounds, bounds[1:]))
+
+
+def _gathered(data: np.ndarray, ends: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the picked ones of the stretches of data, their ends)."""
+    starts = np.append(0, ends[:-1])[: len(ends)]
+    sizes = (ends - starts)[picked]
+    done = np.cumsum(sizes)
+    return data[np.repeat(starts[picked] - (done - sizes), sizes) + np.arange(done[-1] if len(done) else 0)], done
+
+
+def _cuts_alike(pattern) -> bool:
+    """Whether Arrow can use the pattern and it leaves out no part of a plain word."""
+    try:
+        pc.replace_substring_regex(pa.array(["a"]), pattern.pattern, r"\0 ")
+    except pa.ArrowInvalid:
+        return False
+    return all(pattern.fullmatch(chr(c)) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100)))
+
+
+# Characters of plain texts that are in arrays at a time.
+STRETCH = 2 << 20
+SPACE = re.compile("[\t-\r ]")
+
+
+def stretches(text: str, size: int = STRETCH) -> list[str]:
+    """The text, cut at white space behind every `size` characters."""
+    out, at = [], 0
+    while len(text) - at > size and (space := SPACE.search(text, at + size)):
+        out.append(text[at : space.start()])
+        at = space.end()
+    return [*out, text[at:]]
+
+
+_ENCODERS: dict[tuple[str, Tokens], Encoder] = {}
+
+
+def encoder_of(vocabulary: str, tokens: Tokens) -> Encoder:
+    """The encoder of a worker, which keeps it, with all it remembers, for its later tasks; one at a time."""
+    if (vocabulary, tokens) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[vocabulary, tokens] = Encoder(vocabulary, tokens)
+    return _ENCODERS[vocabulary, tokens]
+
+
 # Words of these are the same in NFC, and their small letters do not depend on their neighbours.
 PLAIN = re.compile("[\t-\r -~\u00c0-\u00ff]*")
 
@@ -209,14 +292,14 @@ def write_tokens(docs: DataFrame, folder: str, tokens: Tokens) -> DataFrame:
         from pyspark import TaskContext
 
         part, out = TaskContext.get().partitionId(), None
-        encode = Encoder(vocabulary.value, tokens)
+        encode = encoder_of(vocabulary.value, tokens)
         for batch in batches:
             ids, texts = batch.columns
             for at, some in slices(texts):
                 if out is None:
                     out = _File(folder, f"{tokens.prefix}-{part:06d}", encode.width)
-                for k, text in enumerate(some.to_pylist()):
-                    out.add(ids[at + k].as_py(), encode(text))
+                for k, packed in enumerate(encode.many(some.to_pylist())):
+                    out.add(ids[at + k].as_py(), packed)
         if out is not None:
             out.close()
             row = [part, f"{tokens.prefix}-{part:06d}", len(out.offsets), out.n_tokens, out.at]

@@ -137,6 +137,30 @@ def test_ids_by_word_are_those_of_the_whole_text(vocabulary, text):
     assert np.frombuffer(ENCODE(text), "<u2").tolist() == [*whole_ids(vocabulary, text), 1]
 
 
+@settings(max_examples=100, deadline=None)
+@given(texts=st.lists(ODD | st.text("aZ'sé 9\n\x0b.!ÄŸÿ÷×ß<|", max_size=80), max_size=8), size=st.sampled_from([3, 50, 1 << 20]))
+def test_ids_of_many_texts_are_those_of_each(vocabulary, texts, size):
+    encode = tokenfiles.encoder_of(open(vocabulary, encoding="utf-8").read(), tokenfiles.Tokens(vocabulary))
+    assert encode.by_arrow
+    was, cut = tokenfiles.STRETCH, tokenfiles.stretches.__defaults__
+    tokenfiles.STRETCH, tokenfiles.stretches.__defaults__ = size, (size,)
+    try:
+        got = encode.many(texts)
+    finally:
+        tokenfiles.STRETCH, tokenfiles.stretches.__defaults__ = was, cut
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [[*whole_ids(vocabulary, t), 1] for t in texts]
+
+
+def test_a_worker_keeps_its_encoder_and_looks_up_each_piece_once(vocabulary, monkeypatch):
+    text = open(vocabulary, encoding="utf-8").read()
+    encode = tokenfiles.encoder_of(text, tokenfiles.Tokens(vocabulary))
+    assert tokenfiles.encoder_of(text, tokenfiles.Tokens(vocabulary)) is encode
+    asked = []
+    monkeypatch.setattr(encode, "pieces", tokenfiles._Memo(lambda p: asked.append(p) or encode._piece(p), 100))
+    encode.many([f"w{n} w{n}, w{n}. (w{n})" for n in range(50)])
+    assert len(asked) == len(set(asked)) and not encode.plain
+
+
 def test_op12_against_plain(spark, vocabulary):
     rng = random.Random(2)
     texts = [None, "", " \n ", "It's 3 o'clock NOW", "<|endoftext|> is not <|ENDOFTEXT|>", "é" * 3000, "word " * 4000]
