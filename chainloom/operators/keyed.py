@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chainloom.contracts import CREATE, DELETE, UPDATE
 from chainloom.functions.skew import (
+    BROADCAST_ROWS,
     GROUP_LIMIT,
     fits_broadcast,
     join_group_stats,
@@ -65,12 +66,22 @@ def existing_keys(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> Da
     return target.select(*keys).join(batch, list(keys), "left_semi")
 
 
-def key_counts(rows: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """The keys of `rows` with their number of `rows` and whether the table has them (`taken`)."""
+def key_counts(
+    rows: DataFrame, target: DataFrame | None, keys: Sequence[str], *, bound: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The keys of `rows` with their number of `rows` and whether the table has them (`taken`).
+
+    While the batch is small its keys are broadcast; a larger one is counted together with the keys of the table, in
+    one aggregate."""
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
     if target is None:
         return counts.withColumn("taken", F.lit(False))
-    return _with_flag(counts, existing_keys(rows, target, keys), keys, "taken")
+    if fits_broadcast(rows.select(*keys), bound):
+        return _with_flag(counts, existing_keys(rows, target, keys), keys, "taken")
+    own, stored = rows.select(*keys, F.lit(False).alias("__stored")), target.select(*keys, F.lit(True).alias("__stored"))
+    counts = own.unionByName(stored).groupBy(*keys).agg(F.count_if(~F.col("__stored")).alias("rows"), F.max("__stored").alias("taken"))
+    # A NULL key is none that the table has.
+    return counts.filter(F.col("rows") > 0).withColumn("taken", F.col("taken") & ~_null_key(keys))
 
 
 def _with_flag(rows: DataFrame, found: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:

@@ -1096,7 +1096,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Rows of one file of an arriving table.
-FILE_ROWS = 500_000
+FILE_ROWS = 200_000
 
 
 def _arriving(frame: DataFrame, place: Column, folder: str, batches: int = 3, rows: int = FILE_ROWS) -> DataFrame:

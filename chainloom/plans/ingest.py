@@ -20,8 +20,8 @@ from chainloom.contracts import CREATE, DELETE, RESOLVER_TASKS, UPDATE, Contract
 from chainloom.functions.skew import fits_broadcast, join_same
 from chainloom.operators import balances, blocks, changes, keyed, links, logs, progress
 from chainloom.operators.stores import StoreReader, check_policy
-from chainloom.sources.blocks import block_range_scan, check_range, spread
-from chainloom.sources.forks import Links, follow_chain
+from chainloom.sources.blocks import block_range_scan, check_range, spread, spread_parts
+from chainloom.sources.forks import ABOVE, BELOW, SEVERAL, Links, follow_chain, side_by_side
 from chainloom.streaming.store import BatchStore
 
 Module = Callable[[DataFrame], DataFrame]
@@ -204,7 +204,8 @@ def _rejects(frame: DataFrame, record: Column, reason: str, prefix: str = "_") -
 
 
 def hold_back(job: IngestJob, store: BatchStore, blocks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(blocks that are final now, blocks that wait, with the block that was final last, the kept frame of both).
+    """(blocks that are final now, dealt over tasks like those of `spread`, blocks that wait, with the block that was
+    final last, the kept frame of both).
 
     Blocks that came before and wait are read from the store, where each batch writes all of them: as many
     as the depth and the forks in it. New ones at or below the last final block are too late and left out.
@@ -218,16 +219,18 @@ def hold_back(job: IngestJob, store: BatchStore, blocks: DataFrame) -> tuple[Dat
     anchor = seen.filter("_settled").agg(F.max(job.links.number)).first()[0]
     new = blocks if anchor is None else blocks.filter(number > anchor)
     both = seen.unionByName(new.withColumn("_settled", F.lit(False)))
-    both = both.dropDuplicates([job.links.number, job.links.hash]).persist(StorageLevel.MEMORY_AND_DISK)
-    chain = follow_chain(both, job.links)
+    laid = side_by_side(both, job.links, spread_parts(both)).persist(StorageLevel.MEMORY_AND_DISK)
+    both = laid.drop(SEVERAL, BELOW, ABOVE)
+    chain = follow_chain(laid, job.links)
     if chain.head is None or chain.broken_at is not None:
-        return blocks.limit(0), both, both
-    done = chain.keep(both).filter(number <= max(chain.head - job.final_depth, -1 if anchor is None else anchor))
+        return blocks.limit(0), both, laid
+    done = chain.keep(laid).filter(number <= max(chain.head - job.final_depth, -1 if anchor is None else anchor))
     last = done.agg(F.max(job.links.number)).first()[0]
     if last is None:
-        return blocks.limit(0), both, both
+        return blocks.limit(0), both, laid
+    done = done.select(*both.columns)
     waiting = both.filter(number > last).unionByName(done.filter(number == last).withColumn("_settled", F.lit(True)))
-    return done.filter(~F.col("_settled")).select(*blocks.columns), waiting, both
+    return done.filter(~F.col("_settled")).select(*blocks.columns), waiting, laid
 
 
 def process_batch(
@@ -263,7 +266,8 @@ def process_batch(
     if job.final_depth is not None:
         todo, waiting, kept = hold_back(job, store, todo)
         held.append(kept)
-    todo = spread(todo)
+    else:
+        todo = spread(todo)
     readers, left = run_stores(job, store, todo)
     records = change_records(job, todo, readers)
     unknown = changes.route_by_table(records, job.contracts).filter("reject_reason is not null")

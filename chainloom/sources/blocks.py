@@ -132,5 +132,9 @@ def spread(blocks: DataFrame, each: int = TASK_BLOCKS) -> DataFrame:
     A micro-batch is often a few files, and the work per block is far more than moving it. The number of its
     partitions tells little: those of a file with one row group are empty but for one.
     """
-    cores = blocks.sparkSession.sparkContext.defaultParallelism
-    return blocks.repartition(max(cores, -(-blocks.count() // each)))
+    return blocks.repartition(spread_parts(blocks, each))
+
+
+def spread_parts(blocks: DataFrame, each: int = TASK_BLOCKS) -> int:
+    """The number of tasks over which `spread` deals the blocks."""
+    return max(blocks.sparkSession.sparkContext.defaultParallelism, -(-blocks.count() // each))

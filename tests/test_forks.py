@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainloom.contracts import ETH_BLOCKHEADERS
-from chainloom.plans.ingest import IngestJob, process_batch
+from chainloom.plans.ingest import IngestJob, hold_back, process_batch
+from chainloom.sources import forks
 from chainloom.sources.blocks import final_blocks
-from chainloom.sources.forks import Links, canonical_blocks, follow_chain
+from chainloom.sources.forks import Links, canonical_blocks, follow_chain, side_by_side
 from chainloom.streaming.store import BatchStore
 
 SHAPE = "block_num long, hash binary, parent_hash binary, block_id string, cursor string, timestamp string, __hash string"
@@ -98,3 +99,42 @@ def test_batches_hold_back_what_may_change(spark, tmp_path):
     assert {r["hash"] for r in again.rows(ETH_BLOCKHEADERS).collect()} == {
         r["h"] for r in late.select(F.lower(F.hex("hash")).alias("h")).collect()
     }
+
+
+def test_chain_over_ranges_of_numbers(spark):
+    # Ranges end at 255 and 511; forks, gaps and a wrong parent inside them and at their edges.
+    blocks = sorted(forest(6, length=530))
+    blocks += [(n, f"g{n}", f"m{n - 1}" if n == 254 else f"g{n - 1}") for n in range(254, 259)]
+    blank = [(n, None, bytearray(b"m"), f"x{n}", "c", "2024-01-01", "clash") for n in (255, 300, 300)]
+    wrong = [(n, h, "other" if n == 512 else p) for n, h, p in blocks]
+    for k, left in enumerate([blocks, wrong, *([b for b in blocks if b[0] != n] for n in (511, 512, 100))]):
+        kept, whole = walk(left)
+        assert whole == (k == 0)
+        rows = frame(spark, left + left[::7]).unionByName(spark.createDataFrame(blank, SHAPE))
+        laid = side_by_side(rows, parts=3).persist()
+        # Rows of a block, also of one without a hash, are one.
+        assert laid.count() == len(left) + 2
+        for given in (rows, laid)[k > 0 :]:
+            chain = follow_chain(given)
+            assert (chain.broken_at is None) == whole
+            assert names(chain.keep(given)) == kept
+        laid.unpersist()
+
+
+def test_only_contested_blocks_are_written_apart(spark, tmp_path, monkeypatch):
+    straight = [(n, f"m{n}", f"m{n - 1}") for n in range(2000)]
+    fork = [(n, f"f{n}", "m999" if n == 1000 else f"f{n - 1}") for n in range(1000, 1004)]
+    counts = []
+
+    def counted(table, purpose, write=forks.written):
+        out = write(table, purpose)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(forks, "written", counted)
+    job = IngestJob("final", "block_meta", [ETH_BLOCKHEADERS], algo="sha256", final_depth=10)
+    done, waiting, kept = hold_back(job, BatchStore(spark, str(tmp_path / "store")), frame(spark, straight + fork))
+    assert names(done) == {(n, f"m{n}") for n in range(1990)} and waiting.count() == 11
+    # Four numbers with two blocks each; the other blocks are not written again.
+    assert max(counts) == 8
+    kept.unpersist()

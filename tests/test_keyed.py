@@ -151,3 +151,15 @@ def test_updates_of_a_key_run_one_after_the_other(spark):
     )
     got = sorted(tuple(r) for r in keyed.update_by_key(target, updates, ["id"]).collect())
     assert got == [("k", None, "q"), ("l", 2, "y")]
+
+
+def test_keys_of_large_batches_are_counted_with_the_table(spark):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("c",)], "id string")
+    target = spark.createDataFrame([("a",), ("b",), ("b",), (None,), ("z",)], "id string")
+    wanted = {("a", 2, True), ("b", 1, True), (None, 1, False), ("c", 1, False)}
+    for bound in (10, 0):
+        found = keyed.key_counts(rows, target, ["id"], bound=bound)
+        assert {tuple(r) for r in found.collect()} == wanted and found.count() == 4
+        assert found.schema["rows"].dataType.simpleString() == "bigint"
+    # One pass over both, no join.
+    assert "Join" not in keyed.key_counts(rows, target, ["id"], bound=0)._jdf.queryExecution().executedPlan().toString()
