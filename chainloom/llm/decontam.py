@@ -1,7 +1,8 @@
 """Benchmark decontamination: hashed word windows of the test items against every window of the documents.
 
 Columns and SQL functions only. The items' windows are broadcast while they are few enough; the documents
-are scanned twice, once to look up hashes and once to check the hits word by word.
+are scanned twice, once to look up hashes and check the hits word by word, and once to put what was found on their
+rows. Between the scans a text goes by its digest, and its hits by their places alone.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import bound, fitting, kept
+from chainloom.llm.shared import bound, fits, fitting, kept
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -21,11 +22,12 @@ ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Overlap:
-    """width: words of a window. Windows or hits beyond these row counts are joined by a shuffle."""
+    """width: words of a window. Windows or hits beyond these row counts or bytes are joined by a shuffle."""
 
     width: int = 10
     broadcast_windows: int = 500_000
     broadcast_documents: int = 200_000
+    broadcast_bytes: int = 32 << 20
 
 
 def words(text: Column) -> Column:
@@ -51,25 +53,44 @@ def item_windows(items: DataFrame, overlap: Overlap, id_col: str = "item_id", te
     return parts.groupBy(hashed.alias("h"), "width", F.concat_ws(" ", "part").alias("window")).agg(F.collect_set("item").alias("items"))
 
 
-def hits(docs: DataFrame, items: DataFrame, overlap: Overlap = Overlap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of documents with its columns and `_words`, `_hits`: (pos, width, window, items) of each
-    occurrence of an item's window, checked word by word."""
+def digest(text: Column) -> Column:
+    """Names a text: hits depend on the text alone, so rows with the same one share them. None for a null."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def sure_hits(docs: DataFrame, items: DataFrame, overlap: Overlap, text_col: str) -> DataFrame:
+    """(_digest, pos, width, items) of each occurrence of an item's window in a text, checked word by word."""
     bench = kept(item_windows(items, overlap), "windows")
     widths = sorted(r["width"] for r in bench.select("width").distinct().collect())
     none = F.array().cast("array<struct<pos:int,width:int,h:bigint>>")
-    at = bound(F.transform(words(F.col(text_col)), lambda x: F.xxhash64(x)), lambda w: F.concat(none, *(_windows(w, n) for n in widths)))
-    places = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.explode(at).alias("_at")).select("_id", "_at.*")
-    met = places.join(fitting(bench, overlap.broadcast_windows), ["h", "width"])
-    found = kept(met.groupBy("_id").agg(F.collect_set(F.struct("pos", "width", "window", "items")).alias("_found")), "hits")
-    joined = docs.join(fitting(found, overlap.broadcast_documents), docs[id_col].eqNullSafe(found["_id"]), "left").drop("_id")
-    whole = joined.withColumn("_words", words(F.col(text_col)))
-    sure = F.filter("_found", lambda x: F.concat_ws(" ", F.slice("_words", x["pos"], x["width"])) == x["window"])
-    return whole.withColumn("_hits", F.when(F.col("_found").isNotNull(), sure)).drop("_found")
-
-
-def _hit_words() -> Column:
-    spans = F.transform("_hits", lambda x: F.sequence(x["pos"], x["pos"] + x["width"] - 1))
-    return F.array_distinct(F.flatten(F.coalesce(spans, F.array().cast("array<array<int>>"))))
+    at = bound(F.transform("_words", lambda x: F.xxhash64(x)), lambda w: F.concat(none, *(_windows(w, n) for n in widths)))
+    texts = docs.where(F.col(text_col).isNotNull()).select(digest(F.col(text_col)).alias("_digest"), F.col(text_col).alias("_text"))
+    worded = texts.select("_digest", words(F.col("_text")).alias("_words"))
+    if fits(bench, overlap.broadcast_windows, overlap.broadcast_bytes):
+        # Places and words meet the windows in one generated loop, so the words are not copied for every place. (A
+        # plain explode would add a filter that hashes all windows once more.)
+        places = worded.select("_digest", "_words", at.alias("_at")).select("_digest", "_words", F.explode_outer("_at").alias("_at"))
+        met = places.select("_digest", "_words", "_at.*").join(F.broadcast(bench), ["h", "width"])
+    else:
+        # A shuffle would copy them: the places go alone, and those with a window meet their words afterwards.
+        places = worded.select("_digest", F.explode(at).alias("_at")).select("_digest", "_at.*")
+        asked = places.join(bench, ["h", "width"]).groupBy("_digest").agg(F.collect_set(F.struct("pos", "width", "window", "items")).alias("_asked"))
+        asked = fitting(kept(asked, "asked"), overlap.broadcast_documents, overlap.broadcast_bytes)
+        met = texts.join(asked, "_digest").select("_digest", words(F.col("_text")).alias("_words"), "_asked")
+        met = met.select("_digest", "_words", F.explode("_asked").alias("_asked")).select("_digest", "_words", "_asked.*")
+    # As `=` it would become a key of the join and be worked out for every place, not only for those with a hash.
+    own = F.concat_ws(" ", F.slice("_words", F.col("pos"), F.col("width")))
+    return met.where(own.startswith(F.col("window")) & F.col("window").startswith(own)).select("_digest", "pos", "width", "items")
+
+
+def hits(docs: DataFrame, items: DataFrame, overlap: Overlap = Overlap(), text_col: str = "text") -> DataFrame:
+    """Every row of documents with its columns and `_hits`, the places from 1 of words inside an item's window,
+    and `_items`, the ids of the windows' items; both null where there are none."""
+    places = F.sequence(F.col("pos"), F.col("pos") + F.col("width") - 1)
+    once = (F.array_distinct(F.flatten(F.collect_set(c))).alias(n) for c, n in ((places, "_hits"), (F.col("items"), "_items")))
+    found = kept(sure_hits(docs, items, overlap, text_col).groupBy("_digest").agg(*once), "hits")
+    joined = docs.join(fitting(found, overlap.broadcast_documents, overlap.broadcast_bytes), digest(docs[text_col]) == found["_digest"], "left")
+    return joined.drop(found["_digest"])
 
 
 def contamination(docs: DataFrame, items: DataFrame, overlap: Overlap = Overlap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,11 +99,12 @@ def contamination(docs: DataFrame, items: DataFrame, overlap: Overlap = Overlap(
     Null and empty texts have no words; null items are no windows; repeated rows are each judged by their own
     words; with an empty benchmark nothing is hit; an empty table gives no rows; other columns are not read.
     """
-    rows = hits(docs.select(id_col, text_col), items, overlap, id_col, text_col)
-    ids = F.array_sort(F.array_distinct(F.flatten(F.coalesce(F.col("_hits.items"), F.array().cast("array<array<string>>")))))
-    out = rows.select(id_col, F.size("_words").cast("long").alias("n_words"), F.size(_hit_words()).cast("long").alias("n_hit"), ids.alias("_ids"))
+    rows = hits(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), items, overlap)
+    ids = F.array_sort(F.coalesce("_items", F.array().cast("array<string>")))
+    n_hit = F.size(F.coalesce("_hits", F.array().cast("array<int>"))).cast("long")
+    out = rows.select("id", F.size(words(F.col("text"))).cast("long").alias("n_words"), n_hit.alias("n_hit"), ids.alias("_ids"))
     return out.select(
-        F.col(id_col).alias("doc_id"),
+        F.col("id").alias("doc_id"),
         "n_words",
         "n_hit",
         F.size("_ids").cast("long").alias("n_items"),
@@ -96,12 +118,13 @@ def decontaminate(
 ) -> DataFrame:
     """The documents with their columns as they were, without contaminated ones (`remove="documents"`), or with
     the hit words cut out of their texts (`remove="spans"`). Null and empty texts stay as they are."""
-    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = hits(row, items, overlap, "id", "text")
     if remove == "documents":
-        return rows.where(F.coalesce(F.size("_hits"), F.lit(0)) <= 0).select("row.*")
+        found = kept(sure_hits(docs, items, overlap, text_col).select("_digest").distinct(), "hits")
+        small = fitting(found, overlap.broadcast_documents, overlap.broadcast_bytes)
+        return docs.join(small, digest(docs[text_col]) == found["_digest"], "left_anti")
     if remove != "spans":
         raise ValueError(remove)
+    rows = hits(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), items, overlap)
     text = F.col("text")
 
     def rebuilt(hit: Column) -> Column:
@@ -112,5 +135,5 @@ def decontaminate(
             "", F.transform(parts, lambda p, i: F.concat(p["gap"], F.when(F.array_contains(hit, i + 1), "").otherwise(F.coalesce(p["word"], F.lit("")))))
         )
 
-    cut = F.when(F.size("_hits") > 0, bound(_hit_words(), rebuilt)).otherwise(text)
+    cut = F.when(F.size("_hits") > 0, rebuilt(F.col("_hits"))).otherwise(text)
     return rows.select(*(cut.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -60,9 +61,30 @@ def bound(value, use):
     return F.transform(F.array(value), use)[0]
 
 
-def fitting(frame: DataFrame, rows: int) -> DataFrame:
-    """The frame marked for broadcast if it has at most so many rows, else as it is."""
-    return F.broadcast(frame) if frame.limit(rows + 1).count() <= rows else frame
+def _width(name: str, kind: T.DataType) -> F.Column:
+    """About the bytes of a value in a broadcast: a word, and what texts and nested values have besides."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        more = F.octet_length(name)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        more = F.octet_length(F.to_json(F.struct(name)))
+    else:
+        more = F.lit(0)
+    return F.coalesce(more, F.lit(0)).cast("long") + 16
+
+
+def fits(frame: DataFrame, rows: int, size: int | None = None) -> bool:
+    """Whether the frame has at most so many rows and bytes; stops one row later."""
+    first = frame.limit(rows + 1)
+    if size is None:
+        return first.count() <= rows
+    width = sum((_width(f.name, f.dataType) for f in frame.schema), F.lit(0))
+    found = first.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    return found["n"] <= rows and (found["size"] or 0) <= size
+
+
+def fitting(frame: DataFrame, rows: int, size: int | None = None) -> DataFrame:
+    """The frame marked for broadcast if it has at most so many rows and bytes, else as it is."""
+    return F.broadcast(frame) if fits(frame, rows, size) else frame
 
 
 def release(spark: SparkSession) -> None:

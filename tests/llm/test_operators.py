@@ -16,6 +16,7 @@ from chainloom.llm import decontam, forest, mixture, sharding, substrings
 from chainloom.llm.compression import Rules, keep_good, score_quality
 from chainloom.llm.graph import components
 from chainloom.llm.licenses import KNOWN, MIT, known_digests, scan_licenses
+from chainloom.llm.shared import fits
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -279,6 +280,37 @@ def test_contamination(spark, docs, nothing, limits):
     assert decontam.contamination(nothing, items).count() == 0
 
 
+@pytest.mark.parametrize("limits", [{"broadcast_bytes": 0}, {"broadcast_windows": 0}, {"broadcast_documents": 0}])
+def test_contamination_beyond_a_limit(spark, limits):
+    items, rows, overlap = spark.createDataFrame(ITEMS, "item_id long, text string"), contaminated_rows(), decontam.Overlap(**limits)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert rows_of(decontam.contamination(frame, items, overlap), *names) == plain_contamination(rows, ITEMS)
+    assert rows_of(decontam.decontaminate(frame, items, overlap), "doc_id") == Counter([(1,), (2,), (6,), (8,), (9,)])
+
+
+def test_what_is_put_on_documents_is_narrow(spark, monkeypatch):
+    sides, fitting = [], decontam.fitting
+    monkeypatch.setattr(decontam, "fitting", lambda frame, *limits: sides.append(frame) or fitting(frame, *limits))
+    leak = " ".join(f"leaked{k}" for k in range(300))
+    items = spark.createDataFrame([(f"item {k}", leak) for k in range(20)], "item_id string, text string")
+    frame = spark.createDataFrame([(k, f"own{k} {leak} end" if k % 2 else f"own{k}") for k in range(20)], "doc_id long, text string")
+    assert {r["doc_id"] for r in decontam.decontaminate(frame, items).collect()} == {*range(0, 20, 2)}
+    size = F.octet_length(F.to_json(F.struct("*")))
+    assert [s.select(F.max(size)).first()[0] < 200 for s in sides if s.count() == 10] == [True]  # windows of words take 290 times that
+    sides.clear()
+    got = decontam.contamination(frame, items)
+    assert {(r["n_hit"], r["n_items"]) for r in got.where("contaminated").collect()} == {(300, 20)}
+    assert [s.select(F.max(size)).first()[0] < 3_000 for s in sides if s.count() == 10] == [True]
+
+
+def test_broadcast_by_bytes(spark):
+    rows = [(k, "x" * 1_000, [["y" * 500]] * 2) for k in range(10)] + [(None, None, None)]
+    frame = spark.createDataFrame(rows, "id long, text string, parts array<array<string>>")
+    assert fits(frame, 11) and not fits(frame, 10) and fits(frame, 11, 40_000) and not fits(frame, 11, 15_000) and not fits(frame, 10, 40_000)
+    assert fits(frame.limit(0), 0, 0)
+
+
 def test_substrings(docs, nothing):
     first = {}
     for i, text in ROWS:
